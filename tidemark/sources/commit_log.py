@@ -1,0 +1,44 @@
+"""Reader for commit logs in JSON lines: operation metrics and per-file statistics."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+_FILE = """path string, size bigint, modificationTime bigint, deletionTimestamp bigint,
+    dataChange boolean, partitionValues map<string,string>, tags map<string,string>, stats string,
+    deletionVector struct<storageType:string, offset:int, sizeInBytes:int, cardinality:bigint>"""
+
+LOG_SCHEMA = f"""commitInfo struct<timestamp:bigint, operation:string,
+        operationParameters:map<string,string>, operationMetrics:map<string,string>,
+        readVersion:bigint, isBlindAppend:boolean>,
+    add struct<{', '.join(p.strip().replace(' ', ':', 1) for p in _FILE.replace(chr(10), ' ').split(', '))}>,
+    remove struct<{', '.join(p.strip().replace(' ', ':', 1) for p in _FILE.replace(chr(10), ' ').split(', '))}>"""
+
+STATS_SCHEMA = """numRecords bigint, minValues map<string,string>, maxValues map<string,string>,
+    nullCount map<string,bigint>, tightBounds boolean"""
+
+
+def read_commit_log(spark: SparkSession, path: str) -> DataFrame:
+    """One row per action. Blank lines and lines that are no JSON are skipped."""
+    lines = spark.read.schema(LOG_SCHEMA).option("mode", "DROPMALFORMED").json(path)
+    return lines.filter(F.coalesce("commitInfo.timestamp", "add.size", "remove.size").isNotNull())
+
+
+def file_actions(log: DataFrame) -> DataFrame:
+    """Added and removed files with their parsed statistics."""
+    def side(name: str, weight: int) -> DataFrame:
+        return log.filter(F.col(f"{name}.path").isNotNull()).select(
+            F.lit(name).alias("action"), f"{name}.path", f"{name}.size", f"{name}.partitionValues",
+            F.from_json(f"{name}.stats", STATS_SCHEMA).alias("stats"),
+            F.coalesce(f"{name}.deletionVector.cardinality", F.lit(0).cast("bigint")).alias("rows_masked"))
+    return side("add", 1).unionByName(side("remove", -1))
+
+
+def commit_metrics(log: DataFrame) -> DataFrame:
+    """Sum of every operation metric, per operation."""
+    return (log.filter(F.col("commitInfo.operation").isNotNull())
+            .select(F.col("commitInfo.operation").alias("operation"),
+                    F.explode("commitInfo.operationMetrics").alias("metric", "text"))
+            .groupBy("operation", "metric")
+            .agg(F.sum(F.expr("try_cast(text AS bigint)")).alias("total"), F.count("*").alias("commits")))
