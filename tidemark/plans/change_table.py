@@ -169,6 +169,11 @@ class ChangeTable:
     def current(self) -> DataFrame:
         return self.at_version(self.version)
 
+    def create_view(self, name: str, version: int | None = None) -> None:
+        """Name a version (the latest by default) for SQL. A later commit needs a new call."""
+        snapshot = self.at_version(self.version if version is None else version)
+        snapshot.createOrReplaceTempView(name)
+
     def at_version(self, version: int) -> DataFrame:
         return self._live(version).select(*self._log[version].schema.names)
 
