@@ -7,8 +7,8 @@ from tidemark.session import build_session
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = build_session("tidemark-tests", "local[4]", **{
-        "spark.sql.shuffle.partitions": "4",
+    session = build_session("tidemark-tests", "local[2]", **{
+        "spark.sql.shuffle.partitions": "2",
         "spark.ui.enabled": "false",
         "spark.driver.bindAddress": "127.0.0.1",
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),

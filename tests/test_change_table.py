@@ -395,3 +395,56 @@ def test_folders_older_than_any_removal_skip_the_join(spark, path):
     plan = t.current()._jdf.queryExecution().optimizedPlan().toString()
     assert plan.startswith("Union") and plan.count("Join LeftAnti") == 1
     assert t.current().count() == 59
+
+
+def test_versions_across_a_replacement(travel, spark, rows):
+    travel.overwrite(scores(spark, (2, "B", 99), (7, "G", 7)))
+    assert travel.history().filter("version = 5").first()["rows_removed"] == 3
+    added, removed = travel.diff(4, 5)
+    assert rows(added) == [(7, "G", 7)]
+    assert rows(removed) == [(3, "C", 300), (4, "D", 40)]
+    added, removed = travel.diff(4, 5, bag=True)
+    assert (rows(added), len(rows(removed))) == ([(7, "G", 7)], 2)
+    travel.update("id = 7", {"score": 8})
+    travel.restore(2)
+    assert rows(travel.current()) == STATES[2]
+    assert rows(travel.at_version(6)) == [(2, "B", 99), (7, "G", 8)]
+    travel.restore(6)
+    assert rows(travel.current()) == [(2, "B", 99), (7, "G", 8)]
+
+
+def test_overwrite_of_a_shallow_clone(travel, spark, path, rows):
+    c = travel.clone_shallow(path("clone"))
+    c.overwrite(scores(spark, (5, "E", 5)))
+    c.append(scores(spark, (6, "F", 6)))
+    assert rows(c.current()) == [(5, "E", 5), (6, "F", 6)]
+    assert rows(c.at_version(0)) == STATES[4]
+    assert rows(travel.current()) == STATES[4]
+
+
+def test_merge_computes_its_source_once(spark, path, rows):
+    t = ChangeTable.create(spark, path(), scores(spark, (1, "A", 1), (2, "B", 2)))
+    shaky = spark.range(1, 4).select(F.col("id").cast("int").alias("id"), F.uuid().alias("name"),
+                                     F.lit(0).alias("score"))
+    t.merge(shaky, "id")
+    assert rows(t.current().groupBy("id").count()) == [(1, 1), (2, 1), (3, 1)]
+    import os
+    assert os.listdir(f"{t.path}/staging") == []
+
+
+def test_merge_without_staging(travel, spark, rows):
+    travel.merge(scores(spark, (3, "C", 301)), "id", stage=False)
+    assert rows(travel.current()) == [(2, "B", 99), (3, "C", 301), (4, "D", 40)]
+
+
+def test_merge_beyond_the_broadcast_limit(spark, path, rows, monkeypatch):
+    monkeypatch.setattr("tidemark.operators.sizes.BROADCAST_ROWS", 0)
+    test_merge_rules(spark, path, rows)
+
+
+def test_one_key_in_a_third_of_the_rows(spark, path):
+    base = spark.range(3000).selectExpr("int(if(id % 3 = 0, 7, id + 10)) id", "'x' name", "int(id) score")
+    t = ChangeTable.create(spark, path(), base)
+    t.merge(scores(spark, (7, "hot", 0), (5, "new", 0)), "id")
+    assert t.current().filter("name = 'hot'").count() == 1000
+    assert t.current().count() == 3001

@@ -57,9 +57,12 @@ def evolved(wanted: T.StructType, given: T.StructType) -> T.StructType:
 
 def align(df: DataFrame, wanted: T.StructType) -> DataFrame:
     """Cast and order ``df`` by name into ``wanted``; missing columns become NULL."""
-    have = set(df.columns)
+    have = {f.name: f.dataType for f in df.schema}
+    if list(have.items()) == [(f.name, f.dataType) for f in wanted]:
+        return df
     return df.select(*[
-        (F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+        f"`{f.name}`" if have.get(f.name) == f.dataType
+        else (F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in wanted])
 
 

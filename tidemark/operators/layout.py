@@ -58,15 +58,6 @@ def orderable(field: T.StructField) -> Column:
     return col.cast("double")
 
 
-def _range_id(number: Column, cuts: list[float]) -> Column:
-    """How many of the 255 ascending ``cuts`` lie at or below ``number``, by bisection."""
-    edges = F.array(*[F.lit(c) for c in cuts])
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(_BITS))])
-    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
-        number >= F.element_at(edges, at + step), at + step).otherwise(at))
-    return F.coalesce(found, F.lit(0))
-
-
 def z_value(df: DataFrame, columns: Sequence[str], into: str = "_z") -> DataFrame:
     """Add one number that interleaves the bits of each column's range id.
 
@@ -75,17 +66,24 @@ def z_value(df: DataFrame, columns: Sequence[str], into: str = "_z") -> DataFram
     """
     shares = [i / (1 << _BITS) for i in range(1, 1 << _BITS)]
     fields = [df.schema[c] for c in columns]
-    cuts = df.agg(*[F.percentile_approx(orderable(f), shares, 10_000).alias(f.name)
+    cuts = df.agg(*[F.percentile_approx(orderable(f), shares, 2_000).alias(f.name)
                     for f in fields]).first()
-    df = df.withColumns({
-        f"_z{i}": _range_id(orderable(f), cuts[f.name]) if cuts[f.name] else F.lit(0)
-        for i, f in enumerate(fields)})
+    edges = [F.expr("array(" + ", ".join(f"double('{c}')" for c in cuts[f.name] or ["Infinity"] * len(shares)) + ")")
+             for f in fields]
+    # bisection, one projection per bit: how many cuts lie at or below the number
+    df = df.withColumns({f"_n{i}": orderable(f) for i, f in enumerate(fields)})
+    df = df.withColumns({f"_z{i}": F.lit(0) for i in range(len(fields))})
+    for bit in reversed(range(_BITS)):
+        df = df.withColumns({
+            f"_z{i}": F.when(F.col(f"_n{i}") >= F.get(edges[i], F.col(f"_z{i}") + ((1 << bit) - 1)),
+                             F.col(f"_z{i}") + (1 << bit)).otherwise(F.col(f"_z{i}"))
+            for i in range(len(fields))})
     z = F.lit(0).cast("bigint")
     for bit in range(_BITS):
         for i in range(len(fields)):
             one = F.shiftright(F.col(f"_z{i}"), bit).bitwiseAND(F.lit(1)).cast("bigint")
             z = z.bitwiseOR(F.shiftleft(one, bit * len(fields) + i))
-    return df.withColumn(into, z).drop(*[f"_z{i}" for i in range(len(fields))])
+    return df.withColumn(into, z).drop(*[f"_{kind}{i}" for i in range(len(fields)) for kind in "nz"])
 
 
 def cluster(df: DataFrame, columns: Sequence[str], files: int, tie: Sequence[str]) -> DataFrame:

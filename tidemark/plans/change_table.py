@@ -7,7 +7,7 @@ its address; a removed row is stored as the bare address it had:
 
     data/_seg=<name>/_w=1/...     added rows:   columns, _src, _rid
     data/_seg=<name>/_w=-1/...    removed rows: _src, _rid (columns NULL)
-    commits/version=<n>/          one JSON line: what, when, counts, schema, folder
+    commits/<version>.json        one JSON line: what, when, counts, schema, folder
 
 A snapshot is the added rows up to a version, less the addresses removed up to it.
 That holds without keys and with duplicate rows, and costs one anti join on two
@@ -40,7 +40,7 @@ from ..operators.diff import bag_minus, set_minus
 from ..operators.quality import guarded
 from ..operators.rows import holds, value
 from ..operators.sizes import BROADCAST_ROWS
-from ..session import hadoop_path
+from ..session import hadoop_path, write_new_file
 
 DEFAULT_RETENTION_HOURS = 168
 _ADDRESS = ["_src", "_rid"]
@@ -75,6 +75,7 @@ class Commit:
     rules: dict                 # partition_by, not_null, checks, null_passes
     seq: int                    # version plus the offset a clone starts from
     since: int                  # first version this commit's folder covers
+    replaces: bool              # the rows of all versions before are gone as a whole
     segment: Segment | None
     pinned: tuple[Segment, ...]  # folders of the table a shallow clone reads
     readable_from: int
@@ -282,7 +283,7 @@ class ChangeTable:
     # ------------------------------------------------------------------ committing
 
     def _commit(self, operation, params, schema, rules, segment, at, *, since=None, pinned=(),
-                readable_from=None, seq=None, metrics=None) -> int:
+                readable_from=None, seq=None, metrics=None, replaces=False) -> int:
         last = self._log[-1] if self._log else None
         version = last.version + 1 if last else 0
         ts = _micros(at or _now())
@@ -294,15 +295,10 @@ class ChangeTable:
         commit = Commit(
             version, ts, operation, {k: str(v) for k, v in params.items()}, counts[0], counts[1],
             schema.json(), rules, self._next_seq() if seq is None else seq,
-            version if since is None else since, segment, tuple(pinned),
+            version if since is None else since, replaces, segment, tuple(pinned),
             readable_from if readable_from is not None else (last.readable_from if last else 0))
-        try:
-            (self.spark.range(0, 1, 1, 1).select(F.lit(commit.to_json()).alias("value"))
-             .write.mode("error").text(f"{self.path}/commits/version={version}"))
-        except PySparkException as e:
-            if e.getCondition() == "PATH_ALREADY_EXISTS":
-                raise CommitConflict(f"version {version} was taken by another writer") from e
-            raise
+        if not write_new_file(self.spark, f"{self.path}/commits/{version:012d}.json", commit.to_json()):
+            raise CommitConflict(f"version {version} was taken by another writer")
         self._log.append(commit)
         return version
 
@@ -359,13 +355,22 @@ class ChangeTable:
         return Segment(self.path, name, seq if lo is None else lo, seq, got["added"],
                        got["removed"], got["removed_from"])
 
-    def _append(self, operation, params, rows, schema, rules, at) -> int:
+    def _append(self, operation, params, rows, schema, rules, at, *, replaces=False) -> int:
+        """Commit new rows, next to those there are or (``replaces``) in their place.
+
+        Replacing writes no removed addresses: the new folder alone makes up the version.
+        """
         check_assignable(rows.schema, schema)
         changes = align(rows, schema).select(
             "*", F.lit(1).alias("_w"), F.lit(None).cast("int").alias("_src"),
             F.lit(None).cast("bigint").alias("_rid"))
-        segment = self._write(changes, schema, rules, only_added=True)
-        return self._commit(operation, params, schema, rules, segment, at)
+        lo = self._log[0].seq if replaces else None
+        segment = self._write(changes, schema, rules, only_added=True, lo=lo)
+        if not replaces:
+            return self._commit(operation, params, schema, rules, segment, at)
+        gone = sum(s.added - s.removed for s in self._chain(self.version))
+        return self._commit(operation, params, schema, rules, segment, at, since=0, replaces=True,
+                            metrics=(segment.added if segment else 0, gone))
 
     def _change(self, operation, params, changes, at, schema=None) -> int:
         schema, rules = schema or self.schema, self._log[-1].rules
@@ -392,13 +397,8 @@ class ChangeTable:
 
     def overwrite(self, rows: DataFrame, *, at: datetime | None = None) -> int:
         """Replace all rows in one commit. Old versions stay readable."""
-        check_assignable(rows.schema, self.schema)
-        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema]
-        gone = self._live(self.version).select(*nothing, F.lit(-1).alias("_w"), *_ADDRESS)
-        new = align(rows, self.schema).select(
-            "*", F.lit(1).alias("_w"), F.lit(None).cast("int").alias("_src"),
-            F.lit(None).cast("bigint").alias("_rid"))
-        return self._change("WRITE", {"mode": "Overwrite"}, gone.unionByName(new), at)
+        return self._append("WRITE", {"mode": "Overwrite"}, rows, self.schema, self._log[-1].rules, at,
+                            replaces=True)
 
     def _replace(self, rows: DataFrame, new_values: list[Column]) -> DataFrame:
         """Change rows that remove each address in ``rows`` and add its new values."""
@@ -422,9 +422,14 @@ class ChangeTable:
         return self._change("DELETE", {"predicate": predicate}, gone, at)
 
     def merge(self, source: DataFrame, on: str | Sequence[str], matched_when: str | None = None, *,
-              evolve: bool = False, params: dict | None = None, at: datetime | None = None) -> int:
+              evolve: bool = False, stage: bool = True, params: dict | None = None,
+              at: datetime | None = None) -> int:
         """Upsert by column name. Reads only keys, addresses and condition columns of the table.
 
+        The source is used several times, so it is first written below the table and read
+        back (``stage``): it is computed once, and every step sees the same rows. Pass
+        ``stage=False`` for a plain scan of files that do not change meanwhile.
+
         With ``evolve`` the source may bring new columns and may lack some of the table's;
         those keep their value in updated rows and are NULL in inserted ones.
         """
@@ -436,8 +441,25 @@ class ChangeTable:
         missing = set(schema.names) - set(source.columns)
         if missing and not evolve:
             raise SchemaMismatch(f"the merge source lacks {sorted(missing)}")
-        live = self._live(self.version)
-        src = merge.checked_source(live, align(source, schema), on)
+        source = align(source, schema)
+        folder = f"{self.path}/staging/{uuid.uuid4().hex}"
+        if stage:
+            source.write.parquet(folder)
+            source = self.spark.read.schema(schema).parquet(folder)
+        try:
+            live = self._live(self.version)
+            src = merge.checked_source(live, source, on)
+            changes = self._merge_changes(live, src, matched_when, schema, missing)
+            info = {"on": src.on, "matched_when": matched_when, **(params or {})}
+            return self._change("MERGE", info, changes, at, schema)
+        finally:
+            if stage:
+                p, fs = hadoop_path(self.spark, folder)
+                fs.delete(p, True)
+
+    @staticmethod
+    def _merge_changes(live: DataFrame, src: merge.Source, matched_when: str | None,
+                       schema: T.StructType, missing: set[str]) -> DataFrame:
         pairs = merge.matched_pairs(live, src, matched_when).select(
             *[F.col(f"t.`{c}`" if c in missing else f"s.`{c}`").alias(c) for c in schema.names],
             F.col("t._src").alias("_src"), F.col("t._rid").alias("_rid"))
@@ -447,8 +469,7 @@ class ChangeTable:
         fresh = merge.unmatched(live, src).select(
             "*", F.lit(1).alias("_w"), F.lit(None).cast("int").alias("_src"),
             F.lit(None).cast("bigint").alias("_rid"))
-        info = {"on": src.on, "matched_when": matched_when, **(params or {})}
-        return self._change("MERGE", info, changed.unionByName(fresh), at, schema)
+        return changed.unionByName(fresh)
 
     # ------------------------------------------------------------------ versions against each other
 
@@ -459,6 +480,8 @@ class ChangeTable:
         """
         self._check_readable(older)
         self._check_readable(newer)
+        if self._replaced(older, newer):
+            return self._live(newer), self._live(older)
         floor = self._log[older].seq
         chain = self._chain(newer)
         recent = [s for s in chain if s.added and s.hi > floor]
@@ -470,6 +493,9 @@ class ChangeTable:
             return came, was.limit(0)
         return came, was.join(self._removed(steps), _ADDRESS, "left_semi")
 
+    def _replaced(self, older: int, newer: int) -> bool:
+        return any(c.replaces for c in self._log[older + 1:newer + 1])
+
     def diff(self, older: int, newer: int, *, bag: bool = False) -> tuple[DataFrame, DataFrame]:
         """(rows in ``newer`` but not in ``older``, the reverse), as sets unless ``bag``.
 
@@ -502,7 +528,11 @@ class ChangeTable:
 
     def restore(self, version: int, *, at: datetime | None = None) -> int:
         """A new version with the rows and columns of an old one. Moves only the difference."""
-        schema = self._log[version].schema if 0 <= version <= self.version else self.schema
+        self._check_readable(version)
+        schema = self._log[version].schema
+        if self._replaced(version, self.version):
+            return self._append("RESTORE", {"version": version}, self.at_version(version), schema,
+                                self._log[-1].rules, at, replaces=True)
         came, went = self._moved(version, self.version)
         nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
         changes = came.select(*nothing, F.lit(-1).alias("_w"), *_ADDRESS).unionByName(
@@ -620,12 +650,13 @@ class ChangeTable:
         """Delete folders no readable version uses, and leftovers of failed writes from before the cut."""
         needed = {s.name for v in range(keep, self.version + 1) for s in self._chain(v)}
         known = {c.segment.name for c in self._log if c.segment}
-        data, fs = hadoop_path(self.spark, f"{self.path}/data")
-        for status in fs.listStatus(data) if fs.exists(data) else ():
-            name = status.getPath().getName().removeprefix("_seg=")
-            stale = name in known or status.getModificationTime() * 1000 < cut_us
-            if name not in needed and stale:
-                fs.delete(status.getPath(), True)
+        for folder in ("data", "staging"):
+            p, fs = hadoop_path(self.spark, f"{self.path}/{folder}")
+            for status in fs.listStatus(p) if fs.exists(p) else ():
+                name = status.getPath().getName().removeprefix("_seg=")
+                stale = name in known or status.getModificationTime() * 1000 < cut_us
+                if name not in needed and stale:
+                    fs.delete(status.getPath(), True)
 
 
 def replace_nullable(field: T.StructField) -> T.StructField:

@@ -191,7 +191,8 @@ def run_incremental(name: str, source: FrameSource | JdbcSource, bookmarks, land
     if seen.rows == 0 and not (lo is None and seen.untimed):
         return Outcome(lo, lo, 0, seen.untimed)
     batch = f"{name}:{start or ''}:{seen.hi or ''}"
-    landed = land_increment(source.rows(start, seen.hi), landing, fmt=fmt, batch=batch, at=now)
+    landed = land_increment(source.rows(start, seen.hi), landing, fmt=fmt, batch=batch, at=now,
+                            known_rows=True)
     if landed and seen.hi is not None:
         bookmarks.advance(name, seen.hi, now)
     return Outcome(lo, seen.hi, landed, seen.untimed)

@@ -5,10 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
-# Settings the plans in this package count on. All but the last are Spark's
-# defaults; they are spelled out because skew handling depends on them.
+# Settings the plans in this package count on. The first five are Spark's defaults,
+# spelled out because skew handling and failing casts depend on them.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -16,6 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # call-site capture costs several gateway calls per Column; it has no effect on plans
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -35,6 +38,22 @@ def hadoop_path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def write_new_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file; False when it is already there (the file system decides the race)."""
+    p, fs = hadoop_path(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName() or fs.exists(p):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
 def _configured_root(spark: SparkSession) -> str | None:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:

@@ -28,17 +28,17 @@ def write_json(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
 
 
 def land_increment(df: DataFrame, path: str, *, fmt: str = "parquet", batch: str | None = None,
-                   at: datetime | None = None, header: bool = True) -> int:
+                   at: datetime | None = None, header: bool = True, known_rows: bool = False) -> int:
     """Append one batch below ``ingest_date=...``; returns the rows written.
 
     ``batch`` is kept as ``batch_id``, so that a batch landed twice after a crash can be
-    told apart. Nothing is written for an empty batch. The rows are counted while they are
-    written; the source is read by one job (for CSV and Parquet alike) after one look
-    for a first row.
+    told apart. Nothing is written for an empty batch; ``known_rows`` spares the look for a
+    first row when the caller knows that there is one. The rows are counted while they are
+    written, so the source is read once.
     """
     if fmt not in ("parquet", "csv"):
         raise ValueError("fmt is 'parquet' or 'csv'")
-    if df.isEmpty():
+    if not known_rows and df.isEmpty():
         return 0
     seen = Observation()
     stamped = stamp_ingest(df, at)
