@@ -10,6 +10,7 @@ def spark(tmp_path_factory):
     session = build_session("tidemark-tests", "local[2]", **{
         "spark.sql.shuffle.partitions": "2",
         "spark.ui.enabled": "false",
+        "spark.sql.codegen.wholeStage": "false",    # compiling costs more than the few rows here
         "spark.driver.bindAddress": "127.0.0.1",
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
     })

@@ -1,3 +1,5 @@
+import random
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
@@ -244,16 +246,16 @@ def test_partitioned_table(spark, path, rows):
     assert rows(t.current()) == expect
 
 
-def twenty(spark, path):
+def small_appends(spark, path, n=20):
     ddl = "order_id int, amount int, status string"
     t = ChangeTable.create(spark, path(), ddl)
-    for i in range(1, 21):
+    for i in range(1, n + 1):
         t.append(spark.createDataFrame([(i, i * 10, "CREATED")], ddl))
     return t
 
 
 def test_small_files_fold_into_one(spark, path, rows):
-    t = twenty(spark, path)
+    t = small_appends(spark, path)
     before, bag = t.detail().first(), rows(t.current())
     assert before["num_segments"] == 20 and before["num_rows"] == 20
     t.optimize()
@@ -349,9 +351,9 @@ def test_expire(travel, rows):
 
 
 def test_default_expiry_keeps_a_young_table(spark, path, rows):
-    t = twenty(spark, path)
+    t = small_appends(spark, path, 3)
     assert t.expire() == 0
-    assert t.at_version(5).count() == 5
+    assert t.at_version(2).count() == 2
 
 
 def test_expire_removes_the_folders(travel, spark, tmp_path):
@@ -448,3 +450,54 @@ def test_one_key_in_a_third_of_the_rows(spark, path):
     t.merge(scores(spark, (7, "hot", 0), (5, "new", 0)), "id")
     assert t.current().filter("name = 'hot'").count() == 1000
     assert t.current().count() == 3001
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_statements_against_a_list_of_rows(spark, path, rows, seed):
+    """Any mix of statements, checked at every version against plain Python lists."""
+    rnd = random.Random(seed)
+    t = ChangeTable.create(spark, path(), SCORES)
+    model, states = [], [[]]
+    draw = lambda: (rnd.randrange(6), rnd.choice("AB"), rnd.randrange(4))
+    for _ in range(14):
+        kind = rnd.choice(["append", "append", "update", "delete", "merge", "restore", "optimize", "overwrite"])
+        k = rnd.randrange(6)
+        if kind == "append":
+            new = [draw() for _ in range(4)]
+            t.append(scores(spark, *new))
+            model = model + new
+        elif kind == "update":
+            t.update(f"id = {k}", {"score": F.col("score") + 1})
+            model = [(i, n, s + 1) if i == k else (i, n, s) for i, n, s in model]
+        elif kind == "delete":
+            t.delete(f"score = {k}")
+            model = [r for r in model if r[2] != k]
+        elif kind == "merge":
+            batch = {i: (i, "M", rnd.randrange(4)) for i in (k, k + 1, 7)}
+            t.merge(scores(spark, *batch.values()), "id", "s.score >= t.score")
+            there = {r[0] for r in model}
+            model = [batch[r[0]] if r[0] in batch and batch[r[0]][2] >= r[2] else r for r in model]
+            model += [r for i, r in batch.items() if i not in there]
+        elif kind == "restore":
+            v = rnd.randrange(len(states))
+            t.restore(v)
+            model = list(states[v])
+        elif kind == "optimize":
+            t.optimize(full=rnd.random() < 0.5)
+        else:
+            new = [draw() for _ in range(3)]
+            t.overwrite(scores(spark, *new))
+            model = new
+        states.append(list(model))
+        assert rows(t.current()) == sorted(model, key=repr), kind
+    for v in rnd.sample(range(len(states)), 6):
+        assert rows(t.at_version(v)) == sorted(states[v], key=repr)
+    older, newer = sorted(rnd.sample(range(len(states)), 2))
+    added, removed = t.diff(older, newer)
+    assert rows(added) == sorted(set(states[newer]) - set(states[older]), key=repr)
+    assert rows(removed) == sorted(set(states[older]) - set(states[newer]), key=repr)
+    bag_added, bag_removed = t.diff(older, newer, bag=True)
+    assert rows(bag_added) == sorted((Counter(states[newer]) - Counter(states[older])).elements(), key=repr)
+    assert rows(bag_removed) == sorted((Counter(states[older]) - Counter(states[newer])).elements(), key=repr)
+    t.expire(0, force=True)
+    assert rows(t.current()) == sorted(model, key=repr)
