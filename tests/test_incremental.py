@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import latest_per_key
-from tidemark.plans import (FrameSource, TableBookmarks, bookmark_advance, extract_since, read_bookmark,
+from tidemark.plans import (FrameSource, JdbcSource, TableBookmarks, bookmark_advance, extract_since, read_bookmark,
                             run_incremental)
 from tidemark.plans.incremental import BOOKMARK_SCHEMA
 from tidemark.sinks import land_increment
@@ -144,6 +144,13 @@ def test_jdbc_texts():
         "partitionColumn": "id", "lowerBound": "1", "upperBound": "9", "numPartitions": "4"}
 
 
+def test_jdbc_rows_text(spark):
+    src = JdbcSource(spark, {}, "orders", "changed")
+    assert src.rows_sql("a", "b") == "SELECT * FROM orders WHERE changed > 'a' AND changed <= 'b'"
+    assert src.rows_sql(None, "b") == "SELECT * FROM orders WHERE changed IS NULL OR changed <= 'b'"
+    assert src.rows_sql(None, None) == "SELECT * FROM orders WHERE 1 = 1"
+
+
 def test_high_water_sql_counts(spark):
     """The text given to databases, checked on a view."""
     spark.createDataFrame([(1,), (5,), (7,), (None,)], "c int").createOrReplaceTempView("hw")

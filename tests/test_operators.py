@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import ConstraintViolation, MergeCardinalityError, SchemaMismatch
-from tidemark.functions import add_missing, derive_amount, evolved, fill_default, fits, stamp_ingest
+from tidemark.functions import (add_missing, derive_amount, evolved, fill_default, fits, parse_times,
+                                stamp_ingest)
 from tidemark.operators import (active_rows, amount_consistent, append_evolve, bag_minus, check_constraints,
                                 constraint_violations, delete_where, enforce_schema, latest_per_key,
                                 merge_newer_wins, merge_upsert, set_minus, uncastable_rows, update_where)
@@ -172,3 +173,20 @@ def test_column_helpers(spark, rows):
     assert add_missing(df, {"x": "int", "price": "int"}).schema["x"].dataType == T.IntegerType()
     stamped = stamp_ingest(df, datetime(2026, 1, 2, 3))
     assert rows(stamped, "ingest_date") == [(date(2026, 1, 2),), (date(2026, 1, 2),)]
+
+
+def test_parse_times(spark, rows):
+    df = spark.createDataFrame([("2026-01-01", "2026-01-01 10:00:00"), ("soon", "never")], "d string, t string")
+    assert rows(parse_times(df, ["d"], ["t"], strict=False)) == sorted(
+        [(date(2026, 1, 1), datetime(2026, 1, 1, 10)), (None, None)], key=repr)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        parse_times(df, ["d"]).collect()
+
+
+def test_union_source_scans_the_target_twice(spark, path):
+    p = path()
+    spark.range(1000).selectExpr("id k", "id v").write.parquet(p)
+    target = spark.read.parquet(p)
+    one, two = spark.range(5).selectExpr("id k", "id v"), spark.range(2000, 2005).selectExpr("id k", "id v")
+    plan = merge_upsert(target, one.unionByName(two), "k")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +25,17 @@ def stamp_ingest(df: DataFrame, at: datetime | None = None) -> DataFrame:
     return df.withColumn("ingested_at", stamp).withColumn("ingest_date", F.to_date("ingested_at"))
 
 
+def parse_times(df: DataFrame, dates: Sequence[str] = (), timestamps: Sequence[str] = (),
+                strict: bool = True) -> DataFrame:
+    """Turn text columns into dates and timestamps.
+
+    Text that is no time fails the query when ``strict``, else it becomes NULL.
+    """
+    to = (lambda c, kind: c.cast(kind)) if strict else (lambda c, kind: c.try_cast(kind))
+    return df.withColumns({c: to(F.col(c), "date") for c in dates}
+                          | {c: to(F.col(c), "timestamp") for c in timestamps})
+
+
 def fill_default(df: DataFrame, column: str, default) -> DataFrame:
     """NULL becomes ``default``; a column that is missing altogether counts as NULL."""
     if column not in df.columns:

@@ -12,8 +12,8 @@ Shape of the plans, with a target far larger than the source:
   a shuffle. Beyond the limit both sides shuffle on the key. Matching is an inner or a
   left outer join with the target on the left, the shapes whose hot target partition
   the adaptive skew join can split; a full outer join could not be split.
-* Inserts are an anti join against target keys that are de-duplicated on the map side
-  first, so a key that fills a third of the target arrives as one row per task.
+* Inserts are found against target keys that are de-duplicated on the map side first, so a key
+  that fills a third of the target arrives as one row per task.
 """
 
 from __future__ import annotations
@@ -79,16 +79,24 @@ def checked_source(target: DataFrame, source: DataFrame, on: str | Sequence[str]
 
 
 def unmatched(target: DataFrame, source: Source) -> DataFrame:
-    """Source rows whose key is not in the target (NULL keys included)."""
+    """Source rows whose key is not in the target (NULL keys included).
+
+    Written as an outer join that keeps the rows without a partner: Spark pushes an anti
+    join below a union in the source, and would then scan the target once per branch.
+    """
     keys = target.select(*source.on)
+    rows = source.rows
     if source.size.broadcastable:
         # reduce the target to the few keys the source asks for, without a shuffle
-        keys = keys.join(F.broadcast(source.rows.select(*source.on)), source.on, "left_semi")
-        return source.rows.join(keys.distinct(), source.on, "left_anti")
-    set_keys = _all_set(source.on)
-    # NULL keys never match: keep them out of the shuffle, where they would share a partition
-    return source.rows.filter(set_keys).join(keys.distinct(), source.on, "left_anti").unionByName(
-        source.rows.filter(~set_keys))
+        keys = keys.join(F.broadcast(rows.select(*source.on)), source.on, "left_semi")
+    else:
+        # NULL keys never match: keep them out of the shuffle, where they would share a partition
+        rows = rows.filter(_all_set(source.on))
+    partner = keys.distinct().withColumn(_HIT, F.lit(True))
+    new = rows.join(partner, source.on, "left_outer").filter(F.col(_HIT).isNull()).select(*rows.columns)
+    if source.size.broadcastable:
+        return new
+    return new.unionByName(source.rows.filter(~_all_set(source.on)))
 
 
 def matched_pairs(target: DataFrame, source: Source, matched_when: str | None) -> DataFrame:

@@ -21,8 +21,7 @@ from ..functions.columns import bookmark_text
 from ..operators.merge import merge_upsert
 from ..sinks.files import land_increment
 from ..sinks.jdbc import write_jdbc
-from ..sources.jdbc import (Split, as_table, high_water_sql, read_jdbc, read_jdbc_since,
-                            window_predicate)
+from ..sources.jdbc import as_table, high_water_sql, jdbc_split, read_jdbc, window_predicate
 from .change_table import ChangeTable
 
 BOOKMARK_SCHEMA = T.StructType([
@@ -85,12 +84,18 @@ class FrameSource:
 
 @dataclass(frozen=True)
 class JdbcSource:
-    """A database table; bounds and rows are computed by the database."""
+    """A database table; bounds and rows are computed by the database.
+
+    With ``split_column`` (numeric, date or timestamp, best the indexed key) the rows of a
+    window are read by ``parts`` tasks over even ranges between the least and greatest
+    value in that window; without it one task reads them all.
+    """
     spark: SparkSession
     connection: dict
     table: str
     column: str
-    split: Split | None = None
+    split_column: str | None = None
+    parts: int = 16
 
     def window(self, lo: str | None) -> Window:
         row = read_jdbc(self.spark, self.connection, as_table(
@@ -98,13 +103,18 @@ class JdbcSource:
             bookmark_text(F.col("hi")).alias("hi"), "n", "n_null").first()
         return Window(row["hi"], row["n"], row["n_null"])
 
+    def rows_sql(self, lo: str | None, hi: str | None) -> str:
+        inside = window_predicate(self.column, lo, hi)
+        if lo is None and hi is not None:
+            inside = f"{self.column} IS NULL OR {inside}"
+        return f"SELECT * FROM {self.table} WHERE {inside}"
+
     def rows(self, lo: str | None, hi: str | None) -> DataFrame:
-        if lo is not None:
-            return read_jdbc_since(self.spark, self.connection, self.table, self.column, lo, hi, self.split)
-        sql = f"SELECT * FROM {self.table}"
-        if hi is not None:
-            sql += f" WHERE {self.column} IS NULL OR {window_predicate(self.column, None, hi)}"
-        return read_jdbc(self.spark, self.connection, as_table(sql), self.split)
+        wanted = as_table(self.rows_sql(lo, hi))
+        split = None
+        if self.split_column is not None:
+            split = jdbc_split(self.spark, self.connection, wanted, self.split_column, self.parts)
+        return read_jdbc(self.spark, self.connection, wanted, split)
 
 
 # ---------------------------------------------------------------------- bookmarks

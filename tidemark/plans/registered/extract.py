@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
 from pyspark.sql import functions as F
 
 from ...sinks import land_increment as land
 from ..incremental import (FrameSource, TableBookmarks, bookmark_advance as advance, extract_full as full,
-                           extract_since as since, run_incremental)
-from .registry import fresh, query, table
+                           extract_since as since, read_bookmark, run_incremental)
+from .registry import NOON, fresh, query, table
 
 MIDDLE = "1998-01-01 00:00:00"
 LATE = "2000-06-30 00:00:00"
-NOON = datetime(2026, 1, 15, 12, tzinfo=timezone.utc)
 
 
 @query("SELECT * FROM orders")
@@ -41,6 +38,26 @@ def bookmark_advance(spark, sf):
     return advance(marks, "orders", newest)
 
 
+@query("SELECT * FROM orders WHERE o_orderdate > (SELECT MAX(o_orderdate) - INTERVAL 30 DAY FROM orders)")
+def extract_after_bookmark(spark, sf):
+    """The bookmark is looked up first; a source without one starts at 1970."""
+    orders = table(spark, sf, "orders")
+    marks = orders.agg((F.max("o_orderdate") - F.expr("INTERVAL 30 DAYS")).cast("string").alias("last_value")).select(
+        F.lit("orders").alias("table_name"), "last_value")
+    assert read_bookmark(marks, "events", "1970-01-01 00:00:00") == "1970-01-01 00:00:00"
+    return since(orders, "o_orderdate", read_bookmark(marks, "orders"))
+
+
+@query("SELECT o_orderkey, o_orderpriority, DATE '2026-01-15' AS ingest_date FROM orders WHERE o_orderstatus = 'P'")
+def land_csv(spark, sf):
+    """Landing as CSV with a header."""
+    landing = fresh(spark, "landing-csv")
+    rows = table(spark, sf, "orders").filter("o_orderstatus = 'P'").select("o_orderkey", "o_orderpriority")
+    land(rows, landing, fmt="csv", at=NOON)
+    return spark.read.schema("o_orderkey bigint, o_orderpriority string, ingested_at string, ingest_date date").option(
+        "header", True).csv(landing).drop("ingested_at")
+
+
 @query(f"""SELECT *, CASE WHEN o_orderdate <= TIMESTAMP '{MIDDLE}' THEN 'first' ELSE 'second' END AS batch_id,
     DATE '2026-01-15' AS ingest_date FROM orders""")
 def land_increment(spark, sf):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +37,7 @@ def fresh(spark: SparkSession, label: str) -> str:
 # ---------------------------------------------------------------------- orders in versions
 
 T0 = datetime(2024, 1, 1)
+NOON = datetime(2026, 1, 15, 12, tzinfo=timezone.utc)    # the same day in most time zones
 
 
 def hour(n: int) -> datetime:

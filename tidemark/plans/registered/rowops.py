@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...functions import derive_amount
+from ...functions import derive_amount, parse_times, stamp_ingest as stamp
 from ...operators import (active_rows, amount_consistent, append_evolve, check_constraints,
                           constraint_violations, delete_where, enforce_schema, latest_per_key,
                           merge_newer_wins, set_minus, uncastable_rows, update_where)
 from ...operators import merge_upsert as upsert
 from ...streaming import merge_stream as stream_merge
 from ..change_table import ChangeTable
-from .registry import (ORDERS_V3, customer_changes, customer_changes_sql, fresh, merge_sql, query,
+from .registry import (NOON, ORDERS_V3, customer_changes, customer_changes_sql, fresh, merge_sql, query,
                        table)
 
 CUSTOMER = "SELECT * FROM customer"
@@ -194,6 +194,36 @@ def ctas_bronze(spark, sf):
     return ChangeTable.create(spark, fresh(spark, "bronze"), bronze).current()
 
 
+@query("""SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_day, o_orderdate AS order_time,
+    CASE WHEN o_orderkey % 9 <> 0 THEN CAST(o_orderdate AS DATE) END AS tolerant FROM orders""")
+def parse_dates(spark, sf):
+    """Text to dates and timestamps; in ``tolerant`` every ninth text is no date."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    text = table(spark, sf, "orders").select(
+        "o_orderkey", day.alias("order_day"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("order_time"),
+        F.when(F.col("o_orderkey") % 9 == 0, F.lit("soon")).otherwise(day).alias("tolerant"))
+    typed = parse_times(text, ["order_day"], ["order_time"])
+    return parse_times(typed, ["tolerant"], strict=False).withColumn(
+        "order_time", F.col("order_time").cast("timestamp_ntz"))
+
+
+@query("SELECT event_id, DATE '2026-01-15' AS ingest_date, TRUE AS stamped FROM events")
+def stamp_ingest(spark, sf):
+    events = stamp(table(spark, sf, "events").select("event_id"), NOON)
+    return events.select("event_id", "ingest_date", F.col("ingested_at").isNotNull().alias("stamped"))
+
+
+@query("""SELECT c_custkey, c_name, c_acctbal, FALSE AS is_deleted FROM customer""")
+def soft_delete_undone(spark, sf):
+    """The flag is set for some customers and taken back, as two merges of changed rows."""
+    customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", F.lit(False).alias("is_deleted"))
+    t = ChangeTable.create(spark, fresh(spark, "soft-delete"), customer)
+    some = customer.filter("c_acctbal < 0")
+    t.merge(some.withColumn("is_deleted", F.lit(True)), "c_custkey")
+    t.merge(some, "c_custkey")
+    return t.current()
+
+
 @query("SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders")
 def missing_keys(spark, sf):
     """Keys of a full list that the changed side no longer has: hard deletes."""

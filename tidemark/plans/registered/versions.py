@@ -108,6 +108,16 @@ def two_updates_before_after(spark, sf):
     return before.join(after, "o_orderkey")
 
 
+@query("""SELECT o_orderkey, o_custkey, CASE WHEN o_custkey BETWEEN 5 AND 100 THEN 'S' ELSE o_orderstatus END
+    AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders
+    WHERE o_orderpriority NOT IN ('1-URGENT', '5-LOW')""")
+def update_between_delete_in(spark, sf):
+    t = orders_clone(spark, sf, 2)
+    t.update("o_custkey BETWEEN 5 AND 100", {"o_orderstatus": "S"})
+    t.delete(F.col("o_orderpriority").isin("1-URGENT", "5-LOW"))
+    return t.current()
+
+
 @query("SELECT * FROM orders WHERE o_orderstatus = 'O'")
 def overwrite_commit(spark, sf):
     t = orders_clone(spark, sf)
