@@ -501,3 +501,27 @@ def test_random_statements_against_a_list_of_rows(spark, path, rows, seed):
     assert rows(bag_removed) == sorted((Counter(states[older]) - Counter(states[newer])).elements(), key=repr)
     t.expire(0, force=True)
     assert rows(t.current()) == sorted(model, key=repr)
+
+
+def test_filters_and_columns_reach_every_scan(spark, path):
+    base = spark.range(100).selectExpr("int(id) id", "'x' name", "int(id) score")
+    t = ChangeTable.create(spark, path(), base)
+    t.append(scores(spark, (200, "n", 1)))
+    t.delete("id = 3")
+    plan = t.current().filter("id = 200").select("score")._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert sorted(line.split("ReadSchema: ")[1] for line in scans) == [
+        "struct<_src:int,_rid:bigint>", "struct<id:int,score:int,_src:int,_rid:bigint>"]
+    assert all("EqualTo(id,200)" in line for line in scans if "score" in line)
+
+
+def test_merge_reads_only_keys_of_the_table(spark, path, monkeypatch):
+    from tidemark.operators import merge
+    base = spark.range(100).selectExpr("int(id) id", "'x' name", "int(id) score")
+    t = ChangeTable.create(spark, path(), base)
+    live = t._live(0)
+    src = merge.checked_source(live, scores(spark, (1, "a", 1)), "id")
+    changes = t._merge_changes(live, src, "s.score > t.score", t.schema, set())
+    plan = changes._jdf.queryExecution().executedPlan().toString()
+    reads = [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "FileScan" in line]
+    assert sorted(reads) == ["struct<id:int,score:int,_src:int,_rid:bigint>", "struct<id:int>"]

@@ -116,6 +116,7 @@ def test_hot_row_is_repeated_in_slices(spark, monkeypatch):
     a = spark.range(1).selectExpr("7 AS x", "explode(sequence(1, 95)) AS n").drop("n")
     out = bag_minus(a, spark.createDataFrame([(7,)], "x int"))
     assert out.count() == 94 and out.distinct().count() == 1
+    assert out.select(F.spark_partition_id()).distinct().count() > 1
 
 
 def test_latest_per_key(spark, rows):

@@ -34,8 +34,11 @@ def repeat_rows(df: DataFrame, times: str) -> DataFrame:
             F.lit(0), F.floor((F.col(times) - 1) / COPIES_PER_SLICE))).alias("_slice"))
     share = F.least(F.lit(COPIES_PER_SLICE).cast("bigint"),
                     F.col(times) - F.col("_slice") * COPIES_PER_SLICE)
-    many = slices.withColumn("_share", share).repartition(
-        F.hash(*cols, "_slice")).select(
+    # a stated number of partitions: the adaptive planner would merge these few small rows
+    # back into one task, which then had to write all the copies
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    many = slices.withColumn("_share", share).repartition(tasks, *cols, "_slice").select(
         *cols, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_share"))).alias("_copy"))
     return few.select(*cols).unionByName(many.select(*cols))
 

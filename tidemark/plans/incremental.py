@@ -150,8 +150,11 @@ class TableBookmarks:
         return read_bookmark(self.table.current(), name, default)
 
     def advance(self, name: str, value: str, at: datetime) -> None:
-        row = self.spark.createDataFrame([(name, value, at)], BOOKMARK_SCHEMA)
-        self.table.merge(row, "table_name")
+        own = F.col("table_name") == name
+        if self.table.current().filter(own).isEmpty():
+            self.table.append(self.spark.createDataFrame([(name, value, at)], BOOKMARK_SCHEMA))
+        else:
+            self.table.update(own, {"last_value": value, "updated_at": at})
 
 
 class JdbcBookmarks:
