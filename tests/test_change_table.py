@@ -525,3 +525,40 @@ def test_merge_reads_only_keys_of_the_table(spark, path, monkeypatch):
     plan = changes._jdf.queryExecution().executedPlan().toString()
     reads = [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "FileScan" in line]
     assert sorted(reads) == ["struct<id:int,score:int,_src:int,_rid:bigint>", "struct<id:int>"]
+
+
+def test_column_names(spark, path, rows):
+    t = ChangeTable.create(spark, path(), "`a.b` int, Name string")
+    t.append(spark.createDataFrame([(1, "x"), (2, "y")], "`a.b` int, NAME string"))
+    t.update("`a.b` = 1", {"Name": "z"})
+    t.merge(spark.createDataFrame([(9, "q")], "`a.b` int, name string"), "Name")
+    assert t.columns == ["a.b", "Name"]
+    assert rows(t.current()) == [(1, "z"), (2, "y"), (9, "q")]
+    assert rows(t.diff(1, 3)[0]) == [(1, "z"), (9, "q")]
+    t.restore(1)
+    assert rows(t.current()) == [(1, "x"), (2, "y")]
+    for ddl in ("_w int", "_RID int", "a int, A int"):
+        with pytest.raises(SchemaMismatch):
+            ChangeTable.create(spark, path(), ddl)
+
+
+def test_optimize_leaves_a_tidy_table_alone(spark, path):
+    t = ChangeTable.create(spark, path(), spark.range(1000).selectExpr("id").coalesce(1))
+    v = t.optimize()
+    assert t.history().filter(f"version = {v}").first()["params"]["folded"] == "0"
+    assert t.current().count() == 1000
+
+
+def test_view_by_name(spark, travel, rows):
+    travel.create_view("travel_then", 2)
+    travel.create_view("travel_now")
+    assert rows(spark.sql("SELECT * FROM travel_then")) == STATES[2]
+    assert rows(spark.sql("SELECT * FROM travel_now")) == STATES[4]
+
+
+def test_nested_columns(spark, path, rows):
+    df = spark.sql("SELECT 1 AS id, array(1, 2) AS a, map('k', 1) AS m, named_struct('x', 1.5D) AS s")
+    t = ChangeTable.create(spark, path(), df)
+    t.append(df.withColumn("id", F.lit(2)))
+    t.merge(df.withColumn("a", F.array(F.lit(9))), "id")
+    assert rows(t.current(), "id", "a", "m", "s.x") == [(1, [9], {"k": 1}, 1.5), (2, [1, 2], {"k": 1}, 1.5)]

@@ -13,6 +13,20 @@ from pyspark.sql import types as T
 
 from ..errors import SchemaMismatch
 
+
+def quoted(name: str) -> str:
+    """A column name that may hold dots or backticks, as text for ``select`` or ``col``."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def by_name(schema: T.StructType) -> dict[str, T.StructField]:
+    """Columns by lower-case name; names that differ in case only are refused, as Spark does."""
+    out = {f.name.lower(): f for f in schema}
+    if len(out) != len(schema):
+        raise SchemaMismatch(f"column names repeat in {schema.names}")
+    return out
+
+
 _TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -38,32 +52,38 @@ def fits(given: T.DataType, wanted: T.DataType) -> bool:
 
 def check_assignable(given: T.StructType, wanted: T.StructType) -> None:
     """Raise :class:`SchemaMismatch` unless ``given`` may be appended to ``wanted``."""
-    known = {f.name: f.dataType for f in wanted}
-    for field in given:
-        if field.name not in known:
+    known = by_name(wanted)
+    for name, field in by_name(given).items():
+        if name not in known:
             raise SchemaMismatch(f"column {field.name} is not in the table")
-        if not fits(field.dataType, known[field.name]):
+        if not fits(field.dataType, known[name].dataType):
             raise SchemaMismatch(
                 f"column {field.name}: {field.dataType.simpleString()} cannot be stored as "
-                f"{known[field.name].simpleString()}")
+                f"{known[name].dataType.simpleString()}")
 
 
 def evolved(wanted: T.StructType, given: T.StructType) -> T.StructType:
     """``wanted`` with the new columns of ``given`` added, nullable, at the end."""
-    names = set(wanted.names)
-    extra = [T.StructField(f.name, f.dataType, True) for f in given if f.name not in names]
+    known = by_name(wanted)
+    extra = [T.StructField(f.name, f.dataType, True) for name, f in by_name(given).items() if name not in known]
     return T.StructType(list(wanted) + extra)
 
 
 def align(df: DataFrame, wanted: T.StructType) -> DataFrame:
     """Cast and order ``df`` by name into ``wanted``; missing columns become NULL."""
-    have = {f.name: f.dataType for f in df.schema}
-    if list(have.items()) == [(f.name, f.dataType) for f in wanted]:
+    if [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in wanted]:
         return df
-    return df.select(*[
-        f"`{f.name}`" if have.get(f.name) == f.dataType
-        else (F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in wanted])
+    have = by_name(df.schema)
+    out = []
+    for field in wanted:
+        own = have.get(field.name.lower())
+        if own is None:
+            out.append(F.lit(None).cast(field.dataType).alias(field.name))
+        elif own.dataType == field.dataType:
+            out.append(F.col(quoted(field.name)).alias(field.name))
+        else:
+            out.append(F.col(quoted(field.name)).cast(field.dataType).alias(field.name))
+    return df.select(*out)
 
 
 def add_missing(df: DataFrame, columns: dict[str, str]) -> DataFrame:

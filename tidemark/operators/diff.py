@@ -10,13 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.schema import quoted
+
 # A row is emitted in slices of this many copies, so no task has to write a hot row alone.
 COPIES_PER_SLICE = 10_000
 
 
 def set_minus(left: DataFrame, right: DataFrame) -> DataFrame:
     """Distinct rows of ``left`` that ``right`` does not have (NULL equals NULL)."""
-    cols = left.columns
+    cols = [*map(quoted, left.columns)]
     both = left.withColumn("_in_right", F.lit(0)).unionByName(
         right.select(*cols).withColumn("_in_right", F.lit(1)))
     # a row seen only on the left has the maximum tag 0
@@ -26,7 +28,7 @@ def set_minus(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     """Each row ``times`` times over, hot rows spread over many tasks."""
-    cols = [c for c in df.columns if c != times]
+    cols = [quoted(c) for c in df.columns if c != times]
     few = df.filter(F.col(times) <= COPIES_PER_SLICE).select(
         *cols, F.explode(F.sequence(F.lit(1), F.col(times))).alias("_copy"))
     slices = df.filter(F.col(times) > COPIES_PER_SLICE).select(
@@ -45,7 +47,7 @@ def repeat_rows(df: DataFrame, times: str) -> DataFrame:
 
 def bag_minus(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of ``left`` less those of ``right``, copy by copy."""
-    cols = left.columns
+    cols = [*map(quoted, left.columns)]
     both = left.withColumn("_n", F.lit(1).cast("bigint")).unionByName(
         right.select(*cols).withColumn("_n", F.lit(-1).cast("bigint")))
     counted = both.groupBy(*cols).agg(F.sum("_n").alias("_n")).filter("_n > 0")

@@ -25,13 +25,15 @@ def largest_file(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return file_inventory(spark, paths).orderBy(F.desc("length"), "path").limit(1)
 
 
-def folder_bytes(spark: SparkSession, path: str) -> int:
+def folder_size(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(bytes, files) below a path, markers such as _SUCCESS included."""
     p, fs = hadoop_path(spark, path)
-    return fs.getContentSummary(p).getLength()
+    summary = fs.getContentSummary(p)
+    return summary.getLength(), summary.getFileCount()
 
 
 def _file_count(spark: SparkSession, path: str, target_bytes: int) -> int:
-    return max(1, -(-folder_bytes(spark, path) // target_bytes))
+    return max(1, -(-folder_size(spark, path)[0] // target_bytes))
 
 
 def compact_files(spark: SparkSession, path: str, into: str,

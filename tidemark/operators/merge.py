@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import MergeCardinalityError
+from ..functions.schema import quoted
 from .sizes import Size, row_bytes
 
 _HIT = "_hit"
@@ -93,7 +94,7 @@ def unmatched(target: DataFrame, source: Source) -> DataFrame:
         # NULL keys never match: keep them out of the shuffle, where they would share a partition
         rows = rows.filter(_all_set(source.on))
     partner = keys.distinct().withColumn(_HIT, F.lit(True))
-    new = rows.join(partner, source.on, "left_outer").filter(F.col(_HIT).isNull()).select(*rows.columns)
+    new = rows.join(partner, source.on, "left_outer").filter(F.col(_HIT).isNull()).select(*map(quoted, rows.columns))
     if source.size.broadcastable:
         return new
     return new.unionByName(source.rows.filter(~_all_set(source.on)))
@@ -108,14 +109,14 @@ def matched_pairs(target: DataFrame, source: Source, matched_when: str | None) -
 def merge_upsert(target: DataFrame, source: DataFrame, on: str | Sequence[str],
                  matched_when: str | None = None) -> DataFrame:
     """The whole table after the merge. ``source`` must have the columns of ``target``."""
-    src = checked_source(target, source.select(*target.columns), on)
+    src = checked_source(target, source.select(*map(quoted, target.columns)), on)
     flagged = src.maybe_broadcast.withColumn(_HIT, F.lit(True))
     hit = F.col(f"s.{_HIT}")
     if matched_when is not None:
         hit = hit & F.expr(matched_when)
     kept = target.alias("t").join(flagged.alias("s"), _same_key(src.on), "left_outer").select(*[
-        F.when(F.coalesce(hit, F.lit(False)), F.col(f"s.`{f.name}`").cast(f.dataType))
-        .otherwise(F.col(f"t.`{f.name}`")).alias(f.name) for f in target.schema])
+        F.when(F.coalesce(hit, F.lit(False)), F.col(f"s.{quoted(f.name)}").cast(f.dataType))
+        .otherwise(F.col(f"t.{quoted(f.name)}")).alias(f.name) for f in target.schema])
     return kept.unionByName(unmatched(target, src))
 
 

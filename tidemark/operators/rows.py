@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.schema import quoted
+
 
 def condition(predicate: Column | str) -> Column:
     return F.expr(predicate) if isinstance(predicate, str) else predicate
@@ -30,8 +32,8 @@ def update_where(df: DataFrame, predicate: Column | str, assign: dict) -> DataFr
         raise ValueError(f"no such column: {sorted(unknown)}")
     hit = holds(predicate)
     return df.select(*[
-        F.when(hit, value(assign[f.name]).cast(f.dataType)).otherwise(F.col(f"`{f.name}`")).alias(f.name)
-        if f.name in assign else F.col(f"`{f.name}`")
+        F.when(hit, value(assign[f.name]).cast(f.dataType)).otherwise(F.col(quoted(f.name))).alias(f.name)
+        if f.name in assign else F.col(quoted(f.name))
         for f in df.schema])
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.schema import quoted
+
 # A side is broadcast only below both limits; above them the join shuffles.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -34,7 +36,7 @@ def row_bytes(schema: T.StructType):
             fixed += 16
         elif isinstance(field.dataType, (T.StringType, T.BinaryType)):
             fixed += 16
-            parts.append(F.coalesce(F.octet_length(f"`{field.name}`").cast("bigint"), F.lit(0)))
+            parts.append(F.coalesce(F.octet_length(quoted(field.name)).cast("bigint"), F.lit(0)))
         else:
             return None
     total = F.lit(fixed).cast("bigint")

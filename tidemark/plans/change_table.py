@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from ..errors import (CommitConflict, ConstraintViolation, RetentionTooShort, SchemaMismatch,
                       VersionExpired, VersionNotFound)
-from ..functions.schema import align, check_assignable, evolved
+from ..functions.schema import align, by_name, check_assignable, evolved, quoted
 from ..operators import layout, merge
 from ..operators.diff import bag_minus, set_minus
 from ..operators.quality import guarded
@@ -176,7 +176,8 @@ class ChangeTable:
         snapshot.createOrReplaceTempView(name)
 
     def at_version(self, version: int) -> DataFrame:
-        return self._live(version).select(*self._log[version].schema.names)
+        live = self._live(version)
+        return live.select(*map(quoted, self._log[version].schema.names))
 
     def at_timestamp(self, at: datetime) -> DataFrame:
         return self.at_version(self.version_at(at))
@@ -207,7 +208,11 @@ class ChangeTable:
                                   F.max("version").alias("max_version"))
 
     def detail(self) -> DataFrame:
-        """One row: location, files and bytes on disk, live rows, partition columns."""
+        """One row: location, files and bytes on disk, live rows, partition columns.
+
+        ``num_removed`` counts the removed addresses a read has to leave out. Beyond the
+        broadcast limit (one million) they cost a shuffle; ``optimize(full=True)`` drops them.
+        """
         segments = self._chain(self.version)
         live = sum(s.added - s.removed for s in segments)
         folders = [f"{s.root}/data/_seg={s.name}" for s in segments]
@@ -219,6 +224,7 @@ class ChangeTable:
             F.lit(self.path).alias("location"), F.lit(self.version).alias("version"),
             F.count("*").alias("num_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("size_bytes"),
             F.lit(live).cast("bigint").alias("num_rows"),
+            F.lit(sum(s.removed for s in segments)).cast("bigint").alias("num_removed"),
             F.lit(len(segments)).alias("num_segments"),
             F.array(*[F.lit(c) for c in self._partition_by]).cast("array<string>").alias("partition_columns"))
 
@@ -247,7 +253,7 @@ class ChangeTable:
     def _read(self, segments: list[Segment], weight: int, schema: T.StructType) -> DataFrame:
         """Rows of one kind from many folders; folders of a clone's parent keep their root."""
         shape = T.StructType(list(schema) + _STORED + _FOLDERS)
-        cols = schema.names + _ADDRESS
+        cols = [*map(quoted, schema.names), *_ADDRESS]
         out = None
         for root in dict.fromkeys(s.root for s in segments):
             paths = [f"{root}/data/_seg={s.name}/_w={weight}" for s in segments if s.root == root]
@@ -284,6 +290,7 @@ class ChangeTable:
 
     def _commit(self, operation, params, schema, rules, segment, at, *, since=None, pinned=(),
                 readable_from=None, seq=None, metrics=None, replaces=False) -> int:
+        self._check_names(schema, rules)
         last = self._log[-1] if self._log else None
         version = last.version + 1 if last else 0
         ts = _micros(at or _now())
@@ -305,7 +312,11 @@ class ChangeTable:
     def _next_seq(self) -> int:
         return self._log[-1].seq + 1 if self._log else 0
 
-    def _check_rules_known(self, rules, schema):
+    @staticmethod
+    def _check_names(schema: T.StructType, rules: dict) -> None:
+        taken = {f.name for f in _STORED + _FOLDERS} & set(by_name(schema))
+        if taken:
+            raise SchemaMismatch(f"column names {sorted(taken)} are used by the table itself")
         for c in [*rules["partition_by"], *rules["not_null"]]:
             if c not in schema.names:
                 raise SchemaMismatch(f"column {c} is not in the table")
@@ -324,7 +335,7 @@ class ChangeTable:
     def _write(self, changes: DataFrame, schema, rules, only_added: bool, lo: int | None = None,
                keep_address: bool = False, spread: bool = True) -> Segment | None:
         """Write change rows to a new folder and describe it; counts come from the write itself."""
-        self._check_rules_known(rules, schema)
+        self._check_names(schema, rules)
         seq = self._next_seq()
         parts = rules["partition_by"]
         if parts and spread:
@@ -333,7 +344,7 @@ class ChangeTable:
         added = F.col("_w") == 1
         fresh = F.lit(False) if keep_address else added
         rows = changes.select(
-            *[F.col(f"`{c}`") for c in schema.names], "_w",
+            *[F.col(quoted(c)) for c in schema.names], "_w",
             guarded(F.when(fresh, F.lit(seq)).otherwise(F.col("_src")), rules["checks"],
                     rules["not_null"], rules["null_passes"], only_if=added).cast("int").alias("_src"),
             F.when(fresh, F.monotonically_increasing_id()).otherwise(F.col("_rid"))
@@ -412,7 +423,7 @@ class ChangeTable:
         if unknown:
             raise ValueError(f"no such column: {sorted(unknown)}")
         rows = self._live(self.version).filter(holds(predicate))
-        values = [value(assign[c]) if c in assign else F.col(f"`{c}`") for c in self.columns]
+        values = [value(assign[c]) if c in assign else F.col(quoted(c)) for c in self.columns]
         return self._change("UPDATE", {"predicate": predicate}, self._replace(rows, values), at)
 
     def delete(self, predicate: Column | str, *, at: datetime | None = None) -> int:
@@ -438,7 +449,8 @@ class ChangeTable:
             schema = evolved(schema, source.schema)
             self._refuse_retyped(schema)
         check_assignable(source.schema, schema)
-        missing = set(schema.names) - set(source.columns)
+        given = by_name(source.schema)
+        missing = {c for c in schema.names if c.lower() not in given}
         if missing and not evolve:
             raise SchemaMismatch(f"the merge source lacks {sorted(missing)}")
         source = align(source, schema)
@@ -461,11 +473,11 @@ class ChangeTable:
     def _merge_changes(live: DataFrame, src: merge.Source, matched_when: str | None,
                        schema: T.StructType, missing: set[str]) -> DataFrame:
         pairs = merge.matched_pairs(live, src, matched_when).select(
-            *[F.col(f"t.`{c}`" if c in missing else f"s.`{c}`").alias(c) for c in schema.names],
+            *[F.col(f"t.{quoted(c)}" if c in missing else f"s.{quoted(c)}").alias(c) for c in schema.names],
             F.col("t._src").alias("_src"), F.col("t._rid").alias("_rid"))
         out = pairs.select("*", F.explode(F.array(F.lit(-1), F.lit(1))).alias("_w"))
         changed = out.select(
-            *[F.when(F.col("_w") == 1, F.col(f"`{c}`")).alias(c) for c in schema.names], "_w", *_ADDRESS)
+            *[F.when(F.col("_w") == 1, F.col(quoted(c))).alias(c) for c in schema.names], "_w", *_ADDRESS)
         fresh = merge.unmatched(live, src).select(
             "*", F.lit(1).alias("_w"), F.lit(None).cast("int").alias("_src"),
             F.lit(None).cast("bigint").alias("_rid"))
@@ -506,7 +518,7 @@ class ChangeTable:
         old_cols, new_cols = self._log[older].schema.names, self._log[newer].schema.names
         if old_cols != new_cols:
             raise SchemaMismatch(f"versions {older} and {newer} have different columns")
-        came, went = (d.select(*new_cols) for d in self._moved(older, newer))
+        came, went = (d.select(*map(quoted, new_cols)) for d in self._moved(older, newer))
         if bag:
             return bag_minus(came, went), bag_minus(went, came)
         steps = self._log[older + 1:newer + 1]
@@ -521,8 +533,8 @@ class ChangeTable:
         if at_most > BROADCAST_ROWS:
             return set_minus(rows, whole)
         # stream the version past the few candidates; only its equals go on
-        keyed = whole.withColumn("_h", F.xxhash64(*whole.columns))
-        equals = keyed.join(F.broadcast(rows.select(F.xxhash64(*rows.columns).alias("_h"))),
+        keyed = whole.withColumn("_h", F.xxhash64(*map(quoted, whole.columns)))
+        equals = keyed.join(F.broadcast(rows.select(F.xxhash64(*map(quoted, rows.columns)).alias("_h"))),
                             "_h", "left_semi").drop("_h")
         return set_minus(rows, equals)
 
@@ -536,7 +548,7 @@ class ChangeTable:
         came, went = self._moved(version, self.version)
         nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
         changes = came.select(*nothing, F.lit(-1).alias("_w"), *_ADDRESS).unionByName(
-            went.select(*schema.names, F.lit(1).alias("_w"), *_ADDRESS))
+            went.select(*map(quoted, schema.names), F.lit(1).alias("_w"), *_ADDRESS))
         return self._change("RESTORE", {"version": version}, changes, at, schema)
 
     # ------------------------------------------------------------------ copies
@@ -582,11 +594,12 @@ class ChangeTable:
         """
         chain = self._chain(self.version)
         take, since = self._foldable(bool(full or zorder_by))
-        if not take:
+        found = [layout.folder_size(self.spark, f"{s.root}/data/_seg={s.name}") for s in take]
+        files = max(1, -(-sum(size for size, _ in found) // target_bytes))
+        tidy = len(take) == 1 and not take[0].removed and found[0][1] <= 2 * files
+        if not take or (tidy and not zorder_by and not self._partition_by):
             return self._commit("OPTIMIZE", {"folded": 0}, self.schema, self._log[-1].rules, None, at)
         lo = min(s.lo for s in take)
-        size = sum(layout.folder_bytes(self.spark, f"{s.root}/data/_seg={s.name}") for s in take)
-        files = max(1, -(-size // target_bytes))
         rows = self._less_removed([s for s in take if s.added], take, self.schema).withColumn(
             "_w", F.lit(1))
         older = [s for s in take if s.removed and s.removed_from < lo]

@@ -72,7 +72,7 @@ def land_increment(spark, sf):
         SELECT CAST(MAX(o_orderdate) AS VARCHAR) FROM orders WHERE o_orderdate <= TIMESTAMP '{MIDDLE}')
     ELSE 'orders:' || (
         SELECT CAST(MAX(o_orderdate) AS VARCHAR) FROM orders WHERE o_orderdate <= TIMESTAMP '{MIDDLE}')
-        || ':' || (SELECT CAST(MAX(o_orderdate) AS VARCHAR) FROM orders) END AS batch_id FROM orders""")
+        || ':' || (SELECT CAST(MAX(o_orderdate) AS VARCHAR) FROM orders) END AS batch_id FROM orders""", name="run_incremental")
 def incremental_runs(spark, sf):
     """Full load of the rows there were, the newer rows next, and a run that finds nothing."""
     orders, landing = table(spark, sf, "orders"), fresh(spark, "incremental")

@@ -100,7 +100,7 @@ def describe_kv(spark, sf):
     return out
 
 
-@query("SELECT c_mktsegment, COUNT(*) AS cnt FROM customer GROUP BY c_mktsegment")
+@query("SELECT c_mktsegment, COUNT(*) AS cnt FROM customer GROUP BY c_mktsegment", name="create_managed")
 def managed_table_counts(spark, sf):
     schema = "tidemark_managed"
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{scratch_dir(spark, 'schema')}'")

@@ -15,12 +15,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
-    """Register a function under its own name; ``sql`` is the same result in plain SQL."""
+def query(sql: str, name: str | None = None):
+    """Register a function, under its own name by default; ``sql`` is the same result in plain SQL."""
     def keep(fn):
-        QUERIES[fn.__name__] = fn
-        if sql is not None:
-            ORACLES[fn.__name__] = sql
+        QUERIES[name or fn.__name__] = fn
+        ORACLES[name or fn.__name__] = sql
         return fn
     return keep
 

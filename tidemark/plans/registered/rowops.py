@@ -25,7 +25,7 @@ def merge_upsert(spark, sf):
     return upsert(customer, customer_changes(customer), "c_custkey")
 
 
-@query(merge_sql(CUSTOMER, BATCH, "s.c_acctbal > t.c_acctbal"))
+@query(merge_sql(CUSTOMER, BATCH, "s.c_acctbal > t.c_acctbal"), name="merge_newer_wins")
 def merge_newer_wins_by_balance(spark, sf):
     customer = table(spark, sf, "customer")
     return merge_newer_wins(customer, customer_changes(customer), "c_custkey", "c_acctbal")
@@ -77,12 +77,12 @@ def merge_hot_keys(spark, sf):
     return t.current().select("l_suppkey", "l_returnflag", *rest)
 
 
-@query(ORDERS_V3)
+@query(ORDERS_V3, name="update_where")
 def update_where_status(spark, sf):
     return update_where(table(spark, sf, "orders"), "o_orderstatus = 'F'", {"o_orderstatus": "X"})
 
 
-@query("SELECT * FROM orders WHERE (o_totalprice < 50000) IS NOT TRUE")
+@query("SELECT * FROM orders WHERE (o_totalprice < 50000) IS NOT TRUE", name="delete_where")
 def delete_where_cheap(spark, sf):
     return delete_where(table(spark, sf, "orders"), "o_totalprice < 50000")
 
@@ -97,14 +97,14 @@ def soft_delete_current(spark, sf):
 
 @query("""SELECT event_id, ts, user_id, event_type, value FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events)
-    WHERE n = 1""")
+    WHERE n = 1""", name="latest_per_key")
 def latest_per_user(spark, sf):
     events = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
     return latest_per_key(events, "user_id", ["ts", "event_id"])
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_quantity, l_discount FROM lineitem
-    WHERE l_quantity > 0 AND l_discount <= 0.08""")
+    WHERE l_quantity > 0 AND l_discount <= 0.08""", name="check_constraints")
 def check_constraints_split(spark, sf):
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
     return check_constraints(rows, RULES)
@@ -114,7 +114,7 @@ RULES = {"positive_qty": "l_quantity > 0", "modest_discount": "l_discount <= 0.0
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_quantity, l_discount, 'modest_discount' AS violated
-    FROM lineitem WHERE NOT (l_discount <= 0.08)""")
+    FROM lineitem WHERE NOT (l_discount <= 0.08)""", name="constraint_violations")
 def constraint_violations_named(spark, sf):
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
     return constraint_violations(rows, RULES).withColumn("violated", F.array_join("violated", ","))
@@ -145,7 +145,7 @@ def check_amount_consistency(spark, sf):
 @query("""SELECT l_orderkey, l_linenumber,
     CASE WHEN l_orderkey % 13 = 0 THEN 'BAD_QTY' ELSE CAST(l_quantity AS VARCHAR) END AS l_quantity
     FROM lineitem WHERE TRY_CAST(CASE WHEN l_orderkey % 13 = 0 THEN 'BAD_QTY'
-        ELSE CAST(l_quantity AS VARCHAR) END AS DOUBLE) IS NULL""")
+        ELSE CAST(l_quantity AS VARCHAR) END AS DOUBLE) IS NULL""", name="enforce_schema")
 def enforce_schema_report(spark, sf):
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.when(
         F.col("l_orderkey") % 13 == 0, "BAD_QTY").otherwise(F.col("l_quantity").cast("string")).alias("l_quantity"))
@@ -162,7 +162,7 @@ def enforce_schema_align(spark, sf):
 
 
 @query("""SELECT *, CAST(NULL AS DOUBLE) AS discount FROM orders WHERE o_orderkey % 2 = 0
-    UNION ALL SELECT *, o_totalprice * 0.1 FROM orders WHERE o_orderkey % 2 <> 0""")
+    UNION ALL SELECT *, o_totalprice * 0.1 FROM orders WHERE o_orderkey % 2 <> 0""", name="append_evolve")
 def append_evolve_discount(spark, sf):
     orders = table(spark, sf, "orders")
     return append_evolve(orders.filter("o_orderkey % 2 = 0"), orders.filter("o_orderkey % 2 <> 0")
@@ -178,7 +178,7 @@ def append_evolve_table(spark, sf):
     return t.current()
 
 
-@query("SELECT l_orderkey, l_linenumber, l_quantity * l_extendedprice AS amount FROM lineitem")
+@query("SELECT l_orderkey, l_linenumber, l_quantity * l_extendedprice AS amount FROM lineitem", name="derive_amount")
 def derive_amount_of_lines(spark, sf):
     lines = table(spark, sf, "lineitem")
     return derive_amount(lines, "l_quantity", "l_extendedprice").select("l_orderkey", "l_linenumber", "amount")

@@ -55,10 +55,9 @@ def write_new_file(spark: SparkSession, path: str, text: str) -> bool:
 
 
 def _configured_root(spark: SparkSession) -> str | None:
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    return (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+            or spark.sparkContext.getCheckpointDir())
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -80,8 +79,7 @@ def scratch_root(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = f"{fs.getHomeDirectory().toString()}/tidemark"
     spark.sparkContext.setCheckpointDir(root)
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
