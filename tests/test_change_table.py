@@ -111,9 +111,11 @@ def test_diff_is_set_or_bag(spark, path, rows):
     assert rows(removed) == [(2, "B", 2)]
 
 
-def test_diff_beyond_broadcast_limit(travel, rows, monkeypatch):
-    monkeypatch.setattr("tidemark.plans.change_table.BROADCAST_ROWS", 0)
+@pytest.mark.parametrize("limit", [0, 1])
+def test_diff_beyond_broadcast_limit(spark, travel, path, rows, monkeypatch, limit):
+    monkeypatch.setattr("tidemark.plans.change_table.BROADCAST_ROWS", limit)
     test_diff(travel, rows)
+    test_diff_is_set_or_bag(spark, path, rows)
 
 
 def test_restore_is_a_new_version(travel, rows):

@@ -40,7 +40,7 @@ from ..operators.diff import bag_minus, set_minus
 from ..operators.quality import guarded
 from ..operators.rows import holds, value
 from ..operators.sizes import BROADCAST_ROWS
-from ..session import hadoop_path, write_new_file
+from ..session import hadoop_path, scratch_dir, write_new_file
 
 DEFAULT_RETENTION_HOURS = 168
 _ADDRESS = ["_src", "_rid"]
@@ -500,9 +500,13 @@ class ChangeTable:
         came = self._less_removed(recent, chain, self._log[newer].schema).filter(F.col("_src") > floor)
         steps = [c.segment for c in self._log[older + 1:newer + 1]
                  if c.segment and c.since == c.version and c.segment.removed]
-        was = self._live(older)
         if not steps:
-            return came, was.limit(0)
+            return came, self._live(older).limit(0)
+        # folders older than any address removed since hold none of the rows asked for
+        low = min(s.removed_from for s in steps)
+        before = self._chain(older)
+        was = self._less_removed([s for s in before if s.added and s.hi >= low], before,
+                                 self._log[older].schema)
         return came, was.join(self._removed(steps), _ADDRESS, "left_semi")
 
     def _replaced(self, older: int, newer: int) -> bool:
@@ -511,7 +515,9 @@ class ChangeTable:
     def diff(self, older: int, newer: int, *, bag: bool = False) -> tuple[DataFrame, DataFrame]:
         """(rows in ``newer`` but not in ``older``, the reverse), as sets unless ``bag``.
 
-        Rows that both versions share by address cancel out and are never shuffled.
+        Rows that both versions share by address cancel out and are never shuffled. As
+        bags that is all, so only the changes are read. As sets each changed row is also
+        looked up in the other version, which is scanned once.
         """
         if older > newer:
             return self.diff(newer, older, bag=bag)[::-1]
@@ -527,16 +533,32 @@ class ChangeTable:
         return (self._not_in(came, self.at_version(older), n_came),
                 self._not_in(went, self.at_version(newer), n_went))
 
-    @staticmethod
-    def _not_in(rows: DataFrame, whole: DataFrame, at_most: int) -> DataFrame:
-        """Distinct ``rows`` that the ``whole`` version does not hold elsewhere."""
-        if at_most > BROADCAST_ROWS:
-            return set_minus(rows, whole)
-        # stream the version past the few candidates; only its equals go on
-        keyed = whole.withColumn("_h", F.xxhash64(*map(quoted, whole.columns)))
-        equals = keyed.join(F.broadcast(rows.select(F.xxhash64(*map(quoted, rows.columns)).alias("_h"))),
-                            "_h", "left_semi").drop("_h")
-        return set_minus(rows, equals)
+    def _not_in(self, rows: DataFrame, whole: DataFrame, at_most: int) -> DataFrame:
+        """Distinct ``rows`` that the ``whole`` version does not hold elsewhere.
+
+        Only equal hashes can be equal rows. Few candidates are broadcast as hashes, past
+        which the version streams. Many candidates meet the version's bare hashes in a
+        shuffle; the hashes found on both sides are written out and, being few unless rows
+        really repeat, take the place of the candidates. Hashes only narrow the search:
+        rows are told apart by all their columns.
+        """
+        names = [*map(quoted, rows.columns)]
+        rows, whole = (d.withColumn("_h", F.xxhash64(*names)) for d in (rows, whole))
+        suspects, few = rows.select("_h"), at_most <= BROADCAST_ROWS
+        if not few:
+            folder = f"{scratch_dir(self.spark, 'diff')}/suspects"
+            common = suspects.distinct().join(whole.select("_h").distinct(), "_h", "left_semi")
+            seen = Observation()
+            common.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(folder)
+            suspects, few = self.spark.read.parquet(folder), seen.get["n"] <= BROADCAST_ROWS
+        if not few:
+            return set_minus(rows.select(*names), whole.select(*names))
+        equals = whole.join(F.broadcast(suspects), "_h", "left_semi").select(*names)
+        if at_most <= BROADCAST_ROWS:
+            return set_minus(rows.select(*names), equals)
+        fresh = rows.join(F.broadcast(suspects), "_h", "left_anti").select(*names).distinct()
+        doubtful = rows.join(F.broadcast(suspects), "_h", "left_semi").select(*names)
+        return fresh.unionByName(set_minus(doubtful, equals))
 
     def restore(self, version: int, *, at: datetime | None = None) -> int:
         """A new version with the rows and columns of an old one. Moves only the difference."""
