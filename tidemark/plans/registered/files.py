@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ...session import scratch_dir
@@ -14,6 +16,11 @@ from ...operators import file_inventory as inventory, partition_counts
 from .registry import fresh, query, table
 
 
+def _own_name(label: str) -> str:
+    """A table name no other application uses, where the catalog is shared."""
+    return f"tidemark_{label}_{uuid.uuid4().hex[:8]}"
+
+
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
 def read_delimited(spark, sf):
     """CSV written and read back with inferred types."""
@@ -66,7 +73,7 @@ def read_text_lines(spark, sf):
 @query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
 def csv_table_query(spark, sf):
     """CSV files under a table name; the name can go, the files stay."""
-    path, name = fresh(spark, "csv-table"), "tidemark_orders_csv"
+    path, name = fresh(spark, "csv-table"), _own_name("orders_csv")
     write_delimited(table(spark, sf, "orders"), path)
     drop_table(spark, name)
     register_external(spark, name, path, "csv", header="true", inferSchema="true")
@@ -79,7 +86,7 @@ def csv_table_query(spark, sf):
 @query("SELECT * FROM supplier")
 def drop_recreate(spark, sf):
     """Dropping an external table keeps the files, so it can be registered again."""
-    path, name = fresh(spark, "external"), "tidemark_supplier_external"
+    path, name = fresh(spark, "external"), _own_name("supplier_external")
     write_parquet(table(spark, sf, "supplier"), path)
     drop_table(spark, name)
     register_external(spark, name, path)
@@ -96,8 +103,7 @@ def describe_kv(spark, sf):
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{scratch_dir(spark, 'schema')}'")
     name = f"{schema}.orders_managed"
     create_managed(table(spark, sf, "orders"), name)
-    out = describe(spark, name, {"Provider", "Type", "o_orderkey"})
-    return out
+    return describe(spark, name, {"Provider", "Type", "o_orderkey"})
 
 
 @query("SELECT c_mktsegment, COUNT(*) AS cnt FROM customer GROUP BY c_mktsegment", name="create_managed")
