@@ -21,7 +21,7 @@ def at(minute):
 @pytest.fixture
 def source(spark):
     def build(*changes):
-        base = {"C001": ("Pune", False, at(0)), "C002": ("Mumbai", False, at(1)), "C003": ("Nagpur", False, at(2))}
+        base = {"C001": ("Oslo", False, at(0)), "C002": ("Lima", False, at(1)), "C003": ("Turin", False, at(2))}
         for key, *values in changes:
             base[key] = tuple(values)
         return FrameSource(spark.createDataFrame([(k, *v) for k, v in base.items()], SOURCE), "lastmodified")
@@ -41,14 +41,14 @@ def test_runs_follow_the_bookmark(spark, source, marks, path, rows):
     idle = run(source())
     assert idle.landed == 0 and not idle.advanced
     assert marks.get("customers") == "2026-01-01 10:02:00"
-    assert run(source(("C001", "Pune - Hinjewadi", False, at(5)))).landed == 1
-    gone = run(source(("C001", "Pune - Hinjewadi", False, at(5)), ("C002", "Mumbai", True, at(6))))
+    assert run(source(("C001", "Oslo - Harbour", False, at(5)))).landed == 1
+    gone = run(source(("C001", "Oslo - Harbour", False, at(5)), ("C002", "Lima", True, at(6))))
     assert (gone.landed, gone.hi) == (1, "2026-01-01 10:06:00")
     landed = spark.read.parquet(landing)
     assert landed.count() == 5
     latest = latest_per_key(landed, "customer_id", ["lastmodified", "ingested_at"])
     assert rows(latest, "customer_id", "address", "isDeleted") == [
-        ("C001", "Pune - Hinjewadi", False), ("C002", "Mumbai", True), ("C003", "Nagpur", False)]
+        ("C001", "Oslo - Harbour", False), ("C002", "Lima", True), ("C003", "Turin", False)]
     assert latest.schema["ingest_date"].dataType.simpleString() == "date"
 
 
@@ -61,7 +61,7 @@ def test_other_bookmarks_stay(spark, source, marks, path, rows):
 
 
 def test_untimed_rows_are_reported(spark, marks, path):
-    df = spark.createDataFrame([("C001", "Pune", False, None), ("C002", "Goa", False, None)], SOURCE)
+    df = spark.createDataFrame([("C001", "Oslo", False, None), ("C002", "Quito", False, None)], SOURCE)
     out = run_incremental("customers", FrameSource(df, "lastmodified"), marks, path("landing"), now=NOW)
     assert (out.landed, out.untimed, out.hi, out.advanced) == (2, 2, None, False)
     assert marks.get("customers") is None
@@ -72,7 +72,7 @@ def test_untimed_rows_are_reported(spark, marks, path):
 
 
 def test_first_load_takes_untimed_rows_too(spark, marks, path):
-    df = spark.createDataFrame([("C001", "Pune", False, None), ("C002", "Goa", False, at(1))], SOURCE)
+    df = spark.createDataFrame([("C001", "Oslo", False, None), ("C002", "Quito", False, at(1))], SOURCE)
     out = run_incremental("customers", FrameSource(df, "lastmodified"), marks, path("landing"), now=NOW)
     assert (out.landed, out.hi) == (2, "2026-01-01 10:01:00")
 

@@ -23,25 +23,25 @@ def ts(text):
 @pytest.fixture
 def customers(spark):
     return spark.createDataFrame([
-        ("C-01", "Riya", "Sharma", "riya@example.com", "Pune", True, ts("2026-01-01 10:00:00")),
-        ("C-02", "Aman", "Verma", "aman@example.com", "Mumbai", True, ts("2026-01-01 11:00:00")),
-        ("C-03", "Neha", "Singh", "neha@example.com", "Delhi", True, ts("2026-01-01 12:00:00"))], CUSTOMER)
+        ("C-01", "Lena", "Frost", "lena@example.com", "Oslo", True, ts("2026-01-01 10:00:00")),
+        ("C-02", "Omar", "Vale", "omar@example.com", "Lima", True, ts("2026-01-01 11:00:00")),
+        ("C-03", "Nora", "Stone", "nora@example.com", "Bern", True, ts("2026-01-01 12:00:00"))], CUSTOMER)
 
 
 @pytest.fixture
 def batch(spark):
     return spark.createDataFrame([
-        ("C-02", "Aman", "Verma", "aman_new@example.com", "Mumbai", True, ts("2026-01-02 09:00:00")),
-        ("C-03", "Neha", "Singh", "neha@example.com", "Bengaluru", True, ts("2026-01-02 09:05:00")),
-        ("C-04", "Kabir", "Joshi", "kabir@example.com", "Pune", True, ts("2026-01-02 09:10:00")),
-        ("C-01", "Riya", "Sharma", "riya@example.com", "Pune", False, ts("2026-01-02 09:20:00"))], CUSTOMER)
+        ("C-02", "Omar", "Vale", "omar_new@example.com", "Lima", True, ts("2026-01-02 09:00:00")),
+        ("C-03", "Nora", "Stone", "nora@example.com", "Cairo", True, ts("2026-01-02 09:05:00")),
+        ("C-04", "Kim", "Jones", "kim@example.com", "Oslo", True, ts("2026-01-02 09:10:00")),
+        ("C-01", "Lena", "Frost", "lena@example.com", "Oslo", False, ts("2026-01-02 09:20:00"))], CUSTOMER)
 
 
 def test_newer_wins(customers, batch, rows):
     out = merge_newer_wins(customers, batch, "customer_id", "last_modified_ts")
     assert rows(out, "customer_id", "email", "city", "is_active") == [
-        ("C-01", "riya@example.com", "Pune", False), ("C-02", "aman_new@example.com", "Mumbai", True),
-        ("C-03", "neha@example.com", "Bengaluru", True), ("C-04", "kabir@example.com", "Pune", True)]
+        ("C-01", "lena@example.com", "Oslo", False), ("C-02", "omar_new@example.com", "Lima", True),
+        ("C-03", "nora@example.com", "Cairo", True), ("C-04", "kim@example.com", "Oslo", True)]
     assert active_rows(out.withColumn("gone", ~F.col("is_active")), "gone").count() == 3
 
 
@@ -56,11 +56,11 @@ def test_older_and_equal_changes_lose(customers, batch, rows):
 def test_second_batch(spark, customers, batch, rows):
     one = merge_newer_wins(customers, batch, "customer_id", "last_modified_ts")
     second = spark.createDataFrame([
-        ("C-04", "Kabir", "Joshi", "kabir@example.com", "Goa", True, ts("2026-01-03 00:00:00")),
-        ("C-06", "Ira", "Rao", "ira@example.com", "Delhi", True, ts("2026-01-03 00:00:00"))], CUSTOMER)
+        ("C-04", "Kim", "Jones", "kim@example.com", "Quito", True, ts("2026-01-03 00:00:00")),
+        ("C-06", "Ida", "Roth", "ida@example.com", "Bern", True, ts("2026-01-03 00:00:00"))], CUSTOMER)
     two = merge_newer_wins(one, second, "customer_id", "last_modified_ts")
     assert two.count() == 5
-    assert rows(two.filter("customer_id >= 'C-04'"), "customer_id", "city") == [("C-04", "Goa"), ("C-06", "Delhi")]
+    assert rows(two.filter("customer_id >= 'C-04'"), "customer_id", "city") == [("C-04", "Quito"), ("C-06", "Bern")]
 
 
 @pytest.mark.parametrize("limit", [0, 1_000_000])

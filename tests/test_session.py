@@ -1,6 +1,6 @@
 import pytest
 
-from tidemark.session import hadoop_path, scratch_dir, scratch_root, write_new_file
+from tidemark.session import hadoop_path, scratch_dir, scratch_root, size_shuffles, write_new_file
 
 
 class Named:
@@ -40,3 +40,13 @@ def test_small_file_is_created_once(spark, tmp_path):
     assert write_new_file(spark, target, "first")
     assert not write_new_file(spark, target, "second")
     assert open(target).read() == "first"
+
+
+def test_shuffle_partitions_follow_the_bytes(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 0) == 2 * spark.sparkContext.defaultParallelism
+        assert size_shuffles(spark, 100 * 1024 ** 4) == 546134
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "546134"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..session import hadoop_path
 
+# fixed value: the usual target of lakehouse compaction
 TARGET_FILE_BYTES = 268_435_456
 _BITS = 8      # range ids per column in a z-value: 256
 

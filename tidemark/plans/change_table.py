@@ -42,6 +42,7 @@ from ..operators.rows import holds, value
 from ..operators.sizes import BROADCAST_ROWS
 from ..session import hadoop_path, scratch_dir, write_new_file
 
+# fixed value: the usual default of lakehouse tables
 DEFAULT_RETENTION_HOURS = 168
 _ADDRESS = ["_src", "_rid"]
 _STORED = [T.StructField("_src", T.IntegerType()), T.StructField("_rid", T.LongType())]
@@ -441,13 +442,15 @@ class ChangeTable:
         back (``stage``): it is computed once, and every step sees the same rows. Pass
         ``stage=False`` for a plain scan of files that do not change meanwhile.
 
-        With ``evolve`` the source may bring new columns and may lack some of the table's;
+        Source columns the table lacks are ignored. With ``evolve`` the source may bring new columns and may lack some of the table's;
         those keep their value in updated rows and are NULL in inserted ones.
         """
         schema = self.schema
         if evolve:
             schema = evolved(schema, source.schema)
             self._refuse_retyped(schema)
+        known = by_name(schema)
+        source = source.select(*[quoted(c) for c in source.columns if c.lower() in known])
         check_assignable(source.schema, schema)
         given = by_name(source.schema)
         missing = {c for c in schema.names if c.lower() not in given}

@@ -24,6 +24,7 @@ from ..sinks.jdbc import write_jdbc
 from ..sources.jdbc import as_table, high_water_sql, jdbc_split, read_jdbc, window_predicate
 from .change_table import ChangeTable
 
+# fixed values: the columns of bookmark tables that jobs already write
 BOOKMARK_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType(), False),
     T.StructField("last_value", T.StringType(), True),

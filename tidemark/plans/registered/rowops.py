@@ -143,12 +143,12 @@ def check_amount_consistency(spark, sf):
 
 
 @query("""SELECT l_orderkey, l_linenumber,
-    CASE WHEN l_orderkey % 13 = 0 THEN 'BAD_QTY' ELSE CAST(l_quantity AS VARCHAR) END AS l_quantity
-    FROM lineitem WHERE TRY_CAST(CASE WHEN l_orderkey % 13 = 0 THEN 'BAD_QTY'
+    CASE WHEN l_orderkey % 13 = 0 THEN 'many' ELSE CAST(l_quantity AS VARCHAR) END AS l_quantity
+    FROM lineitem WHERE TRY_CAST(CASE WHEN l_orderkey % 13 = 0 THEN 'many'
         ELSE CAST(l_quantity AS VARCHAR) END AS DOUBLE) IS NULL""", name="enforce_schema")
 def enforce_schema_report(spark, sf):
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.when(
-        F.col("l_orderkey") % 13 == 0, "BAD_QTY").otherwise(F.col("l_quantity").cast("string")).alias("l_quantity"))
+        F.col("l_orderkey") % 13 == 0, "many").otherwise(F.col("l_quantity").cast("string")).alias("l_quantity"))
     return uncastable_rows(rows, "l_quantity", "double")
 
 
@@ -170,11 +170,11 @@ def append_evolve_discount(spark, sf):
 
 
 @query("""SELECT *, CAST(NULL AS VARCHAR) AS source_system FROM orders WHERE o_orderkey % 2 = 0
-    UNION ALL SELECT *, 'csv_landing' FROM orders WHERE o_orderkey % 2 <> 0""")
+    UNION ALL SELECT *, 'landing' FROM orders WHERE o_orderkey % 2 <> 0""")
 def append_evolve_table(spark, sf):
     orders = table(spark, sf, "orders")
     t = ChangeTable.create(spark, fresh(spark, "evolve"), orders.filter("o_orderkey % 2 = 0"))
-    t.append(orders.filter("o_orderkey % 2 <> 0").withColumn("source_system", F.lit("csv_landing")), evolve=True)
+    t.append(orders.filter("o_orderkey % 2 <> 0").withColumn("source_system", F.lit("landing")), evolve=True)
     return t.current()
 
 

@@ -22,6 +22,9 @@ DEFAULTS = {
 }
 
 
+SHUFFLE_PARTITION_BYTES = 192 * 1024 * 1024
+
+
 def build_session(app: str = "tidemark", master: str | None = None, **conf) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -31,6 +34,18 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf) -> S
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, shuffled_bytes: int) -> int:
+    """Set the number of shuffle partitions for the bytes a job will shuffle.
+
+    The adaptive planner joins partitions that turn out small, but never makes more than
+    this number, so the default of 200 would give tasks of half a terabyte at 100 TB.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    parts = max(2 * cores, -(-shuffled_bytes // SHUFFLE_PARTITION_BYTES))
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    return parts
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """The Hadoop path object and the file system it lives on."""
     jvm = spark.sparkContext._jvm
