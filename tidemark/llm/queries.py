@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, exact, packing
-from .common import table
+from . import bpe, exact, langid, licences, packing, quality, token_count
+from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +25,24 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_licence_scan(spark, sf_dir):
+    """Every line, paragraph and document that is a licence notice."""
+    return licences.scan_licences(table(spark, sf_dir, "documents")).drop("unit_text")
+
+
+ORACLES["op1_licence_scan"] = licences.scan_sql()
+
+
+@query
+def op2_quality(spark, sf_dir):
+    """Every document's quality; rows whose remainder by 5 is 0 teach nothing."""
+    labels = table(spark, sf_dir, "labels").filter(crc_mod(F.col("doc_id"), 5) != 0)
+    scored = quality.classify_quality(table(spark, sf_dir, "documents"), labels)
+    return scored.select("doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query
 def op4_exact_dedup(spark, sf_dir):
     """Every document: the row that stands for its text, and how many share it."""
@@ -45,6 +64,25 @@ def op5_bpe_roundtrip(spark, sf_dir):
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), keep_ids=False)
 
 
+def language_model(docs: DataFrame) -> langid.LanguageModel:
+    """Learnt from the rows whose remainder by 3 is not 1."""
+    return langid.fit_language_model(docs, crc_mod(F.col("doc_id"), 3) != 1)
+
+
+@query
+def op6_language_id(spark, sf_dir):
+    """Every document's language."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.languages_of(docs, language_model(docs)).select(
+        "doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_token_counts(spark, sf_dir):
+    """Every document's words and unigram tokens."""
+    return token_count.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 @query
 def op10_packing(spark, sf_dir):
     """Every document's tokens in sequences of at most 4096."""
