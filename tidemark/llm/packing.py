@@ -17,6 +17,7 @@ items of their own. An empty input gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 
@@ -26,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import byte_chars
 from .common import id_text, spread, staged, texts
 
 GROUP = 8192
 KEPT_PIECES = 400_000
 END_TOKEN = 2
-# Characters that split() takes for white space and the tokenizer's pattern does not.
-SEPARATORS = "\x1c\x1d\x1e\x1f"
+MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~|"        # ASCII marks but ' and <, >, which begin or make up tokens
+BEYOND = re.compile("[^\x00-\u02ff]|\u0130").search
+SEPARATORS = "\x1c\x1d\x1e\x1f"       # split() takes these for white space, the tokenizer's pattern does not
 
 
 def fill_sequences(sizes: np.ndarray, limits: np.ndarray) -> np.ndarray:
@@ -92,11 +95,13 @@ def pack(items: DataFrame, max_tokens: int, max_segments: int, max_loss: int, gr
 
 
 class WordTokenizer:
-    """A vocabulary of the tokenizers library whose tokens never span white space.
+    """A vocabulary of the tokenizers library that lower-cases and drops white space.
 
-    The library encodes each distinct piece between white space once; texts are joined
-    from these. Two tables of bounded size keep the pieces, as the older one is dropped
-    when the younger is full.
+    Its tokens never span white space, nor the seam between letters and what follows
+    them, so the library encodes each distinct piece once and texts are joined from
+    these. Text beyond U+02FF, where lower-casing and composition are not settled letter
+    by letter, goes to the library in pieces as it stands. Two tables of bounded size
+    keep the pieces, as the older one is dropped when the younger is full.
     """
 
     def __init__(self, path: str):
@@ -105,30 +110,45 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.letters = {b: c for c, b in byte_chars().items()}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _learn(self, pieces: list[str]) -> None:
-        new = []
-        for p in pieces:
-            known = self.old.get(p)
-            if known is None:
-                new.append(p)
+    def _library(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _letters(self, word: str) -> bytes:
+        """Ids of a lower-case word of letters: a pre-token, to which only the merges apply."""
+        known = self.young.get(word) or self.old.get(word)
+        if known is None:
+            spelt = "".join(map(self.letters.__getitem__, word.encode()))
+            known = array("I", [t.id for t in self.tokenizer.model.tokenize(spelt)]).tobytes()
+        self.young[word] = known
+        return known
+
+    def _learn(self, piece: str, simple: bool) -> bytes:
+        if simple and piece.isalpha():
+            return self._letters(piece)
+        ids = self.old.get(piece)
+        if ids is None:
+            head = piece.rstrip(MARKS)
+            if simple and head.isalpha():
+                tail = piece[len(head):]
+                ids = self._letters(head) + (self.young.get(tail) or self._library(tail))
             else:
-                self.young[p] = known
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.young[p] = array("I", e.ids).tobytes()
+                ids = self._library(piece)
+        self.young[piece] = ids
+        return ids
 
     def encode(self, text: str) -> bytes:
         if any(c in text for c in SEPARATORS):
-            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        pieces = text.split()
+            return self._library(text)
         if len(self.young) >= KEPT_PIECES:
             self.young, self.old = {}, self.young
-        missing = [p for p in set(pieces) if p not in self.young]
-        if missing:
-            self._learn(missing)
-        return b"".join(map(self.young.__getitem__, pieces))
+        # text with a special token in it stays as it stands, for these keep their case
+        simple = "<|" not in text and (text.isascii() or not BEYOND(text))
+        get, learn = self.young.get, self._learn
+        return b"".join([get(p) or learn(p, simple) for p in (text.lower() if simple else text).split()])
 
 
 _loaded: dict[str, WordTokenizer] = {}
