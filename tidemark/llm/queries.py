@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, langid, licences, packing, quality, token_count
+from . import bpe, exact, langid, licences, packing, quality, token_count, vectors
 from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +83,12 @@ def op7_token_counts(spark, sf_dir):
     return token_count.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+@query
+def op8_embedding_dedup(spark, sf_dir):
+    """Every vector's links of cosine 0.93 or more under its label, and its component."""
+    return vectors.link_vectors(table(spark, sf_dir, "embeddings"), 0.93)
+
+
 @query
 def op10_packing(spark, sf_dir):
     """Every document's tokens in sequences of at most 4096."""
