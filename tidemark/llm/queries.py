@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, langid, licences, packing, quality, token_count, vectors
+from . import bpe, exact, langid, licences, minhash, packing, quality, token_count, vectors
 from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,12 @@ def op2_quality(spark, sf_dir):
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@query
+def op3_minhash_dedup(spark, sf_dir):
+    """Every document's class of near copies (weighted Jaccard of five-word shingles 0.8 or more)."""
+    return minhash.near_classes(table(spark, sf_dir, "documents"), 0.8)
+
+
 @query
 def op4_exact_dedup(spark, sf_dir):
     """Every document: the row that stands for its text, and how many share it."""
