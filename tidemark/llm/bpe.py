@@ -28,6 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .automaton import Automaton
 from .common import id_text, sha256_hex, spread, texts
 
 # The public byte-level pattern, and the bytes that stand for themselves.
@@ -49,7 +50,7 @@ class Uneven(Exception):
     """White space beside a space."""
 
 
-class SuffixAutomaton:
+class TokenAutomaton(Automaton):
     """All substrings of a set of words; each word's state knows the word.
 
     Following the bytes of a text, with suffix links where no transition is left, the state
@@ -59,47 +60,14 @@ class SuffixAutomaton:
     """
 
     def __init__(self, words: dict[bytes, int]):
-        self.next: list[dict[int, int]] = [{}]
-        self.link, self.length = [-1], [0]
-        word: dict[int, int] = {}
-        for text, number in words.items():
-            last = 0
-            for byte in text:
-                last = self._extend(last, byte)
-            word[last] = number
+        super().__init__()
+        word = {self.add(text): number for text, number in words.items()}
         self.word = [word.get(s, -1) for s in range(len(self.link))]
         self.up = [0] * len(self.link)
         for s in sorted(range(1, len(self.link)), key=self.length.__getitem__):
             above = self.link[s]
             self.up[s] = above if above <= 0 or self.word[above] >= 0 else self.up[above]
 
-    def _state(self, length: int, link: int, nexts: dict[int, int]) -> int:
-        self.next.append(nexts)
-        self.link.append(link)
-        self.length.append(length)
-        return len(self.link) - 1
-
-    def _split(self, at: int, byte: int, below: int) -> int:
-        copy = self._state(self.length[at] + 1, self.link[below], dict(self.next[below]))
-        self.link[below] = copy
-        while at >= 0 and self.next[at].get(byte) == below:
-            self.next[at][byte] = copy
-            at = self.link[at]
-        return copy
-
-    def _extend(self, last: int, byte: int) -> int:
-        below = self.next[last].get(byte)
-        if below is not None:
-            return below if self.length[below] == self.length[last] + 1 else self._split(last, byte, below)
-        new, at = self._state(self.length[last] + 1, 0, {}), last
-        while at >= 0 and byte not in self.next[at]:
-            self.next[at][byte] = new
-            at = self.link[at]
-        if at >= 0:
-            below = self.next[at][byte]
-            self.link[new] = below if self.length[below] == self.length[at] + 1 else self._split(at, byte, below)
-        return new
-
 
 class ByteBpe:
     """A vocabulary file of the tokenizers library (byte-level BPE)."""
@@ -121,7 +89,7 @@ class ByteBpe:
             self.rank[vocab[a], vocab[b]] = r
             self.parts.setdefault(joined, (vocab[a], vocab[b], r))
         made = {self.bytes_of[i]: i for i in vocab.values() if i in self.parts or self.length[i] == 1}
-        self.automaton = SuffixAutomaton(made)
+        self.automaton = TokenAutomaton(made)
         self.split = regex.compile(PATTERN).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.spines: dict[tuple[int, int], list[tuple[int, int]]] = {}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, langid, licences, minhash, packing, quality, token_count, vectors
+from . import bpe, exact, langid, licences, minhash, packing, quality, substring, token_count, vectors
 from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +95,12 @@ def op8_embedding_dedup(spark, sf_dir):
     return vectors.link_vectors(table(spark, sf_dir, "embeddings"), 0.93)
 
 
+@query
+def op9_substring_dedup(spark, sf_dir):
+    """Every document without the words of windows of 20 that occur earlier."""
+    return substring.cut_repeats(table(spark, sf_dir, "documents"), 20, with_text=False)
+
+
 @query
 def op10_packing(spark, sf_dir):
     """Every document's tokens in sequences of at most 4096."""
