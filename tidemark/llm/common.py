@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_dir
+from ..session import hadoop_path, scratch_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,7 +20,16 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read again: lineage ends here."""
     path = f"{scratch_dir(df.sparkSession, label)}/t"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more; what was made of them is staged itself."""
+    for df in tables:
+        path, fs = hadoop_path(df.sparkSession, df.staged_at)
+        fs.delete(path, True)
 
 
 def importable(spark: SparkSession) -> None:

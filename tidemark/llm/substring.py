@@ -36,11 +36,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .automaton import Automaton
-from .common import id_text, sha256_hex, spread, staged, texts
+from .common import id_text, quoted, release, sha256_hex, spread, staged, texts
 from .shingles import runs, word_hashes
 
 WINDOW = 20
@@ -197,12 +197,12 @@ def result_row(row: int, doc_id: int, data: bytes, starts: np.ndarray, window: i
     words = data.split()
     gone = cut(words, starts, window)
     return {"kind": 2, "row": row, "doc_id": doc_id, "n_words": len(words), "n_removed": int(gone.sum()),
-            "sha": sha256_hex(b" ".join(w for w, g in zip(words, gone) if not g)), "starts": _pack(starts.astype(np.int64).tobytes()),
-            "body": rest_of(data, gone) if with_text else None}
+            "sha": sha256_hex(b" ".join(w for w, g in zip(words, gone) if not g)), "own_sha": sha256_hex(data), "starts": _pack(starts.astype(np.int64).tobytes()),
+            "body": rest_of(data, gone) if with_text and gone.any() else None}
 
 
 SPANS = ("block long, kind int, home long, row long, doc_id long, start long, n_words long, n_removed long, "
-         "sha string, starts binary, body string")
+         "sha string, own_sha string, starts binary, body string")
 COLUMNS = [c.split()[0] for c in SPANS.split(", ")]
 
 
@@ -272,10 +272,11 @@ def judge(pdf: pd.DataFrame, window: int) -> list[tuple[int, int, int]]:
 
 def cut_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
                 with_text: bool = True) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, kept_sha256, and with ``with_text`` the text that stays.
+    """One row per document: doc_id, n_words, n_removed, kept_sha256, and with ``with_text`` also text and own_sha256.
 
-    Ids are integers. ``kept_sha256`` is of the kept words joined by single spaces; the
-    text keeps the blanks between kept words.
+    Ids are integers. ``kept_sha256`` is of the kept words joined by single spaces. ``text``
+    is what stays of a document that lost words (null for others), with the blanks between
+    kept words; ``own_sha256`` is of the whole text.
     """
     source = id_text(docs, id_col, text_col)
     spark = docs.sparkSession
@@ -300,6 +301,7 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", t
         return pd.DataFrame(out, columns=COLUMNS)
 
     found = staged(blocks.groupBy("block").cogroup(homes.groupBy("block")).applyInPandas(split, SPANS), "passages")
+    release(homes)
     spans = found.filter("kind < 2").select("block", "kind", "home", "row", "doc_id", "start", "n_words", "body")
     wanted = spans.filter("kind = 1").groupBy("home").agg(F.ceil(F.sum("n_words") / STREAM_WORDS).cast("int").alias("tasks"))
     placed = spans.join(wanted, "home").withColumn("task", F.explode(F.when(
@@ -310,18 +312,46 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", t
         return pd.DataFrame(judge(pdf, window), columns=["block", "row", "start"])
 
     refused = staged(placed.groupBy("home", "task").applyInPandas(stream, "block long, row long, start long"), "refused")
-    results = found.filter("kind = 2").select("block", "row", "doc_id", "n_words", "n_removed", "sha", "starts", "body")
+    results = found.filter("kind = 2").select("block", "row", "doc_id", "n_words", "n_removed", "sha", "own_sha", "starts", "body")
     if not refused.isEmpty():
         results = _cut_again(results, blocks, refused, window, with_text)
+    else:
+        release(blocks)
     out = results.select(F.when(F.col("doc_id") != int(LAST), F.col("doc_id")).cast(source.schema["doc_id"].dataType).alias("doc_id"),
-                         "n_words", "n_removed", F.col("sha").alias("kept_sha256"), F.col("body").alias("text"))
-    return out if with_text else out.drop("text")
+                         "n_words", "n_removed", F.col("sha").alias("kept_sha256"), F.col("body").alias("text"),
+                         F.col("own_sha").alias("own_sha256"))
+    return out if with_text else out.drop("text", "own_sha256")
+
+
+def without_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
+                    length_col: str = "n_chars") -> DataFrame:
+    """``docs``, all columns, with what stays of each text (and its length, where there is such a column).
+
+    A document whose words all go is left out. Rows that agree in id and text take the
+    results of these in any order.
+    """
+    nth = Window.partitionBy("__id", "__sha").orderBy("__id")
+    changed = cut_repeats(docs, window, id_col, text_col).filter("n_removed > 0").select(
+        F.col("doc_id").alias("__id"), F.col("own_sha256").alias("__sha"), F.col("text").alias("__text"),
+        (F.col("n_removed") == F.col("n_words")).alias("__empty")).withColumn("__nth", F.row_number().over(nth.orderBy("__empty")))
+    keyed = docs.withColumn("__id", F.col(quoted(id_col))).withColumn("__sha", F.sha2(F.coalesce(docs[text_col], F.lit("")), 256))
+    repeated = not keyed.groupBy("__id").count().filter("count > 1").isEmpty()
+    keyed = keyed.withColumn("__nth", F.row_number().over(nth) if repeated else F.lit(1))
+    changed = changed.toDF("__id_2", "__sha_2", "__text", "__empty", "__nth_2")
+    both = keyed.join(changed, F.col("__id").eqNullSafe(F.col("__id_2")) & (F.col("__sha") == F.col("__sha_2"))
+                      & (F.col("__nth") == F.col("__nth_2")), "left").filter("__empty is null or not __empty")
+    text = F.coalesce("__text", F.col(quoted(text_col)))
+    out = both.withColumn(text_col, text)
+    if length_col in docs.columns:
+        out = out.withColumn(length_col, F.when(F.col("__text").isNotNull(), F.length("__text")).otherwise(
+            F.col(quoted(length_col))).cast(docs.schema[length_col].dataType))
+    return out.select(docs.columns)
 
 
 def _cut_again(results: DataFrame, blocks: DataFrame, refused: DataFrame, window: int, with_text: bool) -> DataFrame:
     """The results with the documents of refused windows cut without these."""
     docs = refused.select("block", "row").distinct()
-    names = ["block", "row", "doc_id", "n_words", "n_removed", "sha", "starts", "body"]
+    names = ["block", "row", "doc_id", "n_words", "n_removed", "sha", "own_sha", "starts", "body"]
 
     def run(key, block: pd.DataFrame, told: pd.DataFrame, no: pd.DataFrame) -> pd.DataFrame:
         out = []
