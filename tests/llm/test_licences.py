@@ -1,0 +1,50 @@
+from tidemark.llm.licences import TEMPLATES, bigrams_of, needed_words, scan_licences, size_bounds
+
+MIT = next(t for n, t in TEMPLATES if n == "MIT" and len(t) > 200)
+
+
+def dice(a, b):
+    return 2.0 * len(set(a) & set(b)) / (len(a) + len(b)) if a and b else 0.0
+
+
+def found(df):
+    return {(r["doc_id"], r["unit"], r["unit_no"]): (r["licence"], r["dice"]) for r in df.collect()}
+
+
+def test_lines_paragraphs_and_documents(docs):
+    wrapped = MIT.replace(". ", ".\n")
+    got = found(scan_licences(docs([
+        "Some prose.\nReleased under the MIT License.\nMore.", "Intro words here\nand more\n\n" + wrapped, wrapped, None, "", "word",
+        "Licensed  under CC-BY NC 4.0!", "Licensed under something else entirely 9", "x " * 50_000, "released under the mit license"])))
+    assert got[0, "line", 2] == ("MIT", 1.0) and got[1, "paragraph", 2] == ("MIT", 1.0) and got[2, "document", 1] == ("MIT", 1.0)
+    assert got[6, "line", 1] == ("CC-BY-NC-4.0", 1.0) and got[9, "line", 1][0] == "MIT"
+    assert {k[0] for k in got} == {0, 1, 2, 6, 9}
+
+
+def test_against_brute_force(docs):
+    import random
+    rnd = random.Random(1)
+    texts = []
+    for _ in range(300):
+        w = rnd.choice(TEMPLATES)[1].split()
+        for _ in range(rnd.randrange(6)):
+            w[rnd.randrange(len(w))] = rnd.choice(["the", "of", "license", "x"])
+        texts.append(" ".join(w))
+    got = found(scan_licences(docs(texts)))
+    for i, t in enumerate(texts):
+        scores = sorted((-dice(bigrams_of(t), bigrams_of(x)), n) for n, x in TEMPLATES)
+        want = (scores[0][1], -scores[0][0]) if -scores[0][0] >= 0.8 else None
+        assert got.get((i, "line", 1)) == want
+
+
+def test_bounds_lose_nothing():
+    assert size_bounds(10, 0.8) == (7, 15)
+    pairs = bigrams_of(MIT)
+    words = needed_words(pairs, 0.8)
+    left = [p for p in pairs if not set(p.split()) & words]
+    assert dice(left, pairs) < 0.8
+
+
+def test_empty_table_and_repeats(docs):
+    assert scan_licences(docs([]).filter("false")).count() == 0
+    assert scan_licences(docs([(1, "Released under the MIT License."), (1, "Released under the MIT License."), (None, "Released under the MIT License.")])).count() == 3
