@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import quoted, spread
 
@@ -174,7 +175,7 @@ def fit_language_model(docs: DataFrame, learn: Column, text_col: str = "text", l
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred and lang_score added (all other columns stay)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    out = docs.schema.add("lang_pred", "string").add("lang_score", "double")
+    out = StructType(list(docs.schema.fields)).add("lang_pred", "string").add("lang_score", "double")
 
     def run(batches):
         m = shared.value

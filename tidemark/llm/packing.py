@@ -26,6 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .bpe import byte_chars
 from .common import id_text, spread, staged, texts
@@ -74,7 +75,7 @@ def pack(items: DataFrame, max_tokens: int, max_segments: int, max_loss: int, gr
     n = items.count()
     groups = -(-n // group) or 1
     numbered = items.withColumn("__group", (F.rand(17) * groups).cast("long"))
-    schema = items.schema.add("sequence_id", "long").add("offset", "long")
+    schema = StructType(list(items.schema.fields)).add("sequence_id", "long").add("offset", "long")
     limits = np.array([max_tokens, max_segments, max_loss], np.int64)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
