@@ -1,0 +1,63 @@
+import hashlib
+import os
+import re
+
+import pytest
+
+import corpus_pipeline as pipeline
+from tidemark.llm.common import staged
+
+pytest.importorskip("public_tokenizers")
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
+def test_each_stage_does_its_work_on_what_came_before(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    seen = []
+    for name, stage in pipeline.STAGES[:-1]:
+        before = {r["doc_id"]: r for r in docs.collect()}
+        out = staged(stage(spark, docs, SF), name)
+        assert out.columns == docs.columns
+        after = {r["doc_id"]: r for r in out.collect()}
+        assert set(after) <= set(before) and out.count() == len(after)
+        seen.append((name, before, after))
+        docs = out
+    (_, b, a), (_, b2, a2), (_, b3, a3), (_, b4, a4) = seen
+    assert all(re.search(r"[^\W\d_]", r["text"]) for r in a.values()) and len(a) >= 0.98 * len(b)
+    strip = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t)
+    assert {strip(r["text"]) for r in a2.values()} == {strip(r["text"]) for r in b2.values()} and len({strip(r["text"]) for r in a2.values()}) == len(a2)
+    assert len(a3) < len(b3)
+    gone = set()
+    windows = set()
+    for i in sorted(b4):
+        words = re.findall(r"[^\x20\x09-\x0D]+", b4[i]["text"])
+        keep = [True] * len(words)
+        for s in range(len(words) - 19):
+            key = tuple(words[s:s + 20])
+            if key in windows:
+                keep[s:s + 20] = [False] * 20
+            windows.add(key)
+        kept = [w for w, k in zip(words, keep) if k]
+        if kept:
+            assert a4[i]["text"].split() == kept and a4[i]["n_chars"] == len(a4[i]["text"]) or all(keep)
+        else:
+            gone.add(i)
+    assert set(b4) - gone == set(a4)
+    packed = pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert {r["doc_id"] for r in packed} == set(a4)
+    assert hashlib and pipeline.ORACLE_SQL is None and 4 <= len(pipeline.STAGES) <= 5
+
+
+def test_stages_take_an_empty_table_nulls_and_extra_columns(spark):
+    rows = [(1, "the cat " * 30, "en", "s", 1, "x"), (1, "the cat " * 30, "en", "s", 1, "x"), (None, "dog and cat run", "en", None, None, None),
+            (2, None, None, None, None, None), (3, "", "en", "s", 0, "x"), (4, "123 --", "en", "s", 0, "x")]
+    kind = "doc_id long, text string, lang string, source string, n_chars long, digest string"
+    for frame in (spark.createDataFrame(rows, kind), spark.createDataFrame([], kind)):
+        docs = frame
+        for name, stage in pipeline.STAGES[:-1]:
+            docs = staged(stage(spark, docs, SF), name)
+            assert docs.columns == frame.columns
+        ids = sorted(str(r["doc_id"]) for r in docs.collect())
+        assert ids == (["1", "None"] if frame.count() else [])
+        pipeline.STAGES[-1][1](spark, docs, SF).collect()
