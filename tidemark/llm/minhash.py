@@ -12,12 +12,14 @@ that is sent to all tasks has a fixed size; texts share a cell's weight wherever
 the shingle. The random numbers of a shingle are a row of a fixed table, picked by its
 hash. A shingle that ties with another of its row loses by the larger hash.
 
-Pairs are not listed per bucket. Texts with equal bags become one. Each text is then
-verified against the least text it shares any bucket with; next, texts not yet in one
-class with the least of a bucket, against that; last, all pairs of a bucket in different
-classes, whose samples agree in at least a half (a pair at the threshold fails that with
-a probability below 1e-9). A class is a connected component of verified pairs, so no pair
-found in a bucket is lost, and members of one class cost no pairs.
+Pairs are not listed per bucket. Texts with equal bags become one. The hub of a bucket is
+the text whose buckets have most members over all bands: the original among its copies.
+Each text is verified against the greatest hub it shares a bucket with; next, texts not
+yet in one class with the hub of a bucket, against that; last, within each bucket that
+holds several classes, all pairs in different classes whose samples agree in at least
+LEAST_SAME. Those are compared where they meet, a large bucket in pairs of blocks, and only
+links leave the task. A class is a connected component of verified pairs, so no pair found
+in a bucket is lost, and members of one class cost no pairs.
 
 Defined cases: a null, empty or blank text has no shingles and links with nothing; a row
 with a null id is a class of its own (class_id null). A document is an id: rows that share
@@ -46,7 +48,9 @@ CELL_BLOCK = 1 << 12
 BANDS, BAND = 24, 4
 SAMPLES = BANDS * BAND
 TABLE = 1 << 13
-LEAST_SAME = SAMPLES // 2
+LEAST_SAME = 56         # of 96; a pair at the threshold of 0.8 agrees in fewer with a probability of 1e-7
+KEPT_BAGS = 4096
+BLOCK = 1024             # members of a bucket that are compared in one task
 BREAKS = np.zeros(256, bool)
 BREAKS[[9, 10, 11, 12, 13, 32]] = True
 
@@ -126,7 +130,12 @@ def document_frequencies(docs: DataFrame, n: int = WORDS) -> np.ndarray:
 
 
 def inverse_frequencies(df: np.ndarray) -> np.ndarray:
-    return (np.log((1 + df[-1]) / (1 + df[:-1])) + 1).astype(np.float32)
+    """Weights from 1 (in every document) to 2 (in none).
+
+    The range is held to 2 so that the copies in a large group stay similar: what they
+    share is frequent for that very reason, what sets them apart is rare.
+    """
+    return (1 + np.log((1 + df[-1]) / (1 + df[:-1])) / max(np.log(1 + df[-1]), 1e-9)).astype(np.float32)
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -171,9 +180,10 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id"
     reps = staged(signed.filter(sound).groupBy("same").agg(
         F.min("doc_id").alias("rep"), F.first("weight").alias("weight"), F.first("bands").alias("bands"),
         F.first("low").alias("low")), "bags")
-    members = staged(reps.select("rep", "weight", F.posexplode("bands").alias("band", "key")).join(
-        reps.select(F.posexplode("bands").alias("band", "key")).groupBy("band", "key").count().filter("count > 1").drop("count"),
+    sized = staged(reps.select("rep", F.posexplode("bands").alias("band", "key")).join(
+        reps.select(F.posexplode("bands").alias("band", "key")).groupBy("band", "key").agg(F.count("*").alias("size")).filter("size > 1"),
         ["band", "key"]), "buckets")
+    members = staged(sized.drop("size").join(sized.groupBy("rep").agg(F.sum("size").alias("degree")), "rep"), "members")
     sketch = reps.select("rep", "weight", "low")
 
     def likely(pairs: DataFrame) -> DataFrame:
@@ -184,13 +194,21 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id"
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs that reach the threshold; each brings its two texts together in a row."""
         def check(batches):
-            kept_id, kept_bag = None, None
+            known: dict = {}
+
+            def bag_of(doc_id, text):
+                found = known.get(doc_id)
+                if found is None or found[0] != text:
+                    if len(known) >= KEPT_BAGS:
+                        known.clear()
+                    found = known[doc_id] = (text, bag(text))
+                return found[1]
+
             for batch in batches:
                 yes = []
-                for a, x, y in zip(batch.column("u").to_pylist(), texts(batch, "text_u"), texts(batch, "text_v")):
-                    if (a, x) != kept_id:
-                        kept_id, kept_bag = (a, x), bag(x)
-                    yes.append(len(kept_bag[0]) > 0 and similarity(kept_bag, bag(y)) >= threshold)
+                for a, b, x, y in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), texts(batch, "text_u"), texts(batch, "text_v")):
+                    one, other = bag_of(a, x), bag_of(b, y)
+                    yes.append(len(one[0]) > 0 and len(other[0]) > 0 and similarity(one, other) >= threshold)
                 yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(pa.array(yes, pa.bool_()))
 
         text = source.dropna()
@@ -203,13 +221,13 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id"
         named = staged(members.join(found.withColumnRenamed("node", "rep"), "rep", "left")
                        .withColumn("label", F.coalesce("component", "rep")).drop("component"), "buckets")
         several = named.groupBy("band", "key").agg(F.min("label").alias("low_label"), F.max("label").alias("high_label"),
-                                                   F.min(F.struct("rep", "label")).alias("center"))
+                                                   F.max_by(F.struct("rep", "label"), F.struct("degree", "rep")).alias("center"))
         return named.join(several.filter("low_label <> high_label").select("band", "key", "center"), ["band", "key"])
 
     copies = signed.filter(sound).select("doc_id", "same").join(reps.select("same", "rep"), "same").filter(
         "doc_id <> rep").select(F.col("rep").alias("u"), F.col("doc_id").alias("v"))
-    center = members.groupBy("band", "key").agg(F.min("rep").alias("center"))
-    first = members.select("band", "key", "rep").join(center, ["band", "key"]).groupBy("rep").agg(F.min("center").alias("u"))
+    center = members.groupBy("band", "key").agg(F.max(F.struct("degree", "rep")).alias("hub"))
+    first = members.select("band", "key", "rep").join(center, ["band", "key"]).groupBy("rep").agg(F.max("hub")["rep"].alias("u"))
     edges = verified(staged(likely(first.filter("u <> rep").select("u", F.col("rep").alias("v"))), "pairs"))
 
     buckets = staged(mixed_buckets(edges), "mixed")
@@ -218,18 +236,54 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id"
     if not second.isEmpty():
         edges = edges.union(verified(second))
         buckets = staged(mixed_buckets(edges), "mixed")
-    a = buckets.select("band", "key", F.col("rep").alias("u"), F.col("label").alias("label_u")).join(sketch.toDF("u", "weight_u", "low_u"), "u")
-    b = buckets.select("band", "key", F.col("rep").alias("v"), F.col("label").alias("label_v")).join(sketch.toDF("v", "weight_v", "low_v"), "v")
-    third = staged(a.join(b, ["band", "key"]).filter((F.col("u") < F.col("v")) & (F.col("label_u") != F.col("label_v"))
-                                                      & _allowed(threshold)).select("u", "v").distinct(), "pairs")
-    if not third.isEmpty():
-        edges = edges.union(verified(third))
+    if not buckets.isEmpty():
+        chunks = buckets.groupBy("band", "key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks"))
+        placed = buckets.select("band", "key", "rep", "label").join(chunks, ["band", "key"]).withColumn(
+            "chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+        blocks = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
+            "band", "key", "rep", "label", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
+        rows = blocks.join(reps.select("rep", "weight", "bands", "low"), "rep").join(source.dropna().toDF("rep", "text"), "rep")
+
+        def link(pdf: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame(link_bucket(pdf, bag, threshold), columns=["u", "v"])
+
+        edges = edges.union(staged(rows.groupBy("band", "key", "i", "j").applyInPandas(link, f"u {kind}, v {kind}"), "links"))
     found = components(edges.union(copies))
     return (signed.select("doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
             .select("doc_id", F.coalesce("component", "doc_id").alias("class_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id"))))
 
 
+def link_bucket(pdf: pd.DataFrame, bag, threshold: float) -> list[tuple]:
+    """Links between the classes of one bucket (or of two blocks of a large one), until they are one.
+
+    A pair that shares an earlier band is left to that band's bucket.
+    """
+    band, i, j = (int(pdf[c].iloc[0]) for c in ("band", "i", "j"))
+    pdf = pdf.reset_index(drop=True)
+    low, bands = np.stack(pdf["low"].to_list()), np.stack(pdf["bands"].to_list())[:, :band]
+    weight, chunk, rep, text = (pdf[c].to_numpy() for c in ("weight", "chunk", "rep", "text"))
+    names, label = np.unique(pdf["label"].to_numpy(), return_inverse=True)
+    bags, links = {}, []
+    right = np.flatnonzero(chunk == j)
+    for r in np.flatnonzero(chunk == i):
+        s = right[right > r] if i == j else right
+        s = s[label[s] != label[r]]
+        s = s[np.minimum(weight[s], weight[r]) >= (threshold - 1e-9) * np.maximum(weight[s], weight[r])]
+        s = s[(low[s] == low[r]).sum(1) >= LEAST_SAME]
+        s = s[~(bands[s] == bands[r]).any(1)]
+        for k in s:
+            if label[k] == label[r]:
+                continue
+            for x in (r, k):
+                if x not in bags:
+                    bags[x] = bag(text[x])
+            if len(bags[r][0]) and len(bags[k][0]) and similarity(bags[r], bags[k]) >= threshold:
+                links.append((rep[r], rep[k]))
+                label[label == label[k]] = label[r]
+    return links
+
+
 def _allowed(threshold: float):
     """Whether weights and samples (weight_u, low_u and the same of v) allow the threshold."""
     agree = F.size(F.filter(F.zip_with("low_u", "low_v", lambda x, y: x == y), lambda x: x))
