@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def derive_amount(df: DataFrame, quantity: str = "quantity", price: str = "price",
@@ -43,6 +45,23 @@ def fill_default(df: DataFrame, column: str, default) -> DataFrame:
     return df.withColumn(column, F.coalesce(F.col(column), F.lit(default)))
 
 
-def bookmark_text(value: Column) -> Column:
-    """A change-time as bookmark text. Keeps microseconds, drops a zero fraction."""
+def bookmark_text(value: Column, kind: T.DataType | None = None) -> Column:
+    """A change time as bookmark text. Keeps microseconds, drops a zero fraction.
+
+    A timestamp (an instant) is written in UTC with its offset, whatever the time zone of
+    the session; a timestamp without zone and any other type is its plain text.
+    """
+    if isinstance(kind, T.TimestampType):
+        start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return F.concat(F.timestamp_add("MICROSECOND", F.unix_micros(value), start).cast("string"), F.lit(UTC))
     return value.cast("string")
+
+
+UTC = "+00:00"
+
+
+def bookmark_value(text: str, kind: T.DataType) -> Column:
+    """The literal of a column's type for bookmark text. An instant without an offset is UTC."""
+    if isinstance(kind, T.TimestampType) and not re.search(r"([+-]\d\d:?\d\d|Z)$", text):
+        text += UTC if ":" in text else " 00:00:00" + UTC
+    return F.lit(text).cast(kind)

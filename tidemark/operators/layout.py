@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,6 @@ from ..session import hadoop_path
 
 # fixed value: the usual target of lakehouse compaction
 TARGET_FILE_BYTES = 268_435_456
-_BITS = 8      # range ids per column in a z-value: 256
 
 
 def file_inventory(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -33,91 +33,154 @@ def folder_size(spark: SparkSession, path: str) -> tuple[int, int]:
     return summary.getLength(), summary.getFileCount()
 
 
+def data_files(spark: SparkSession, paths: Sequence[str]) -> list[tuple[int, int, int]]:
+    """(bytes, files, folders with files) of the Parquet files below each path."""
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+             .load(list(paths)).select(F.regexp_replace("path", "^[a-z0-9]+:/+", "/").alias("path"), "length"))
+    number = F.coalesce(*[F.when(F.contains("path", F.lit("/" + p.split(":", 1)[-1].strip("/") + "/")), F.lit(i))
+                          for i, p in enumerate(paths)])
+    folder = F.regexp_extract("path", "^(.*)/", 1)
+    sums = {r["n"]: (r["bytes"], r["files"], r["folders"]) for r in found.groupBy(number.alias("n")).agg(
+        F.sum("length").alias("bytes"), F.count("*").alias("files"), F.count_distinct(folder).alias("folders")).collect()}
+    return [sums.get(i, (0, 0, 0)) for i in range(len(paths))]
+
+
 def _file_count(spark: SparkSession, path: str, target_bytes: int) -> int:
     return max(1, -(-folder_size(spark, path)[0] // target_bytes))
 
 
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Columns kept in folder names below ``path``, outermost first."""
+    plain = spark.read.option("recursiveFileLookup", "true").parquet(path).columns
+    return [c for c in spark.read.parquet(path).columns if c not in plain]
+
+
+def read_folder(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
+    """A Parquet folder with its partition columns as the text that names the folders."""
+    parts = partition_columns(spark, path)
+    found = spark.read.parquet(path).schema
+    kept = [T.StructField(f.name, T.StringType()) if f.name in parts else f for f in found]
+    return spark.read.schema(T.StructType(kept)).parquet(path), parts
+
+
 def compact_files(spark: SparkSession, path: str, into: str,
                   target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
-    """Rewrite a Parquet folder into files of about ``target_bytes``.
+    """Rewrite a Parquet folder into files of about ``target_bytes``; partition folders stay.
 
-    No shuffle: ``coalesce`` lets one task read several of the small inputs.
+    Without partitions nothing is shuffled: ``coalesce`` lets one task read several of the
+    small inputs. With them, rows are gathered by partition, hot ones over several tasks.
     """
-    files = _file_count(spark, path, target_bytes)
-    spark.read.parquet(path).coalesce(files).write.mode("overwrite").parquet(into)
+    rows, parts = read_folder(spark, path)
+    if parts:
+        rows = rows.hint("rebalance", *parts)
+    else:
+        rows = rows.coalesce(_file_count(spark, path, target_bytes))
+    rows.write.mode("overwrite").partitionBy(*parts).parquet(into)
     return spark.read.parquet(into)
 
 
-def orderable(field: T.StructField) -> Column:
-    """A number that sorts like the column; text counts by its first seven bytes."""
-    col, kind = F.col(f"`{field.name}`"), field.dataType
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(col, "UTF-8"), 1, 7)), 14, "0")
-        return F.conv(head, 16, 10).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(col).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(col.cast("timestamp")).cast("double")
-    return col.cast("double")
+# ---------------------------------------------------------------------- z-order
 
+_WORD = 62      # bits of a z-value in one bigint
+_CUT_ROWS = 16  # sampled rows behind each cut
 
-def z_value(df: DataFrame, columns: Sequence[str], into: str = "_z") -> DataFrame:
-    """Add one number that interleaves the bits of each column's range id.
 
-    The cuts between range ids are quantiles, so a skewed column is split as finely
-    as an even one. They are 255 numbers per column, whatever the table size.
+def orderable(field: T.StructField) -> Column:
+    """A value of a type with JSON literals that sorts like the column."""
+    col, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, T.DateType):
+        return F.unix_date(col)
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(col)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), col)
+    if isinstance(kind, T.BooleanType):
+        return col.cast("int")
+    if isinstance(kind, (T.NumericType, T.StringType)):
+        return F.when(~F.isnan(col), col) if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType) else col
+    return col.cast("string")
+
+
+def z_bits(columns: int, files: int) -> int:
+    """Bits per column: cells for eight times the files, at least 16 ranges of each column."""
+    return max(4, -(-(files * 8).bit_length() // columns))
+
+
+def z_value(df: DataFrame, columns: Sequence[str], files: int = 1, into: str = "_z") -> tuple[DataFrame, list[str]]:
+    """Add bigints that together interleave the bits of each column's range id, and name them.
+
+    A range id is the number of cuts at or below the whole value. The cuts are quantiles of
+    the column's own values, found in a sample that grows with the number of ranges and not
+    with the table; only the layout depends on it. A value far more frequent than a range
+    takes up several cuts, so a skewed column is split as finely as an even one.
     """
-    shares = [i / (1 << _BITS) for i in range(1, 1 << _BITS)]
     fields = [df.schema[c] for c in columns]
-    cuts = df.agg(*[F.percentile_approx(orderable(f), shares, 2_000).alias(f.name)
-                    for f in fields]).first()
-    edges = [F.expr("array(" + ", ".join(f"double('{c}')" for c in cuts[f.name] or ["Infinity"] * len(shares)) + ")")
-             for f in fields]
-    # bisection, one projection per bit: how many cuts lie at or below the number
-    df = df.withColumns({f"_n{i}": orderable(f) for i, f in enumerate(fields)})
+    bits = z_bits(len(fields), files)
+    names = [f"_n{i}" for i in range(len(fields))]
+    values = df.select(*[orderable(f).alias(n) for f, n in zip(fields, names)])
+    wanted, total = _CUT_ROWS << bits, df.count()
+    sample = values if total <= wanted else values.sample(min(1.0, 1.2 * wanted / total), 11)
+    rows = sample.collect()
+    edges = []
+    for i, f in enumerate(values.schema):
+        own = sorted(r[i] for r in rows if r[i] is not None and r[i] not in (float("inf"), -float("inf")))
+        cuts = [own[k * len(own) >> bits] for k in range(1, 1 << bits)] if own else []
+        edges.append(F.from_json(F.lit(json.dumps(cuts, default=str)), f"array<{f.dataType.simpleString()}>"))
+    df = df.withColumns({n: orderable(f) for f, n in zip(fields, names)})
     df = df.withColumns({f"_z{i}": F.lit(0) for i in range(len(fields))})
-    for bit in reversed(range(_BITS)):
+    for bit in reversed(range(bits)):       # bisection, one projection per bit
         df = df.withColumns({
             f"_z{i}": F.when(F.col(f"_n{i}") >= F.get(edges[i], F.col(f"_z{i}") + ((1 << bit) - 1)),
                              F.col(f"_z{i}") + (1 << bit)).otherwise(F.col(f"_z{i}"))
             for i in range(len(fields))})
-    z = F.lit(0).cast("bigint")
-    for bit in range(_BITS):
-        for i in range(len(fields)):
-            one = F.shiftright(F.col(f"_z{i}"), bit).bitwiseAND(F.lit(1)).cast("bigint")
-            z = z.bitwiseOR(F.shiftleft(one, bit * len(fields) + i))
-    return df.withColumn(into, z).drop(*[f"_{kind}{i}" for i in range(len(fields)) for kind in "nz"])
+    ordered = [(i, bit) for bit in reversed(range(bits)) for i in range(len(fields))]
+    words = {}
+    for at in range(0, len(ordered), _WORD):
+        z = F.lit(0).cast("bigint")
+        for i, bit in ordered[at:at + _WORD]:
+            z = F.shiftleft(z, 1).bitwiseOR(F.shiftright(F.col(f"_z{i}"), bit).bitwiseAND(F.lit(1)).cast("bigint"))
+        words[f"{into}_{at // _WORD}"] = z
+    return df.withColumns(words).drop(*names, *[f"_z{i}" for i in range(len(fields))]), list(words)
 
 
-def cluster(df: DataFrame, columns: Sequence[str], files: int, tie: Sequence[str]) -> DataFrame:
-    """Range-partition by one column or by the z-value of up to seven.
+def cluster(df: DataFrame, columns: Sequence[str], files: int, tie: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
+    """Range-partition by one column or by the z-value of several, inside each value of ``within``.
 
     ``tie`` columns differ between rows that agree on the clustering columns. They let
     the range partitioner cut through a hot value instead of giving it one task.
     """
-    if len(columns) > 7:
-        raise ValueError("z-order takes at most seven columns")
+    within = [f"`{c}`" for c in within]
     if len(columns) == 1:
-        return df.repartitionByRange(files, *columns, *tie).sortWithinPartitions(*columns)
-    return (z_value(df, columns).repartitionByRange(files, "_z", *tie)
-            .sortWithinPartitions("_z").drop("_z"))
+        return df.repartitionByRange(files, *within, *columns, *tie).sortWithinPartitions(*within, *columns)
+    placed, z = z_value(df, columns, files)
+    return placed.repartitionByRange(files, *within, *z, *tie).sortWithinPartitions(*within, *z).drop(*z)
 
 
 def zorder_layout(spark: SparkSession, path: str, into: str, columns: Sequence[str],
                   target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
-    """Rewrite a Parquet folder clustered by ``columns``; ties break by row position."""
+    """Rewrite a Parquet folder clustered by ``columns``; partition folders stay, ties break by row position."""
     files = _file_count(spark, path, target_bytes)
-    rows = spark.read.parquet(path)
+    rows, parts = read_folder(spark, path)
     placed = rows.select("*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_tie"))
-    cluster(placed, columns, files, tie=["_tie"]).drop("_tie").write.mode("overwrite").parquet(into)
+    cluster(placed, columns, files, ["_tie"], parts).drop("_tie").write.mode("overwrite").partitionBy(*parts).parquet(into)
     return spark.read.parquet(into)
 
 
+def refuse_empty_text(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Fail on an empty text in a partition column: as a folder name it would come back as NULL."""
+    text = [c for c in partition_by if isinstance(df.schema[c].dataType, T.StringType)]
+    return df.withColumns({c: F.when(F.col(f"`{c}`") == "", F.raise_error(F.lit(f"empty text in partition column {c}")))
+                           .otherwise(F.col(f"`{c}`")) for c in text})
+
+
 def publish_partitioned(df: DataFrame, path: str, partition_by: Sequence[str],
                         mode: str = "overwrite") -> DataFrame:
     """Write partition folders with few files each, hot partitions split over tasks."""
-    df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    refuse_empty_text(df, partition_by).hint("rebalance", *partition_by).write.mode(mode).partitionBy(
+        *partition_by).parquet(path)
+    # the types of the folders' values are known: inference would turn the text '007' into 7
+    shape = [f for f in df.schema if f.name not in partition_by] + [df.schema[c] for c in partition_by]
+    return df.sparkSession.read.schema(T.StructType(shape)).parquet(path)
 
 
 def partition_counts(df: DataFrame, *columns: str | Column) -> DataFrame:

@@ -38,14 +38,14 @@ def _keys(on: str | Sequence[str]) -> list[str]:
 def _all_set(on: list[str]) -> Column:
     out = F.lit(True)
     for k in on:
-        out = out & F.col(k).isNotNull()
+        out = out & F.col(quoted(k)).isNotNull()
     return out
 
 
 def _same_key(on: list[str]) -> Column:
     out = F.lit(True)
     for k in on:
-        out = out & (F.col(f"t.{k}") == F.col(f"s.{k}"))
+        out = out & (F.col(f"t.{quoted(k)}") == F.col(f"s.{quoted(k)}"))
     return out
 
 
@@ -65,7 +65,7 @@ def checked_source(target: DataFrame, source: DataFrame, on: str | Sequence[str]
     """Measure ``source`` and refuse it if two of its rows match one target row."""
     on = _keys(on)
     width = row_bytes(source.schema)
-    per_key = source.groupBy(*on).agg(
+    per_key = source.groupBy(*map(quoted, on)).agg(
         F.count("*").alias("n"),
         F.sum(width if width is not None else F.lit(0)).alias("b"))
     found = per_key.agg(
@@ -73,8 +73,8 @@ def checked_source(target: DataFrame, source: DataFrame, on: str | Sequence[str]
         F.coalesce(F.sum("b"), F.lit(0)).alias("bytes"),
         F.coalesce(F.max(F.when(_all_set(on), F.col("n"))), F.lit(0)).alias("most")).first()
     if found["most"] > 1:
-        repeated = per_key.filter((F.col("n") > 1) & _all_set(on)).select(*on)
-        if not target.select(*on).join(repeated, on, "left_semi").isEmpty():
+        repeated = per_key.filter((F.col("n") > 1) & _all_set(on)).select(*map(quoted, on))
+        if not target.select(*map(quoted, on)).join(repeated, on, "left_semi").isEmpty():
             raise MergeCardinalityError(f"several source rows match one target row on {on}")
     return Source(source, on, Size(found["rows"], None if width is None else found["bytes"]))
 
@@ -85,11 +85,11 @@ def unmatched(target: DataFrame, source: Source) -> DataFrame:
     Written as an outer join that keeps the rows without a partner: Spark pushes an anti
     join below a union in the source, and would then scan the target once per branch.
     """
-    keys = target.select(*source.on)
+    keys = target.select(*map(quoted, source.on))
     rows = source.rows
     if source.size.broadcastable:
         # reduce the target to the few keys the source asks for, without a shuffle
-        keys = keys.join(F.broadcast(rows.select(*source.on)), source.on, "left_semi")
+        keys = keys.join(F.broadcast(rows.select(*map(quoted, source.on))), source.on, "left_semi")
     else:
         # NULL keys never match: keep them out of the shuffle, where they would share a partition
         rows = rows.filter(_all_set(source.on))
@@ -108,8 +108,13 @@ def matched_pairs(target: DataFrame, source: Source, matched_when: str | None) -
 
 def merge_upsert(target: DataFrame, source: DataFrame, on: str | Sequence[str],
                  matched_when: str | None = None) -> DataFrame:
-    """The whole table after the merge. ``source`` must have the columns of ``target``."""
-    src = checked_source(target, source.select(*map(quoted, target.columns)), on)
+    """The whole table after the merge. ``source`` must have the columns of ``target``.
+
+    Further columns of the source take part in ``matched_when`` only.
+    """
+    own = {c.lower() for c in target.columns}
+    more = [c for c in source.columns if c.lower() not in own] if matched_when is not None else []
+    src = checked_source(target, source.select(*map(quoted, [*target.columns, *more])), on)
     flagged = src.maybe_broadcast.withColumn(_HIT, F.lit(True))
     hit = F.col(f"s.{_HIT}")
     if matched_when is not None:
@@ -117,7 +122,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, on: str | Sequence[str],
     kept = target.alias("t").join(flagged.alias("s"), _same_key(src.on), "left_outer").select(*[
         F.when(F.coalesce(hit, F.lit(False)), F.col(f"s.{quoted(f.name)}").cast(f.dataType))
         .otherwise(F.col(f"t.{quoted(f.name)}")).alias(f.name) for f in target.schema])
-    return kept.unionByName(unmatched(target, src))
+    return kept.unionByName(unmatched(target, src).select(*map(quoted, target.columns)))
 
 
 def merge_newer_wins(target: DataFrame, source: DataFrame, on: str | Sequence[str],

@@ -39,7 +39,8 @@ def update_where(df: DataFrame, predicate: Column | str, assign: dict) -> DataFr
 
 def delete_where(df: DataFrame, predicate: Column | str) -> DataFrame:
     """Drop the rows that satisfy ``predicate``."""
-    return df.filter(~holds(predicate))
+    p = condition(predicate)
+    return df.filter(~p | p.isNull())
 
 
 def active_rows(df: DataFrame, deleted_flag: str) -> DataFrame:

@@ -38,7 +38,7 @@ from ..functions.schema import align, by_name, check_assignable, evolved, quoted
 from ..operators import layout, merge
 from ..operators.diff import bag_minus, set_minus
 from ..operators.quality import guarded
-from ..operators.rows import holds, value
+from ..operators.rows import condition, value
 from ..operators.sizes import BROADCAST_ROWS
 from ..session import hadoop_path, scratch_dir, write_new_file
 
@@ -339,9 +339,10 @@ class ChangeTable:
         self._check_names(schema, rules)
         seq = self._next_seq()
         parts = rules["partition_by"]
+        changes = layout.refuse_empty_text(changes, parts)
         if parts and spread:
             # gathers each partition value into few files and splits the hot ones
-            changes = changes.hint("rebalance", *parts)
+            changes = changes.hint("rebalance", *map(quoted, parts))
         added = F.col("_w") == 1
         fresh = F.lit(False) if keep_address else added
         rows = changes.select(
@@ -423,13 +424,14 @@ class ChangeTable:
         unknown = set(assign) - set(self.columns)
         if unknown:
             raise ValueError(f"no such column: {sorted(unknown)}")
-        rows = self._live(self.version).filter(holds(predicate))
+        # the bare predicate reaches the scan; a filter drops NULL by itself
+        rows = self._live(self.version).filter(condition(predicate))
         values = [value(assign[c]) if c in assign else F.col(quoted(c)) for c in self.columns]
         return self._change("UPDATE", {"predicate": predicate}, self._replace(rows, values), at)
 
     def delete(self, predicate: Column | str, *, at: datetime | None = None) -> int:
         nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema]
-        gone = self._live(self.version).filter(holds(predicate)).select(
+        gone = self._live(self.version).filter(condition(predicate)).select(
             *nothing, F.lit(-1).alias("_w"), *_ADDRESS)
         return self._change("DELETE", {"predicate": predicate}, gone, at)
 
@@ -442,7 +444,8 @@ class ChangeTable:
         back (``stage``): it is computed once, and every step sees the same rows. Pass
         ``stage=False`` for a plain scan of files that do not change meanwhile.
 
-        Source columns the table lacks are ignored. With ``evolve`` the source may bring new columns and may lack some of the table's;
+        Source columns the table lacks can be used in ``matched_when`` and are ignored
+        otherwise. With ``evolve`` the source may bring new columns and may lack some of the table's;
         those keep their value in updated rows and are NULL in inserted ones.
         """
         schema = self.schema
@@ -450,17 +453,20 @@ class ChangeTable:
             schema = evolved(schema, source.schema)
             self._refuse_retyped(schema)
         known = by_name(schema)
+        more = [] if matched_when is None else [c for c in source.columns if c.lower() not in known]
+        whole = source
         source = source.select(*[quoted(c) for c in source.columns if c.lower() in known])
         check_assignable(source.schema, schema)
         given = by_name(source.schema)
         missing = {c for c in schema.names if c.lower() not in given}
         if missing and not evolve:
             raise SchemaMismatch(f"the merge source lacks {sorted(missing)}")
-        source = align(source, schema)
+        source = align(whole.select(*[quoted(c) for c in source.columns], *map(quoted, more)), T.StructType(
+            [*schema, *(whole.schema[c] for c in more)]))
         folder = f"{self.path}/staging/{uuid.uuid4().hex}"
         if stage:
             source.write.parquet(folder)
-            source = self.spark.read.schema(schema).parquet(folder)
+            source = self.spark.read.schema(source.schema).parquet(folder)
         try:
             live = self._live(self.version)
             src = merge.checked_source(live, source, on)
@@ -482,7 +488,7 @@ class ChangeTable:
         changed = out.select(
             *[F.when(F.col("_w") == 1, F.col(quoted(c))).alias(c) for c in schema.names], "_w", *_ADDRESS)
         fresh = merge.unmatched(live, src).select(
-            "*", F.lit(1).alias("_w"), F.lit(None).cast("int").alias("_src"),
+            *map(quoted, schema.names), F.lit(1).alias("_w"), F.lit(None).cast("int").alias("_src"),
             F.lit(None).cast("bigint").alias("_rid"))
         return changed.unionByName(fresh)
 
@@ -613,16 +619,16 @@ class ChangeTable:
                  target_bytes: int = layout.TARGET_FILE_BYTES, at: datetime | None = None) -> int:
         """Fold small folders into one with larger files; same rows, same addresses.
 
-        Walks back from the newest folder and stops at one that is larger than all
-        newer ones together, so a big base is not rewritten for a few small appends.
-        ``full`` and ``zorder_by`` rewrite everything.
+        Folds all folders down to the oldest whose files are small on average, so a big base
+        of large files is not rewritten for a few small appends, and one of small files is.
+        ``full`` and ``zorder_by`` rewrite everything. Clustering stays within partitions.
         """
         chain = self._chain(self.version)
-        take, since = self._foldable(bool(full or zorder_by))
-        found = [layout.folder_size(self.spark, f"{s.root}/data/_seg={s.name}") for s in take]
-        files = max(1, -(-sum(size for size, _ in found) // target_bytes))
-        tidy = len(take) == 1 and not take[0].removed and found[0][1] <= 2 * files
-        if not take or (tidy and not zorder_by and not self._partition_by):
+        sizes = layout.data_files(self.spark, [f"{s.root}/data/_seg={s.name}" for s in chain]) if chain else []
+        take, since = self._foldable(dict(zip((s.name for s in chain), sizes)), target_bytes, bool(full or zorder_by))
+        files = max(1, -(-sum(size for size, *_ in sizes[:len(take)]) // target_bytes))
+        tidy = len(take) == 1 and not take[0].removed and sizes[0][1] <= 2 * files + (sizes[0][2] if self._partition_by else 0)
+        if not take or (tidy and not zorder_by):
             return self._commit("OPTIMIZE", {"folded": 0}, self.schema, self._log[-1].rules, None, at)
         lo = min(s.lo for s in take)
         rows = self._less_removed([s for s in take if s.added], take, self.schema).withColumn(
@@ -635,7 +641,7 @@ class ChangeTable:
                 .select(*nothing, *_ADDRESS, F.lit(-1).alias("_w")))
         if zorder_by:
             # the address breaks ties, so a value held by a third of the rows is still split
-            rows = layout.cluster(rows, list(zorder_by), files, tie=_ADDRESS)
+            rows = layout.cluster(rows, list(zorder_by), files, tie=_ADDRESS, within=self._partition_by)
         elif not self._partition_by:
             rows = rows.coalesce(files)
         # the rows were checked when they came in
@@ -646,20 +652,19 @@ class ChangeTable:
         return self._commit("OPTIMIZE", params, self.schema, self._log[-1].rules, segment, at,
                             since=since, metrics=(0, 0))
 
-    def _foldable(self, everything: bool) -> tuple[list[Segment], int]:
+    def _foldable(self, sizes: dict, target_bytes: int, everything: bool) -> tuple[list[Segment], int]:
         """Newest folders worth folding, and the first version they cover."""
-        take, rows, at = [], 0, self.version
+        take, kept, since, at = [], [], self.version + 1, self.version
         while at >= 0:
             commit = self._log[at]
             segments = ([commit.segment] if commit.segment else []) + list(
                 commit.pinned if commit.since == at else ())
-            size = sum(s.added + s.removed for s in segments)
-            if take and not everything and size > max(rows, 1) * 4:
-                break
             take += segments
-            rows += size
+            found = [sizes[s.name] for s in segments]
+            if everything or any(2 * size < target_bytes * files for size, files, _ in found):
+                kept, since = list(take), commit.since
             at = commit.since - 1
-        return take, at + 1
+        return kept, since
 
     def expire(self, retain_hours: float = DEFAULT_RETENTION_HOURS, *, force: bool = False,
                fold: bool = True, now: datetime | None = None, at: datetime | None = None) -> int:

@@ -12,12 +12,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import bookmark_text
+from ..errors import CommitConflict
+from ..functions.columns import bookmark_text, bookmark_value
+
+from ..operators.latest import latest_per_key
 from ..operators.merge import merge_upsert
 from ..sinks.files import land_increment
 from ..sinks.jdbc import write_jdbc
@@ -46,9 +50,9 @@ def extract_since(df: DataFrame, column: str, lo: str | None, hi: str | None = N
     """
     kind = df.schema[column].dataType
     if lo is not None:
-        df = df.filter(F.col(column) > F.lit(lo).cast(kind))
+        df = df.filter(F.col(column) > bookmark_value(lo, kind))
     if hi is not None:
-        df = df.filter(F.col(column) <= F.lit(hi).cast(kind))
+        df = df.filter(F.col(column) <= bookmark_value(hi, kind))
     return df
 
 
@@ -68,9 +72,9 @@ class FrameSource:
     def window(self, lo: str | None) -> Window:
         c = F.col(self.column)
         kind = self.df.schema[self.column].dataType
-        newer = F.lit(True) if lo is None else c > F.lit(lo).cast(kind)
+        newer = F.lit(True) if lo is None else c > bookmark_value(lo, kind)
         row = self.df.filter(newer | c.isNull()).agg(
-            bookmark_text(F.max(c)).alias("hi"), F.count(c).alias("n"),
+            bookmark_text(F.max(c), kind).alias("hi"), F.count(c).alias("n"),
             F.count(F.when(c.isNull(), 1)).alias("n_null")).first()
         return Window(row["hi"], row["n"], row["n_null"])
 
@@ -79,7 +83,7 @@ class FrameSource:
             full = extract_full(self.df)
             return full if hi is None else full.filter(
                 F.col(self.column).isNull()
-                | (F.col(self.column) <= F.lit(hi).cast(self.df.schema[self.column].dataType)))
+                | (F.col(self.column) <= bookmark_value(hi, self.df.schema[self.column].dataType)))
         return extract_since(self.df, self.column, lo, hi)
 
 
@@ -118,12 +122,28 @@ class JdbcSource:
         return read_jdbc(self.spark, self.connection, wanted, split)
 
 
+def comes_before(one: str, other: str) -> bool:
+    """Whether bookmark text ``one`` is less than ``other``: as numbers, as times, else as text."""
+    for kind in (Decimal, _instant):
+        try:
+            return kind(one) < kind(other)
+        except (ValueError, ArithmeticError):
+            continue
+    return one < other
+
+
+def _instant(text: str) -> datetime:
+    t = datetime.fromisoformat(text)
+    return t if t.tzinfo else t.replace(tzinfo=timezone.utc)
+
+
 # ---------------------------------------------------------------------- bookmarks
 
 def read_bookmark(bookmarks: DataFrame, name: str, default: str | None = None,
                   value: str = "last_value") -> str | None:
     """Last value of one source as text, or ``default`` when it has no row. Read errors surface."""
-    row = bookmarks.filter(F.col("table_name") == name).select(bookmark_text(F.col(value))).first()
+    row = bookmarks.filter(F.col("table_name") == name).select(
+        bookmark_text(F.col(value), bookmarks.schema[value].dataType)).first()
     return default if row is None or row[0] is None else row[0]
 
 
@@ -148,32 +168,49 @@ class TableBookmarks:
                       else ChangeTable.create(spark, path, BOOKMARK_SCHEMA))
 
     def get(self, name: str, default: str | None = None) -> str | None:
-        return read_bookmark(self.table.current(), name, default)
+        return read_bookmark(self.table.refresh().current(), name, default)
 
-    def advance(self, name: str, value: str, at: datetime) -> None:
+    def advance(self, name: str, value: str, at: datetime, tries: int = 10) -> None:
+        """Set one source's row. Jobs for other sources may commit meanwhile; then it is tried again."""
         own = F.col("table_name") == name
-        if self.table.current().filter(own).isEmpty():
-            self.table.append(self.spark.createDataFrame([(name, value, at)], BOOKMARK_SCHEMA))
-        else:
-            self.table.update(own, {"last_value": value, "updated_at": at})
+        for left in reversed(range(tries)):
+            try:
+                if self.table.refresh().current().filter(own).isEmpty():
+                    self.table.append(self.spark.createDataFrame([(name, value, at)], BOOKMARK_SCHEMA))
+                else:
+                    self.table.update(own, {"last_value": value, "updated_at": at})
+                return
+            except CommitConflict:
+                if not left:
+                    raise
 
 
 class JdbcBookmarks:
-    """Bookmarks in a database table with one row per source."""
+    """Bookmarks in a database table: an advance appends a row, the latest row of a source counts.
+
+    Nothing is emptied or rewritten, so a crash loses no bookmark. ``value`` and ``stamp``
+    name the columns; where both are one column, the change time itself tells the latest.
+    """
+
+    def __init__(self, spark: SparkSession, connection: dict, table: str, value: str = "last_value",
+                 stamp: str = "updated_at"):
+        self.spark, self.connection, self.table, self.value, self.stamp = spark, connection, table, value, stamp
+
+    def latest(self, rows: DataFrame) -> DataFrame:
+        """One row per source: the one with the greatest stamp, then value."""
+        return latest_per_key(rows, ["table_name"], list(dict.fromkeys([self.stamp, self.value])))
 
-    def __init__(self, spark: SparkSession, connection: dict, table: str = "cdc_tracking"):
-        self.spark, self.connection, self.table = spark, connection, table
+    def row(self, name: str, value: str, at: datetime) -> DataFrame:
+        kind = "timestamp" if self.stamp == self.value else "string"
+        out = self.spark.range(1).select(F.lit(name).alias("table_name"), F.lit(value).cast(kind).alias(self.value))
+        return out if self.stamp == self.value else out.withColumn(self.stamp, F.lit(at).cast("timestamp"))
 
     def get(self, name: str, default: str | None = None) -> str | None:
-        return read_bookmark(read_jdbc(self.spark, self.connection, self.table), name, default)
+        rows = read_jdbc(self.spark, self.connection, self.table).filter(F.col("table_name") == name)
+        return read_bookmark(self.latest(rows), name, default, self.value)
 
     def advance(self, name: str, value: str, at: datetime) -> None:
-        # The overwrite empties the table before its rows are computed. So the rows, one
-        # per source, are fetched first; a lazy read would lose all the other sources.
-        others = (read_jdbc(self.spark, self.connection, self.table)
-                  .select(*BOOKMARK_SCHEMA.names).filter(F.col("table_name") != name).collect())
-        rows = [tuple(r) for r in others] + [(name, value, at)]
-        write_jdbc(self.spark.createDataFrame(rows, BOOKMARK_SCHEMA), self.connection, self.table)
+        write_jdbc(self.row(name, value, at), self.connection, self.table, mode="append")
 
 
 # ---------------------------------------------------------------------- one run
@@ -200,13 +237,14 @@ def run_incremental(name: str, source: FrameSource | JdbcSource, bookmarks, land
     """
     now = now or datetime.now(timezone.utc)
     lo = bookmarks.get(name, default)
-    start = lo if overlap is None or lo is None else min(lo, overlap)
+    start = overlap if overlap is not None and lo is not None and comes_before(overlap, lo) else lo
     seen = source.window(start)
     if seen.rows == 0 and not (lo is None and seen.untimed):
         return Outcome(lo, lo, 0, seen.untimed)
     batch = f"{name}:{start or ''}:{seen.hi or ''}"
     landed = land_increment(source.rows(start, seen.hi), landing, fmt=fmt, batch=batch, at=now,
                             known_rows=True)
-    if landed and seen.hi is not None:
-        bookmarks.advance(name, seen.hi, now)
-    return Outcome(lo, seen.hi, landed, seen.untimed)
+    hi = lo if seen.hi is None or (lo is not None and comes_before(seen.hi, lo)) else seen.hi
+    if landed and hi is not None and hi != lo:      # a bookmark never moves back
+        bookmarks.advance(name, hi, now)
+    return Outcome(lo, hi, landed, seen.untimed)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ...sinks import land_increment as land
+from ...sources import read_delimited
 from ..incremental import (FrameSource, TableBookmarks, bookmark_advance as advance, extract_full as full,
                            extract_since as since, read_bookmark, run_incremental)
 from .registry import NOON, fresh, query, table
@@ -48,14 +50,13 @@ def extract_after_bookmark(spark, sf):
     return since(orders, "o_orderdate", read_bookmark(marks, "orders"))
 
 
-@query("SELECT o_orderkey, o_orderpriority, DATE '2026-01-15' AS ingest_date FROM orders WHERE o_orderstatus = 'P'")
+@query("SELECT *, DATE '2026-01-15' AS ingest_date FROM conversations")
 def land_csv(spark, sf):
     """Landing as CSV with a header."""
-    landing = fresh(spark, "landing-csv")
-    rows = table(spark, sf, "orders").filter("o_orderstatus = 'P'").select("o_orderkey", "o_orderpriority")
+    landing, rows = fresh(spark, "landing-csv"), table(spark, sf, "conversations")
     land(rows, landing, fmt="csv", at=NOON)
-    return spark.read.schema("o_orderkey bigint, o_orderpriority string, ingested_at string, ingest_date date").option(
-        "header", True).csv(landing).drop("ingested_at")
+    shape = T.StructType([*rows.schema, T.StructField("ingested_at", T.StringType()), T.StructField("ingest_date", T.DateType())])
+    return read_delimited(spark, landing, schema=shape).drop("ingested_at")
 
 
 @query(f"""SELECT *, CASE WHEN o_orderdate <= TIMESTAMP '{MIDDLE}' THEN 'first' ELSE 'second' END AS batch_id,
@@ -83,3 +84,21 @@ def incremental_runs(spark, sf):
     run_incremental("orders", late, marks, landing, now=NOON)
     run_incremental("orders", late, marks, landing, now=NOON)
     return spark.read.parquet(landing).select("o_orderkey", "o_orderdate", "o_totalprice", "batch_id")
+
+
+@query("SELECT event_id, user_id, event_type, value FROM events")
+def run_incremental_other_zone(spark, sf):
+    """The bookmark of instants is read in another time zone than it was written in; nothing is lost."""
+    events = table(spark, sf, "events").select(
+        "event_id", "user_id", "event_type", "value", F.timestamp_seconds(1_700_000_000 + F.col("event_id") * 60).alias("changed"))
+    landing, marks = fresh(spark, "zones"), TableBookmarks(spark, fresh(spark, "zone-bookmarks"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for run_zone, rows in (("Asia/Tokyo", events.filter("event_id % 3 = 0")), ("America/New_York", events)):
+            spark.conf.set("spark.sql.session.timeZone", run_zone)
+            late = rows if run_zone == "Asia/Tokyo" else rows.withColumn("changed", F.when(
+                F.col("event_id") % 3 == 0, F.col("changed")).otherwise(F.col("changed") + F.expr("INTERVAL 1000 DAYS")))
+            run_incremental("events", FrameSource(late, "changed"), marks, landing, now=NOON)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    return spark.read.parquet(landing).select("event_id", "user_id", "event_type", "value")

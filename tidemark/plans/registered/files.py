@@ -31,11 +31,30 @@ def read_delimited(spark, sf):
 
 
 @query("""SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
-    c_mktsegment FROM customer""")
+    c_acctbal, c_mktsegment FROM customer""")
 def read_delimited_as_text(spark, sf):
     path = fresh(spark, "csv-text")
-    write_delimited(table(spark, sf, "customer").drop("c_acctbal"), path)
-    return delimited(spark, path, infer=False)
+    write_delimited(table(spark, sf, "customer"), path)
+    return delimited(spark, path, infer=False).withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
+
+
+@query("SELECT * FROM documents")
+def csv_documents_roundtrip(spark, sf):
+    """Texts with line breaks, quotes and blanks come back from CSV as they were."""
+    docs, path = table(spark, sf, "documents"), fresh(spark, "csv-documents")
+    write_delimited(docs, path)
+    return delimited(spark, path, schema=docs.schema)
+
+
+@query("SELECT * FROM orders")
+def external_partitioned(spark, sf):
+    """A partitioned folder keeps all its rows through registering, dropping and registering again."""
+    orders, path, name = table(spark, sf, "orders"), fresh(spark, "by-status"), _own_name("orders_by_status")
+    write_parquet(orders, path, partition_by=["o_orderstatus"])
+    for _ in range(2):
+        out = register_external(spark, name, path)
+        drop_table(spark, name)
+    return out
 
 
 @query("SELECT * FROM part")
@@ -99,16 +118,18 @@ def drop_recreate(spark, sf):
 @query("SELECT 'Provider' AS key, 'parquet' AS value UNION ALL SELECT 'Type', 'MANAGED' UNION ALL SELECT 'o_orderkey', 'bigint'")
 def describe_kv(spark, sf):
     """Chosen facts about a managed table made from a query."""
-    schema = "tidemark_describe"
+    schema = _own_name("describe")
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{scratch_dir(spark, 'schema')}'")
     name = f"{schema}.orders_managed"
     create_managed(table(spark, sf, "orders"), name)
-    return describe(spark, name, {"Provider", "Type", "o_orderkey"})
+    rows = describe(spark, name, {"Provider", "Type", "o_orderkey"}).collect()      # three rows
+    spark.sql(f"DROP SCHEMA {schema} CASCADE")
+    return spark.createDataFrame(rows, "key string, value string")
 
 
 @query("SELECT c_mktsegment, COUNT(*) AS cnt FROM customer GROUP BY c_mktsegment", name="create_managed")
 def managed_table_counts(spark, sf):
-    schema = "tidemark_managed"
+    schema = _own_name("managed")
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{scratch_dir(spark, 'schema')}'")
     create_schema(spark, schema)
     managed = create_managed(table(spark, sf, "customer"), f"{schema}.customer_managed",

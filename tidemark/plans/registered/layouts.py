@@ -86,3 +86,22 @@ def partition_counts(spark, sf):
 def partition_by_status(spark, sf):
     silver = publish(table(spark, sf, "orders"), fresh(spark, "by-status"), ["o_orderstatus"])
     return counts(silver, "o_orderstatus")
+
+
+@query("SELECT event_id, user_id, event_type, value, '00' || (event_id % 10) AS shard FROM events")
+def publish_text_partition(spark, sf):
+    """Text of digits in folder names comes back as that text."""
+    events = table(spark, sf, "events").select(
+        "event_id", "user_id", "event_type", "value", F.concat(F.lit("00"), F.col("event_id") % 10).alias("shard"))
+    return publish(events, fresh(spark, "text-partition"), ["shard"])
+
+
+@query("""SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS event_date, TRUE AS files_did_not_grow
+    FROM events""")
+def optimize_partitioned_zorder(spark, sf):
+    """Clustering inside each day does not multiply the files of a table partitioned by day."""
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value", F.to_date("ts").alias("event_date"))
+    t = ChangeTable.create(spark, fresh(spark, "optimize-days"), events, partition_by=["event_date"])
+    before = t.detail().first()["num_files"]
+    t.optimize(zorder_by=["user_id", "event_type"])
+    return t.current().withColumn("files_did_not_grow", F.lit(t.detail().first()["num_files"] <= before))

@@ -6,6 +6,9 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.schema import quoted
 
 
 def create_schema(spark: SparkSession, name: str) -> None:
@@ -18,11 +21,19 @@ def create_managed(df: DataFrame, name: str, *, partition_by: Sequence[str] = ()
 
 
 def register_external(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
-                      **options) -> DataFrame:
-    """Name the files at ``path``. Partition folders below it are found again."""
+                      schema: T.StructType | None = None, partition_by: Sequence[str] = (), **options) -> DataFrame:
+    """Name the files at ``path``. Partition folders below it are found again.
+
+    Give ``schema`` (and ``partition_by``) where the text of folder names would be taken for
+    another type, such as the text 007 for a number.
+    """
     given = {"path": path, **{k: str(v) for k, v in options.items()}}
     listed = ", ".join(f"'{k}' '{v}'" for k, v in given.items())
-    spark.sql(f"CREATE TABLE {name} USING {fmt} OPTIONS ({listed})")
+    columns = "" if schema is None else "(" + ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema) + ") "
+    parts = f" PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if schema is not None and partition_by else ""
+    spark.sql(f"CREATE TABLE {name} {columns}USING {fmt} OPTIONS ({listed}){parts}")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     return spark.table(name)
 
 

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.columns import stamp_ingest
+from ..sources.files import CSV_WRITER
 
 
 def write_delimited(df: DataFrame, path: str, *, mode: str = "overwrite", header: bool = True,
                     single_file: bool = False) -> None:
     """CSV folder. ``single_file`` funnels everything through one task: small results only."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).option("header", header).csv(path)
+    out.write.mode(mode).options(**CSV_WRITER).option("header", header).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, *, mode: str = "overwrite",
@@ -47,7 +48,7 @@ def land_increment(df: DataFrame, path: str, *, fmt: str = "parquet", batch: str
     writer = (stamped.observe(seen, F.count(F.lit(1)).alias("n"))
               .write.mode("append").partitionBy("ingest_date"))
     if fmt == "csv":
-        writer.option("header", header).csv(path)
+        writer.options(**CSV_WRITER).option("header", header).csv(path)
     else:
         writer.parquet(path)
     return seen.get["n"]

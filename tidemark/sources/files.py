@@ -6,18 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+# One dialect for writing and reading: quotes are doubled, blanks belong to the text, an empty
+# field is NULL and a quoted empty field is the empty text. The reader's mark for NULL is no text.
+CSV_DIALECT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+CSV_READER = {**CSV_DIALECT, "nullValue": "\x00null\x00", "emptyValue": ""}
+CSV_WRITER = {**CSV_DIALECT, "nullValue": "", "emptyValue": '""'}
+
+
 def read_delimited(spark: SparkSession, path: str, *, header: bool = True, infer: bool = True,
                    schema: T.StructType | str | None = None, sep: str = ",",
-                   multiline: bool = False) -> DataFrame:
+                   multiline: bool = True) -> DataFrame:
     """CSV by content, whatever the file extension.
 
     Inference reads the whole input once more before the query does. Give ``schema`` on
-    large inputs. ``infer=False`` leaves every column text. ``multiline`` is for
-    quoted line breaks; such a file cannot be split over tasks.
+    large inputs. ``infer=False`` leaves every column text. Quoted line breaks are read as
+    such, so a file is one task's work; ``multiline=False`` splits large files that have none.
     """
-    reader = spark.read.option("header", header).option("sep", sep)
-    if multiline:
-        reader = reader.option("multiLine", True).option("escape", '"')
+    reader = spark.read.options(**CSV_READER).option("header", header).option("sep", sep).option("multiLine", multiline)
     if schema is not None:
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", infer).csv(path)

@@ -54,8 +54,11 @@ def high_water_sql(table: str, column: str, lo: str | None) -> str:
 
 def read_jdbc(spark: SparkSession, connection: dict[str, str], table: str,
               split: Split | None = None, **options) -> DataFrame:
-    """A table, or a query wrapped by :func:`as_table`."""
-    reader = spark.read.format("jdbc").options(**connection).options(**options)
+    """A table, or a query wrapped by :func:`as_table`.
+
+    Times without a zone stay so: bounds written from them are text in the database's own terms.
+    """
+    reader = spark.read.format("jdbc").option("preferTimestampNTZ", "true").options(**connection).options(**options)
     if split is not None:
         reader = reader.options(**split.options())
     return reader.option("dbtable", table).load()
