@@ -18,23 +18,23 @@ def scores(spark, *items):
 
 @pytest.fixture
 def travel(spark, path):
-    """Five versions: create, insert, update, delete, merge, one hour apart."""
+    """River gauges in five versions, one hour apart: create, insert, delete, merge, update."""
     t0 = datetime(2026, 1, 1)
     at = lambda n: t0 + timedelta(hours=n)
     t = ChangeTable.create(spark, path("travel"), SCORES, at=at(0))
-    t.append(scores(spark, (1, "A", 10), (2, "B", 20), (3, "C", 30)), at=at(1))
-    t.update("id = 2", {"score": 99}, at=at(2))
-    t.delete("id = 1", at=at(3))
-    t.merge(scores(spark, (3, "C", 300), (4, "D", 40)), "id", at=at(4))
+    t.append(scores(spark, (11, "Elbe", 140), (12, "Oder", 95), (15, "Main", 210), (20, "Saale", 60)), at=at(1))
+    t.delete("score < 80", at=at(2))
+    t.merge(scores(spark, (12, "Oder", 118), (31, "Inn", 305), (15, "Main", 199)), "id", at=at(3))
+    t.update("id > 14", {"score": F.col("score") + 1}, at=at(4))
     return t
 
 
 STATES = {
     0: [],
-    1: [(1, "A", 10), (2, "B", 20), (3, "C", 30)],
-    2: [(1, "A", 10), (2, "B", 99), (3, "C", 30)],
-    3: [(2, "B", 99), (3, "C", 30)],
-    4: [(2, "B", 99), (3, "C", 300), (4, "D", 40)],
+    1: [(11, "Elbe", 140), (12, "Oder", 95), (15, "Main", 210), (20, "Saale", 60)],
+    2: [(11, "Elbe", 140), (12, "Oder", 95), (15, "Main", 210)],
+    3: [(11, "Elbe", 140), (12, "Oder", 118), (15, "Main", 199), (31, "Inn", 305)],
+    4: [(11, "Elbe", 140), (12, "Oder", 118), (15, "Main", 200), (31, "Inn", 306)],
 }
 
 
@@ -44,17 +44,32 @@ def test_every_version_reads_back(travel, rows):
     assert rows(travel.current()) == STATES[4]
 
 
-def test_orders_dml(spark, path, rows):
-    ddl = "order_id int, customer string, amount int, status string"
+def test_each_statement_on_a_table_of_parcels(spark, path, rows):
+    ddl = "parcel string, kilos double, depot string"
     t = ChangeTable.create(spark, path(), ddl)
-    t.append(spark.createDataFrame(
-        [(1, "A", 100, "CREATED"), (2, "B", 200, "CREATED"), (3, "C", 300, "CREATED")], ddl))
-    t.update("order_id = 2", {"status": "SHIPPED"})
-    t.delete("order_id = 1")
-    t.merge(spark.createDataFrame([(2, "B", 250, "DELIVERED"), (4, "D", 400, "CREATED")], ddl), "order_id")
-    assert rows(t.at_version(2)) == [(1, "A", 100, "CREATED"), (2, "B", 200, "SHIPPED"), (3, "C", 300, "CREATED")]
-    assert rows(t.at_version(3)) == [(2, "B", 200, "SHIPPED"), (3, "C", 300, "CREATED")]
-    assert rows(t.current()) == [(2, "B", 250, "DELIVERED"), (3, "C", 300, "CREATED"), (4, "D", 400, "CREATED")]
+    t.append(spark.createDataFrame([("p9", 2.5, "north"), ("p4", 0.75, "west"), ("p6", 11.0, None), ("p2", 4.0, "west")], ddl))
+    t.merge(spark.createDataFrame([("p6", 10.5, "east"), ("p1", 1.0, "north")], ddl), "parcel")
+    t.delete("depot = 'west' AND kilos < 1")
+    t.update("kilos > 4", {"depot": F.concat("depot", F.lit("-heavy"))})
+    assert rows(t.at_version(2)) == [("p1", 1.0, "north"), ("p2", 4.0, "west"), ("p4", 0.75, "west"), ("p6", 10.5, "east"), ("p9", 2.5, "north")]
+    assert rows(t.at_version(3)) == [("p1", 1.0, "north"), ("p2", 4.0, "west"), ("p6", 10.5, "east"), ("p9", 2.5, "north")]
+    assert rows(t.current()) == [("p1", 1.0, "north"), ("p2", 4.0, "west"), ("p6", 10.5, "east-heavy"), ("p9", 2.5, "north")]
+
+
+def test_predicates_of_statements_reach_the_scan(spark, path):
+    t = ChangeTable.create(spark, path(), spark.range(50).selectExpr("int(id) id", "'x' name", "int(id % 5) score"), partition_by=["score"])
+    rows = t._live(t.version).filter("score = 2 AND id = 7")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(id,7)" in plan and "score" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert t.delete("score = 2 AND id = 7") and t.current().count() == 49
+
+
+def test_merge_condition_on_a_column_of_the_source_alone(spark, path, rows):
+    t = ChangeTable.create(spark, path(), "`a.key` int, name string")
+    t.append(spark.createDataFrame([(1, "one"), (2, "two")], "`a.key` int, name string"))
+    changes = spark.createDataFrame([(1, "uno", 5), (2, "due", 3), (4, "quattro", 1)], "`a.key` int, name string, seq int")
+    t.merge(changes, "a.key", "s.seq > 4")
+    assert rows(t.current()) == [(1, "uno"), (2, "two"), (4, "quattro")]
 
 
 def test_reopened_table_sees_the_same(spark, travel, rows):
@@ -65,8 +80,8 @@ def test_reopened_table_sees_the_same(spark, travel, rows):
 
 def test_history_and_range(travel, rows):
     got = rows(travel.history(), "version", "operation", "rows_added", "rows_removed", "readable")
-    assert got == [(0, "CREATE TABLE", 0, 0, True), (1, "WRITE", 3, 0, True), (2, "UPDATE", 1, 1, True),
-                   (3, "DELETE", 0, 1, True), (4, "MERGE", 2, 1, True)]
+    assert got == [(0, "CREATE TABLE", 0, 0, True), (1, "WRITE", 4, 0, True), (2, "DELETE", 0, 1, True),
+                   (3, "MERGE", 3, 2, True), (4, "UPDATE", 2, 2, True)]
     assert rows(travel.version_range()) == [(0, 4)]
 
 
@@ -92,8 +107,8 @@ def test_commit_times_go_forward(spark, travel):
 
 def test_diff(travel, rows):
     added, removed = travel.diff(1, 4)
-    assert rows(added) == [(2, "B", 99), (3, "C", 300), (4, "D", 40)]
-    assert rows(removed) == [(1, "A", 10), (2, "B", 20), (3, "C", 30)]
+    assert rows(added) == [(12, "Oder", 118), (15, "Main", 200), (31, "Inn", 306)]
+    assert rows(removed) == [(12, "Oder", 95), (15, "Main", 210), (20, "Saale", 60)]
     back_added, back_removed = travel.diff(4, 1)
     assert (rows(back_added), rows(back_removed)) == (rows(removed), rows(added))
     same = travel.diff(3, 3)
@@ -276,13 +291,13 @@ def test_small_files_fold_into_one(spark, path, rows):
 
 
 def test_partial_fold_leaves_a_big_base(spark, path, rows):
-    base = spark.range(1000).selectExpr("int(id) id", "'x' name", "int(id) score")
+    base = spark.range(9000).selectExpr("int(id) id", "'x' name", "int(id) score")
     t = ChangeTable.create(spark, path(), base)
-    t.append(scores(spark, (2000, "n", 1), (2001, "n", 2)))
-    t.delete("id IN (3, 2000)")
+    t.append(scores(spark, (20_000, "n", 1), (20_001, "n", 2)))
+    t.delete("id IN (3, 20000)")
     t.update("id = 5", {"name": "five"})
     bag = rows(t.current())
-    v = t.optimize()
+    v = t.optimize(target_bytes=30_000)     # the base's files are larger than half of that
     assert t.history().filter(f"version = {v}").first()["params"]["folded"] == "3"
     assert rows(t.current()) == bag
     t.update("id = 5", {"name": "again"})
@@ -294,6 +309,32 @@ def test_partial_fold_leaves_a_big_base(spark, path, rows):
     assert t.current().count() == len(bag)
 
 
+def test_a_base_of_small_files_is_folded(spark, path, rows):
+    t = ChangeTable.create(spark, path(), spark.range(1000).selectExpr("int(id) id", "'x' name", "int(id) score").repartition(20))
+    t.append(scores(spark, (2000, "n", 1)))
+    assert t.detail().first()["num_files"] >= 21
+    t.optimize()
+    assert t.detail().first()["num_files"] <= 3 and t.current().count() == 1001
+
+
+def test_clustering_stays_within_partitions(spark, path, rows):
+    """Thirty partition values, thirty files: clustering must not multiply them."""
+    base = spark.range(3000).selectExpr("int(id) id", "concat('Customer#', lpad(id * 7 % 3000, 9, '0')) name", "int(id % 30) score")
+    t = ChangeTable.create(spark, path(), base, partition_by=["score"])
+    before = t.detail().first()["num_files"]
+    bag = rows(t.current())
+    t.optimize(zorder_by=["id", "name"])
+    assert t.detail().first()["num_files"] <= max(before, 60) and rows(t.current()) == bag
+
+
+def test_text_with_a_common_prefix_counts_in_full(spark):
+    from tidemark.operators.layout import z_bits, z_value
+    df = spark.range(4000).selectExpr("concat('Customer#00000', lpad(id, 9, '0')) name", "id % 7 other", "id")
+    placed, z = z_value(df, ["name", "other"], files=64)
+    ids = placed.select("name", *z).distinct().select(*z).distinct().count()
+    assert ids == 32 * 7 and z_bits(2, 400_000) >= 11 and len(z_value(df, ["name", "other", "id"] * 6, files=64)[1]) == 2
+
+
 @pytest.mark.parametrize("columns", [["id"], ["id", "score"], ["name", "score"]])
 def test_zorder_keeps_the_rows(spark, path, rows, columns):
     base = spark.range(500).selectExpr("int(id) id", "concat('n', id % 7) name", "int(id * 37 % 101) score")

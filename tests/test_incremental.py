@@ -10,7 +10,7 @@ from tidemark.plans.incremental import BOOKMARK_SCHEMA
 from tidemark.sinks import land_increment
 from tidemark.sources.jdbc import Split, as_table, high_water_sql, window_predicate
 
-SOURCE = "customer_id string, address string, isDeleted boolean, lastmodified timestamp"
+SOURCE = "client string, place string, closed boolean, changed timestamp"
 NOW = datetime(2026, 2, 1, 12, tzinfo=timezone.utc)
 
 
@@ -21,10 +21,10 @@ def at(minute):
 @pytest.fixture
 def source(spark):
     def build(*changes):
-        base = {"C001": ("Oslo", False, at(0)), "C002": ("Lima", False, at(1)), "C003": ("Turin", False, at(2))}
+        base = {"k-1x": ("Oslo", False, at(0)), "k-2x": ("Lima", False, at(1)), "k-3x": ("Turin", False, at(2))}
         for key, *values in changes:
             base[key] = tuple(values)
-        return FrameSource(spark.createDataFrame([(k, *v) for k, v in base.items()], SOURCE), "lastmodified")
+        return FrameSource(spark.createDataFrame([(k, *v) for k, v in base.items()], SOURCE), "changed")
     return build
 
 
@@ -37,18 +37,18 @@ def test_runs_follow_the_bookmark(spark, source, marks, path, rows):
     landing = path("landing")
     run = lambda s: run_incremental("customers", s, marks, landing, now=NOW)
     first = run(source())
-    assert (first.lo, first.hi, first.landed) == (None, "2026-01-01 10:02:00", 3)
+    assert (first.lo, first.hi, first.landed) == (None, "2026-01-01 10:02:00+00:00", 3)
     idle = run(source())
     assert idle.landed == 0 and not idle.advanced
-    assert marks.get("customers") == "2026-01-01 10:02:00"
-    assert run(source(("C001", "Oslo - Harbour", False, at(5)))).landed == 1
-    gone = run(source(("C001", "Oslo - Harbour", False, at(5)), ("C002", "Lima", True, at(6))))
-    assert (gone.landed, gone.hi) == (1, "2026-01-01 10:06:00")
+    assert marks.get("customers") == "2026-01-01 10:02:00+00:00"
+    assert run(source(("k-1x", "Oslo - Harbour", False, at(5)))).landed == 1
+    gone = run(source(("k-1x", "Oslo - Harbour", False, at(5)), ("k-2x", "Lima", True, at(6))))
+    assert (gone.landed, gone.hi) == (1, "2026-01-01 10:06:00+00:00")
     landed = spark.read.parquet(landing)
     assert landed.count() == 5
-    latest = latest_per_key(landed, "customer_id", ["lastmodified", "ingested_at"])
-    assert rows(latest, "customer_id", "address", "isDeleted") == [
-        ("C001", "Oslo - Harbour", False), ("C002", "Lima", True), ("C003", "Turin", False)]
+    latest = latest_per_key(landed, "client", ["changed", "ingested_at"])
+    assert rows(latest, "client", "place", "closed") == [
+        ("k-1x", "Oslo - Harbour", False), ("k-2x", "Lima", True), ("k-3x", "Turin", False)]
     assert latest.schema["ingest_date"].dataType.simpleString() == "date"
 
 
@@ -57,24 +57,24 @@ def test_other_bookmarks_stay(spark, source, marks, path, rows):
     marks.advance("parts", "2021-01-01 00:00:00", NOW)
     run_incremental("customers", source(), marks, path("landing"), now=NOW)
     assert rows(marks.table.current(), "table_name", "last_value") == [
-        ("customers", "2026-01-01 10:02:00"), ("orders", "2020-01-01 00:00:00"), ("parts", "2021-01-01 00:00:00")]
+        ("customers", "2026-01-01 10:02:00+00:00"), ("orders", "2020-01-01 00:00:00"), ("parts", "2021-01-01 00:00:00")]
 
 
 def test_untimed_rows_are_reported(spark, marks, path):
-    df = spark.createDataFrame([("C001", "Oslo", False, None), ("C002", "Quito", False, None)], SOURCE)
-    out = run_incremental("customers", FrameSource(df, "lastmodified"), marks, path("landing"), now=NOW)
+    df = spark.createDataFrame([("k-1x", "Oslo", False, None), ("k-2x", "Quito", False, None)], SOURCE)
+    out = run_incremental("customers", FrameSource(df, "changed"), marks, path("landing"), now=NOW)
     assert (out.landed, out.untimed, out.hi, out.advanced) == (2, 2, None, False)
     assert marks.get("customers") is None
     marks.advance("customers", "2026-01-01 00:00:00", NOW)
-    out = run_incremental("customers", FrameSource(df, "lastmodified"), marks, path("landing"), now=NOW)
+    out = run_incremental("customers", FrameSource(df, "changed"), marks, path("landing"), now=NOW)
     assert (out.landed, out.untimed) == (0, 2)
     assert marks.get("customers") == "2026-01-01 00:00:00"
 
 
 def test_first_load_takes_untimed_rows_too(spark, marks, path):
-    df = spark.createDataFrame([("C001", "Oslo", False, None), ("C002", "Quito", False, at(1))], SOURCE)
-    out = run_incremental("customers", FrameSource(df, "lastmodified"), marks, path("landing"), now=NOW)
-    assert (out.landed, out.hi) == (2, "2026-01-01 10:01:00")
+    df = spark.createDataFrame([("k-1x", "Oslo", False, None), ("k-2x", "Quito", False, at(1))], SOURCE)
+    out = run_incremental("customers", FrameSource(df, "changed"), marks, path("landing"), now=NOW)
+    assert (out.landed, out.hi) == (2, "2026-01-01 10:01:00+00:00")
 
 
 def test_default_bookmark_and_overlap(spark, source, marks, path):
@@ -82,33 +82,33 @@ def test_default_bookmark_and_overlap(spark, source, marks, path):
     out = run_incremental("customers", source(), marks, landing, default="1970-01-01 00:00:00", now=NOW)
     assert out.landed == 3
     # a row of the bookmark's own second that was committed late
-    late = source(("C009", "Late", False, at(2)))
+    late = source(("k-9x", "Late", False, at(2)))
     assert run_incremental("customers", late, marks, landing, now=NOW).landed == 0
     again = run_incremental("customers", late, marks, landing, overlap="2026-01-01 10:01:30", now=NOW)
-    assert again.landed == 2 and again.hi == "2026-01-01 10:02:00"
+    assert again.landed == 2 and again.hi == "2026-01-01 10:02:00+00:00"
 
 
 def test_extract_since_bounds(spark, source, rows):
     df = source().df
-    assert rows(extract_since(df, "lastmodified", "2026-01-01 10:00:00", "2026-01-01 10:02:00"), "customer_id") == [
-        ("C002",), ("C003",)]
-    assert extract_since(df, "lastmodified", None).count() == 3
+    assert rows(extract_since(df, "changed", "2026-01-01 10:00:00", "2026-01-01 10:02:00"), "client") == [
+        ("k-2x",), ("k-3x",)]
+    assert extract_since(df, "changed", None).count() == 3
 
 
 def test_extract_filter_reaches_the_scan(spark, source, path):
     p = path("parquet")
     source().df.write.parquet(p)
-    plan = extract_since(spark.read.parquet(p), "lastmodified", "2026-01-01 10:00:30")._jdf.queryExecution().toString()
-    assert "GreaterThan(lastmodified" in plan
+    plan = extract_since(spark.read.parquet(p), "changed", "2026-01-01 10:00:30")._jdf.queryExecution().toString()
+    assert "GreaterThan(changed" in plan
 
 
 def test_read_bookmark(spark):
-    marks = spark.createDataFrame([("customers", "2026-01-03 10:15:00", None), ("empty", None, None)], BOOKMARK_SCHEMA)
-    assert read_bookmark(marks, "customers") == "2026-01-03 10:15:00"
+    marks = spark.createDataFrame([("customers", "2026-02-11 08:47:30", None), ("empty", None, None)], BOOKMARK_SCHEMA)
+    assert read_bookmark(marks, "customers") == "2026-02-11 08:47:30"
     assert read_bookmark(marks, "absent") is None
     assert read_bookmark(marks, "empty", "1970-01-01 00:00:00") == "1970-01-01 00:00:00"
-    typed = spark.createDataFrame([("customers", datetime(1970, 1, 1))], "table_name string, lastmodified timestamp_ntz")
-    assert read_bookmark(typed, "customers", value="lastmodified") == "1970-01-01 00:00:00"
+    typed = spark.createDataFrame([("customers", datetime(1970, 1, 1))], "table_name string, changed timestamp_ntz")
+    assert read_bookmark(typed, "customers", value="changed") == "1970-01-01 00:00:00"
 
 
 def test_bookmark_advance(spark, rows):
@@ -157,3 +157,32 @@ def test_high_water_sql_counts(spark):
     assert tuple(spark.sql(high_water_sql("hw", "c", None)).first()) == (7, 3, 1)
     assert tuple(spark.sql(high_water_sql("hw", "c", "4")).first()) == (7, 2, 1)
     assert tuple(spark.sql(high_water_sql("hw", "c", "7")).first()) == (None, 0, 1)
+
+
+def test_a_bookmark_is_read_in_any_session_zone(spark, marks, path):
+    rows = lambda n: spark.range(n).selectExpr("id", "timestamp_seconds(1770000000 + id * 60) changed")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        landed = []
+        for n, where in ((5, "UTC"), (12, "America/New_York"), (20, "Asia/Tokyo")):
+            spark.conf.set("spark.sql.session.timeZone", where)
+            landed.append(run_incremental("r", FrameSource(rows(n), "changed"), marks, path("landing"), now=NOW).landed)
+        assert landed == [5, 7, 8]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_overlap_is_compared_by_value_and_the_bookmark_never_moves_back(spark, marks, path):
+    rows = lambda n: FrameSource(spark.range(n).selectExpr("id", "id changed"), "changed")
+    landing = path("landing")
+    assert run_incremental("n", rows(13), marks, landing, now=NOW).hi == "12"
+    again = run_incremental("n", rows(12), marks, landing, overlap="9", now=NOW)
+    assert (again.landed, again.hi, marks.get("n")) == (2, "12", "12")
+
+
+def test_sources_advance_side_by_side(spark, marks):
+    other = TableBookmarks(spark, marks.table.path)
+    marks.advance("one", "1", NOW)
+    other.advance("two", "2", NOW)
+    marks.advance("one", "3", NOW)
+    assert (other.get("one"), marks.get("two")) == ("3", "2")
