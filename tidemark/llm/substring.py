@@ -311,7 +311,8 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", t
     def stream(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(judge(pdf, window), columns=["block", "row", "start"])
 
-    refused = staged(placed.groupBy("home", "task").applyInPandas(stream, "block long, row long, start long"), "refused")
+    # dealt by both columns: the join above has the rows by home alone, which would undo the spreading
+    refused = staged(placed.repartition("home", "task").groupBy("home", "task").applyInPandas(stream, "block long, row long, start long"), "refused")
     results = found.filter("kind = 2").select("block", "row", "doc_id", "n_words", "n_removed", "sha", "own_sha", "starts", "body")
     if not refused.isEmpty():
         results = _cut_again(results, blocks, refused, window, with_text)

@@ -219,7 +219,8 @@ def _links(classes: DataFrame, least_cosine: float, trees: int, sample: int) ->
                 "v": np.concatenate([ids[own], ids[[b for _, b in edges]]]),
                 "links": np.concatenate([links[own], np.zeros(len(edges), np.int64)])})
 
-        found = staged(blocks.groupBy(*key, "i", "j").applyInPandas(
+        # dealt by block pair: the join above has the rows by leaf alone
+        found = staged(blocks.repartition(*key, "i", "j").groupBy(*key, "i", "j").applyInPandas(
             compare, f"u {kinds['rep']}, v {kinds['rep']}, links long"), "vector-links")
         links = found.filter("links > 0").select(F.col("u").alias("rep"), "links")
         edges = found.filter("links = 0").select("u", "v")
