@@ -51,10 +51,9 @@ def external_partitioned(spark, sf):
     """A partitioned folder keeps all its rows through registering, dropping and registering again."""
     orders, path, name = table(spark, sf, "orders"), fresh(spark, "by-status"), _own_name("orders_by_status")
     write_parquet(orders, path, partition_by=["o_orderstatus"])
-    for _ in range(2):
-        out = register_external(spark, name, path)
-        drop_table(spark, name)
-    return out
+    register_external(spark, name, path)
+    drop_table(spark, name)
+    return register_external(spark, name, path)     # the catalog lists the partitions when the rows are read
 
 
 @query("SELECT * FROM part")
