@@ -350,14 +350,15 @@ def test_shallow_clone_is_independent(travel, spark, path, rows):
     c = travel.clone_shallow(path("clone"), 3)
     assert rows(c.current()) == STATES[3]
     travel.delete("true")
-    c.update("id = 2", {"score": 1})
-    c.append(scores(spark, (8, "H", 8)))
-    assert rows(c.current()) == [(2, "B", 1), (3, "C", 30), (8, "H", 8)]
+    c.update("id = 12", {"score": 1})
+    c.delete("id IN (11, 31)")
+    c.append(scores(spark, (44, "Ilz", 8)))
+    assert rows(c.current()) == [(12, "Oder", 1), (15, "Main", 199), (44, "Ilz", 8)]
     assert rows(travel.current()) == []
     grandchild = c.clone_shallow(path("clone"))
-    grandchild.delete("id = 8")
-    assert rows(grandchild.current()) == [(2, "B", 1), (3, "C", 30)]
-    assert c.version == 2
+    grandchild.delete("id = 44")
+    assert rows(grandchild.current()) == [(12, "Oder", 1), (15, "Main", 199)]
+    assert c.version == 3
     c.restore(0)
     assert rows(c.current()) == STATES[3]
     c.optimize(full=True)
@@ -389,8 +390,8 @@ def test_expire(travel, rows):
         travel.at_version(4)
     assert travel.detail().first()["num_segments"] == 1
     assert travel.history().count() == travel.version + 1
-    travel.delete("id = 3")
-    assert rows(travel.current()) == [(2, "B", 99), (4, "D", 40)]
+    travel.delete("id < 15")
+    assert rows(travel.current()) == [(15, "Main", 200), (31, "Inn", 306)]
 
 
 def test_default_expiry_keeps_a_young_table(spark, path, rows):
@@ -409,10 +410,10 @@ def test_expire_removes_the_folders(travel, spark, tmp_path):
 
 def test_second_writer_is_refused(spark, travel, rows):
     other = ChangeTable(spark, travel.path)
-    travel.delete("id = 2")
+    travel.delete("id < 15")
     with pytest.raises(CommitConflict):
-        other.delete("id = 3")
-    assert rows(other.refresh().current()) == [(3, "C", 300), (4, "D", 40)]
+        other.delete("id = 31")
+    assert rows(other.refresh().current()) == [(15, "Main", 200), (31, "Inn", 306)]
 
 
 def test_unnamed_folder_is_ignored(spark, travel, rows):
@@ -443,19 +444,19 @@ def test_folders_older_than_any_removal_skip_the_join(spark, path):
 
 
 def test_versions_across_a_replacement(travel, spark, rows):
-    travel.overwrite(scores(spark, (2, "B", 99), (7, "G", 7)))
-    assert travel.history().filter("version = 5").first()["rows_removed"] == 3
+    travel.overwrite(scores(spark, (11, "Elbe", 140), (7, "Ruhr", 7)))
+    assert travel.history().filter("version = 5").first()["rows_removed"] == 4
     added, removed = travel.diff(4, 5)
-    assert rows(added) == [(7, "G", 7)]
-    assert rows(removed) == [(3, "C", 300), (4, "D", 40)]
+    assert rows(added) == [(7, "Ruhr", 7)]
+    assert rows(removed) == STATES[4][1:]
     added, removed = travel.diff(4, 5, bag=True)
-    assert (rows(added), len(rows(removed))) == ([(7, "G", 7)], 2)
+    assert (rows(added), len(rows(removed))) == ([(7, "Ruhr", 7)], 3)
     travel.update("id = 7", {"score": 8})
     travel.restore(2)
     assert rows(travel.current()) == STATES[2]
-    assert rows(travel.at_version(6)) == [(2, "B", 99), (7, "G", 8)]
+    assert rows(travel.at_version(6)) == [(11, "Elbe", 140), (7, "Ruhr", 8)]
     travel.restore(6)
-    assert rows(travel.current()) == [(2, "B", 99), (7, "G", 8)]
+    assert rows(travel.current()) == [(11, "Elbe", 140), (7, "Ruhr", 8)]
 
 
 def test_overwrite_of_a_shallow_clone(travel, spark, path, rows):
@@ -478,13 +479,13 @@ def test_merge_computes_its_source_once(spark, path, rows):
 
 
 def test_merge_ignores_columns_the_table_lacks(travel, spark, rows):
-    travel.merge(scores(spark, (3, "C", 301)).withColumn("more", F.lit(1)), "id")
-    assert rows(travel.current()) == [(2, "B", 99), (3, "C", 301), (4, "D", 40)]
+    travel.merge(scores(spark, (31, "Inn", 300)).withColumn("more", F.lit(1)), "id")
+    assert rows(travel.current()) == [*STATES[4][:3], (31, "Inn", 300)]
 
 
 def test_merge_without_staging(travel, spark, rows):
-    travel.merge(scores(spark, (3, "C", 301)), "id", stage=False)
-    assert rows(travel.current()) == [(2, "B", 99), (3, "C", 301), (4, "D", 40)]
+    travel.merge(scores(spark, (31, "Inn", 300)), "id", stage=False)
+    assert rows(travel.current()) == [*STATES[4][:3], (31, "Inn", 300)]
 
 
 def test_merge_beyond_the_broadcast_limit(spark, path, rows, monkeypatch):
