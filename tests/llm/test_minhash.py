@@ -46,6 +46,20 @@ def test_samples_agree_as_often_as_bags_are_similar():
     assert abs(exact.mean() - estimate.mean()) < 0.02 and 0.6 < exact.mean() < 0.9
 
 
+def test_samples_of_very_long_bags_agree_as_often_as_they_are_similar():
+    """Many single shingles and a few that are repeated in one text only, such as a page footer."""
+    for single, repeated, times in ((100_000, 12, 400), (200_000, 12, 300)):
+        found = []
+        for seed in range(3):
+            keys = np.unique(np.random.default_rng(seed).integers(0, 1 << 63, single + repeated).astype(np.uint64))
+            one, other = np.ones(len(keys)), np.ones(len(keys))
+            at = np.random.default_rng(seed + 50).choice(len(keys), 2 * repeated, replace=False)
+            one[at[:repeated]], other[at[repeated:]] = times, times
+            found.append((sample(keys, one) == sample(keys, other)).mean())
+            exact = similarity((keys, one), (keys, other))
+        assert exact > 0.9 and abs(np.mean(found) - exact) < 0.05
+
+
 def corpus():
     rnd = random.Random(9)
     base = [[f"w{rnd.randrange(5000)}" for _ in range(rnd.randrange(40, 200))] for _ in range(60)]

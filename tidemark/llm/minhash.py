@@ -9,8 +9,8 @@ Jaccard similarity of the whole texts.
 
 Document frequencies are counted over all documents in CELLS hashed cells, so the table
 that is sent to all tasks has a fixed size; texts share a cell's weight wherever they share
-the shingle. The random numbers of a shingle are a row of a fixed table, picked by its
-hash. A shingle that ties with another of its row loses by the larger hash.
+the shingle. The random numbers of a shingle follow from its whole hash and the number of
+the sample, so that no two shingles share them, however long a text is.
 
 Pairs are not listed per bucket. Texts with equal bags become one. The hub of a bucket is
 the text whose buckets have most members over all bands: the original among its copies.
@@ -40,15 +40,14 @@ from pyspark.sql import functions as F
 
 from .common import id_text, spread, staged, texts
 from .components import components
-from .shingles import runs, word_hashes
+from .shingles import mixed, runs, word_hashes
 
 WORDS = 5
 CELLS = 1 << 20
 CELL_BLOCK = 1 << 12
 BANDS, BAND = 24, 4
 SAMPLES = BANDS * BAND
-TABLE = 1 << 13
-LEAST_SAME = 56         # of 96; a pair at the threshold of 0.8 agrees in fewer with a probability of 1e-7
+LEAST_SAME = 56         # of 96; a pair at the threshold of 0.8 agrees in fewer with a probability of 4e-07
 KEPT_BAGS = 4096
 BLOCK = 1024             # members of a bucket that are compared in one task
 BREAKS = np.zeros(256, bool)
@@ -65,31 +64,54 @@ def cells_of(keys: np.ndarray) -> np.ndarray:
     return (keys >> np.uint64(44)).astype(np.int64)
 
 
-def variates() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """r, ln c and beta for each row of the table and sample: Gamma(2,1), Gamma(2,1), uniform."""
-    rng = np.random.default_rng(20)
-    shape = (TABLE, SAMPLES)
-    return (rng.gamma(2, 1, shape).astype(np.float32), np.log(rng.gamma(2, 1, shape)).astype(np.float32),
-            rng.random(shape).astype(np.float32))
+FACTORS = (mixed(np.arange(1, 6 * SAMPLES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32).reshape(3, 2, SAMPLES) | np.uint32(1)
+STEP = 256              # shingles whose numbers are made at a time
 
 
-_variates = None
+def gamma_quantiles(n: int) -> np.ndarray:
+    """The middle of each of n equally likely parts of Gamma(2,1)."""
+    x = np.geomspace(1e-6, 60, 1 << 20)
+    return np.interp((np.arange(n) + 0.5) / n, 1 - (1 + x) * np.exp(-x), x).astype(np.float32)
+
+
+GAMMA = gamma_quantiles(1 << 16)
+
+
+def variates(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """r, ln c and beta for each key and sample: Gamma(2,1), Gamma(2,1), uniform.
+
+    The least c of a text decides, so c comes from 48 bits, as less the logarithm of a product
+    of two uniform numbers; r and beta come from 16 bits each.
+    """
+    low, high = keys.astype(np.uint32)[:, None], (keys >> np.uint64(32)).astype(np.uint32)[:, None]
+
+    def bits(factors):
+        x = low * factors[0] + high * factors[1]
+        for shift, factor in ((16, 0x7FEB352D), (15, 0x846CA68B)):
+            x ^= x >> np.uint32(shift)
+            x *= np.uint32(factor)
+        x ^= x >> np.uint32(16)
+        return x
+
+    def uniform(x, n):
+        return (x.view(np.int32).astype(np.float32) + np.float32(0.5)) * np.float32(2.0 ** -n)
+
+    x, y, z = map(bits, FACTORS)
+    c = -np.log(uniform(x >> np.uint32(8), 24) * uniform(y >> np.uint32(8), 24))
+    return GAMMA[z >> np.uint32(16)], np.log(np.maximum(c, np.float32(1e-8))), uniform(z & np.uint32(0xFFFF), 16)
 
 
 def sample(keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """SAMPLES consistent weighted samples of a bag, each as a hash of shingle and level."""
-    global _variates
-    _variates = _variates or variates()
-    r_all, c_all, b_all = _variates
     best = np.full(SAMPLES, np.inf, np.float32)
     out = np.zeros(SAMPLES, np.uint64)
     k = np.arange(SAMPLES)
-    for at in range(0, len(keys), 1024):
-        u = keys[at:at + 1024]
-        row = (u & np.uint64(TABLE - 1)).astype(np.int64)
-        r, beta = r_all[row], b_all[row]
-        level = np.floor(np.log(weights[at:at + 1024]).astype(np.float32)[:, None] / r + beta)
-        a = c_all[row] - r * (level - beta + 1)
+    logs = np.log(weights).astype(np.float32)[:, None]
+    for at in range(0, len(keys), STEP):
+        u = keys[at:at + STEP]
+        r, log_c, beta = variates(u)
+        level = np.floor(logs[at:at + STEP] / r + beta)
+        a = log_c - r * (level - beta + 1)
         who = a.argmin(0)
         least = a[who, k]
         better = least < best
