@@ -75,3 +75,17 @@ def test_spill_keeps_close_pairs_together():
     a, b = tree.leaves(x), tree.leaves(y)
     assert len({k for own in a for k in own}) > 4
     assert np.mean([bool(set(p) & set(q)) for p, q in zip(a, b)]) > 0.9
+
+
+def test_dense_group_loses_no_close_pair(monkeypatch):
+    """Vectors of a mutual cosine of about 0.9, far more than a leaf is meant to hold."""
+    monkeypatch.setattr(vectors, "LEAF", 256)
+    rng = np.random.default_rng(3)
+    base, d = unit(rng.standard_normal((1, 64))), 64
+    x = unit(np.sqrt(0.9) * base + np.sqrt(0.1 / d) * rng.standard_normal((6000, d)))
+    a, b = np.nonzero(x[:200] @ x.T >= 0.93)
+    together = np.zeros(len(a), bool)
+    for seed in range(vectors.TREES):
+        own = [set(leaves) for leaves in grow(x, 1.0, 0.93, seed).leaves(x)]
+        together |= np.array([not own[i].isdisjoint(own[j]) for i, j in zip(a, b)])
+    assert len(a) > 10_000 and together.all()
