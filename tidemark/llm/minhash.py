@@ -47,7 +47,7 @@ CELLS = 1 << 20
 CELL_BLOCK = 1 << 12
 BANDS, BAND = 24, 4
 SAMPLES = BANDS * BAND
-LEAST_SAME = 56         # of 96; a pair at the threshold of 0.8 agrees in fewer with a probability of 4e-07
+LEAST_SAME = 56         # of 96; a pair at the threshold of 0.8 agrees in fewer with a probability of 4e-7
 KEPT_BAGS = 4096
 BLOCK = 1024             # members of a bucket that are compared in one task
 BREAKS = np.zeros(256, bool)
