@@ -1,4 +1,4 @@
-"""The ten operators as queries over whole tables, with production parameters."""
+"""The operators as queries over whole tables, with production parameters."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, langid, licences, minhash, packing, quality, substring, token_count, vectors
+from . import bpe, exact, langid, licences, minhash, packing, pii, prefix_trie, quality, spelling, substring, token_count, vectors
 from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,27 @@ def op9_substring_dedup(spark, sf_dir):
 def op10_packing(spark, sf_dir):
     """Every document's tokens in sequences of at most 4096."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), 4096)
+
+
+@query
+def op11_pii(spark, sf_dir):
+    """Every document's personal data."""
+    return pii.span_digests(pii.find_personal_data(table(spark, sf_dir, "documents")))
+
+
+@query
+def op12_conversation_trie(spark, sf_dir):
+    """Every node of the trie of rebuilt conversations."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op12_conversation_trie"] = prefix_trie.TRIE_SQL
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    """Every word with its near words, its form and its root."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_spelling_variants"] = spelling.SPELLING_SQL
