@@ -9,7 +9,7 @@ Jaccard similarity of the whole texts.
 
 Document frequencies are counted over all documents in CELLS hashed cells, so the table
 that is sent to all tasks has a fixed size; texts share a cell's weight wherever they share
-the shingle. The random numbers of a shingle follow from its whole hash and the number of
+the shingle, and weights follow shares of the documents, not their number. The random numbers of a shingle follow from its whole hash and the number of
 the sample, so that no two shingles share them, however long a text is.
 
 Pairs are not listed per bucket. Texts with equal bags become one. The hub of a bucket is
@@ -17,7 +17,8 @@ the text whose buckets have most members over all bands: the original among its
 Each text is verified against the greatest hub it shares a bucket with; next, texts not
 yet in one class with the hub of a bucket, against that; last, within each bucket that
 holds several classes, all pairs in different classes whose samples agree in at least
-LEAST_SAME. Those are compared where they meet, a large bucket in pairs of blocks, and only
+LEAST_SAME. Those are compared where they meet, a large bucket in pairs of blocks: first the
+samples, without texts, then the texts of the documents that have a possible partner. Only
 links leave the task. A class is a connected component of verified pairs, so no pair found
 in a bucket is lost, and members of one class cost no pairs.
 
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, spread, staged, texts
+from .common import free_name, id_text, quoted, spread, staged, texts
 from .components import components
 from .shingles import mixed, runs, word_hashes
 
@@ -48,8 +49,10 @@ CELL_BLOCK = 1 << 12
 BANDS, BAND = 24, 4
 SAMPLES = BANDS * BAND
 LEAST_SAME = 56         # of 96; a pair at the threshold of 0.8 agrees in fewer with a probability of 4e-7
-KEPT_BAGS = 4096
-BLOCK = 1024             # members of a bucket that are compared in one task
+RARE = 1 / 1024         # a shingle in no larger share of the documents has the full weight
+KEPT_SHINGLES = 1 << 22  # of texts a task compares
+KEPT_SIGNATURES = 1 << 13
+BLOCK, BLOCK_BYTES = 1024, 32 << 20     # members of a bucket that are compared in one task, and their texts
 BREAKS = np.zeros(256, bool)
 BREAKS[[9, 10, 11, 12, 13, 32]] = True
 
@@ -64,8 +67,8 @@ def cells_of(keys: np.ndarray) -> np.ndarray:
     return (keys >> np.uint64(44)).astype(np.int64)
 
 
-FACTORS = (mixed(np.arange(1, 6 * SAMPLES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32).reshape(3, 2, SAMPLES) | np.uint32(1)
-STEP = 256              # shingles whose numbers are made at a time
+FACTORS = mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64)) | np.uint64(1)
+STEP = 256              # shingles whose random numbers are made at a time
 
 
 def gamma_quantiles(n: int) -> np.ndarray:
@@ -80,43 +83,45 @@ GAMMA = gamma_quantiles(1 << 16)
 def variates(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """r, ln c and beta for each key and sample: Gamma(2,1), Gamma(2,1), uniform.
 
-    The least c of a text decides, so c comes from 48 bits, as less the logarithm of a product
-    of two uniform numbers; r and beta come from 16 bits each.
+    They come from one 64-bit hash of key and sample, 16 bits for each of r, beta and the two
+    uniform numbers of whose product c is less the logarithm.
     """
-    low, high = keys.astype(np.uint32)[:, None], (keys >> np.uint64(32)).astype(np.uint32)[:, None]
+    x = keys[:, None] * FACTORS
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    lanes = x.view(np.uint16).reshape(len(keys), SAMPLES, 4)
+    one, other, beta = ((lanes[..., i].astype(np.float32) + HALF) * SIXTEENTH for i in (0, 1, 2))
+    one *= other
+    c = np.log(one, out=one)
+    np.negative(c, out=c)
+    return GAMMA[lanes[..., 3]], np.log(c, out=c), beta
 
-    def bits(factors):
-        x = low * factors[0] + high * factors[1]
-        for shift, factor in ((16, 0x7FEB352D), (15, 0x846CA68B)):
-            x ^= x >> np.uint32(shift)
-            x *= np.uint32(factor)
-        x ^= x >> np.uint32(16)
-        return x
 
-    def uniform(x, n):
-        return (x.view(np.int32).astype(np.float32) + np.float32(0.5)) * np.float32(2.0 ** -n)
-
-    x, y, z = map(bits, FACTORS)
-    c = -np.log(uniform(x >> np.uint32(8), 24) * uniform(y >> np.uint32(8), 24))
-    return GAMMA[z >> np.uint32(16)], np.log(np.maximum(c, np.float32(1e-8))), uniform(z & np.uint32(0xFFFF), 16)
+HALF, SIXTEENTH = np.float32(0.5), np.float32(2.0 ** -16)
 
 
 def sample(keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """SAMPLES consistent weighted samples of a bag, each as a hash of shingle and level."""
     best = np.full(SAMPLES, np.inf, np.float32)
     out = np.zeros(SAMPLES, np.uint64)
-    k = np.arange(SAMPLES)
+    every = np.arange(SAMPLES)
     logs = np.log(weights).astype(np.float32)[:, None]
     for at in range(0, len(keys), STEP):
-        u = keys[at:at + STEP]
-        r, log_c, beta = variates(u)
-        level = np.floor(logs[at:at + STEP] / r + beta)
-        a = log_c - r * (level - beta + 1)
+        part = keys[at:at + STEP]
+        r, a, beta = variates(part)
+        level = logs[at:at + STEP] / r
+        level += beta
+        np.floor(level, out=level)
+        beta -= level
+        beta -= np.float32(1)       # less the steps of r from the weight down
+        r *= beta
+        a += r
         who = a.argmin(0)
-        least = a[who, k]
-        better = least < best
+        least = a[who, every]
+        better = np.flatnonzero(least < best)
         best[better] = least[better]
-        out[better] = (u[who] * np.uint64(0x9FB21C651E98DF25) + level[who, k].astype(np.int64).astype(np.uint64))[better]
+        out[better] = part[who[better]] * np.uint64(0x9FB21C651E98DF25) + level[who[better], better].astype(np.int64).astype(np.uint64)
     return out
 
 
@@ -152,12 +157,16 @@ def document_frequencies(docs: DataFrame, n: int = WORDS) -> np.ndarray:
 
 
 def inverse_frequencies(df: np.ndarray) -> np.ndarray:
-    """Weights from 1 (in every document) to 2 (in none).
+    """Weights from 1 (in every document) to 2 (in at most the share RARE of them).
 
-    The range is held to 2 so that the copies in a large group stay similar: what they
-    share is frequent for that very reason, what sets them apart is rare.
+    They follow the share of documents alone, so that a pair of texts is as similar in a
+    large corpus as in a small one. A cell's count holds what other shingles add to it; as
+    a share that is the same at any size, and its mean is taken off. The range is held to 2
+    so that the copies in a large group stay similar: what they share is frequent for that
+    very reason, what sets them apart is rare.
     """
-    return (1 + np.log((1 + df[-1]) / (1 + df[:-1])) / max(np.log(1 + df[-1]), 1e-9)).astype(np.float32)
+    share = (df[:-1] - df[:-1].mean()) / max(df[-1], 1)
+    return (1 + np.log(np.clip(share, RARE, 1)) / np.log(RARE)).astype(np.float32)
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -179,28 +188,37 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id"
         keys, counts = shingles(text)
         return keys, counts * idf.value[cells_of(keys)].astype(np.float64)
 
+    def signature(keys, counts):
+        w = counts * idf.value[cells_of(keys)].astype(np.float64)
+        s = sample(keys, w)
+        bands = np.sum(s.reshape(BANDS, BAND) * np.array([1, 0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x27D4EB2F165667C5], np.uint64), axis=1)
+        return w.sum(), bands.view(np.int64), (s >> np.uint64(56)).astype(np.uint8).view(np.int8)
+
     def sign(batches):
+        known: dict = {}        # copies that a task meets are sampled once
         for batch in batches:
-            same, weight, bands, low = [], [], [], []
+            same, size, signed = [], [], []
             for text in texts(batch):
                 keys, counts = shingles(text)
-                w = counts * idf.value[cells_of(keys)].astype(np.float64)
-                s = sample(keys, w)
-                same.append(hashlib.blake2b(keys.tobytes() + counts.tobytes(), digest_size=16).digest() if len(keys) else None)
-                weight.append(w.sum())
-                bands.append(np.sum(s.reshape(BANDS, BAND) * np.array([1, 0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x27D4EB2F165667C5],
-                                                                     np.uint64), axis=1).view(np.int64))
-                low.append((s >> np.uint64(56)).astype(np.uint8).view(np.int8))
+                own = hashlib.blake2b(keys.tobytes() + counts.tobytes(), digest_size=16).digest()
+                if own not in known:
+                    if len(known) >= KEPT_SIGNATURES:
+                        known.clear()
+                    known[own] = signature(keys, counts)
+                same.append(own if len(keys) else None)
+                size.append(len(text))
+                signed.append(known[own])
+            weight, bands, low = zip(*signed) if signed else ((), (), ())
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(same, pa.binary()), pa.array(weight, pa.float64()),
+                batch.column("doc_id"), pa.array(same, pa.binary()), pa.array(size, pa.int64()), pa.array(weight, pa.float64()),
                 pa.array(bands, pa.list_(pa.int64())), pa.array(low, pa.list_(pa.int8()))],
-                ["doc_id", "same", "weight", "bands", "low"])
+                ["doc_id", "same", "size", "weight", "bands", "low"])
 
     signed = staged(spread(source).mapInArrow(
-        sign, f"doc_id {kind}, same binary, weight double, bands array<bigint>, low array<tinyint>"), "signatures")
+        sign, f"doc_id {kind}, same binary, size bigint, weight double, bands array<bigint>, low array<tinyint>"), "signatures")
     sound = F.col("same").isNotNull() & F.col("doc_id").isNotNull()
     reps = staged(signed.filter(sound).groupBy("same").agg(
-        F.min("doc_id").alias("rep"), F.first("weight").alias("weight"), F.first("bands").alias("bands"),
+        F.min("doc_id").alias("rep"), F.max("size").alias("size"), F.first("weight").alias("weight"), F.first("bands").alias("bands"),
         F.first("low").alias("low")), "bags")
     sized = staged(reps.select("rep", F.posexplode("bands").alias("band", "key")).join(
         reps.select(F.posexplode("bands").alias("band", "key")).groupBy("band", "key").agg(F.count("*").alias("size")).filter("size > 1"),
@@ -217,13 +235,17 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id"
         """The pairs that reach the threshold; each brings its two texts together in a row."""
         def check(batches):
             known: dict = {}
+            held = 0
 
             def bag_of(doc_id, text):
+                nonlocal held
                 found = known.get(doc_id)
                 if found is None or found[0] != text:
-                    if len(known) >= KEPT_BAGS:
+                    if held >= KEPT_SHINGLES:
                         known.clear()
+                        held = 0
                     found = known[doc_id] = (text, bag(text))
+                    held += len(found[1][0])
                 return found[1]
 
             for batch in batches:
@@ -259,34 +281,41 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id"
         edges = edges.union(verified(second))
         buckets = staged(mixed_buckets(edges), "mixed")
     if not buckets.isEmpty():
-        chunks = buckets.groupBy("band", "key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks"))
+        cell = ["band", "key", "i", "j"]
+        sizes = buckets.join(reps.select("rep", "size"), "rep")
+        chunks = sizes.groupBy("band", "key").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_BYTES)).cast("int").alias("chunks"))
         placed = buckets.select("band", "key", "rep", "label").join(chunks, ["band", "key"]).withColumn(
             "chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
         blocks = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
             "band", "key", "rep", "label", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
-        rows = blocks.join(reps.select("rep", "weight", "bands", "low"), "rep").join(source.dropna().toDF("rep", "text"), "rep")
+        rows = blocks.join(reps.select("rep", "weight", "bands", "low"), "rep")
+
+        def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+            return pdf[may_link(pdf, threshold)]
 
         def link(pdf: pd.DataFrame) -> pd.DataFrame:
             return pd.DataFrame(link_bucket(pdf, bag, threshold), columns=["u", "v"])
 
-        edges = edges.union(staged(rows.groupBy("band", "key", "i", "j").applyInPandas(link, f"u {kind}, v {kind}"), "links"))
+        # texts go only to where a pair of them may link, by weights and samples
+        met = staged(rows.groupBy(*cell).applyInPandas(meet, rows.schema), "met")
+        with_text = met.join(source.dropna().toDF("rep", "text"), "rep")
+        edges = edges.union(staged(with_text.groupBy(*cell).applyInPandas(link, f"u {kind}, v {kind}"), "links"))
     found = components(edges.union(copies))
     return (signed.select("doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
             .select("doc_id", F.coalesce("component", "doc_id").alias("class_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id"))))
 
 
-def link_bucket(pdf: pd.DataFrame, bag, threshold: float) -> list[tuple]:
-    """Links between the classes of one bucket (or of two blocks of a large one), until they are one.
+def _partners(pdf: pd.DataFrame, threshold: float):
+    """For each row of the first block, which later rows (or rows of the second) it may link with, by the sketches.
 
-    A pair that shares an earlier band is left to that band's bucket.
+    A pair that shares an earlier band is left to that band's bucket. The labels may change
+    while this runs.
     """
     band, i, j = (int(pdf[c].iloc[0]) for c in ("band", "i", "j"))
-    pdf = pdf.reset_index(drop=True)
     low, bands = np.stack(pdf["low"].to_list()), np.stack(pdf["bands"].to_list())[:, :band]
-    weight, chunk, rep, text = (pdf[c].to_numpy() for c in ("weight", "chunk", "rep", "text"))
-    names, label = np.unique(pdf["label"].to_numpy(), return_inverse=True)
-    bags, links = {}, []
+    weight, chunk = (pdf[c].to_numpy() for c in ("weight", "chunk"))
+    label = np.unique(pdf["label"].to_numpy(), return_inverse=True)[1]
     right = np.flatnonzero(chunk == j)
     for r in np.flatnonzero(chunk == i):
         s = right[right > r] if i == j else right
@@ -294,6 +323,24 @@ def link_bucket(pdf: pd.DataFrame, bag, threshold: float) -> list[tuple]:
         s = s[np.minimum(weight[s], weight[r]) >= (threshold - 1e-9) * np.maximum(weight[s], weight[r])]
         s = s[(low[s] == low[r]).sum(1) >= LEAST_SAME]
         s = s[~(bands[s] == bands[r]).any(1)]
+        if len(s):
+            yield r, s, label
+
+
+def may_link(pdf: pd.DataFrame, threshold: float) -> np.ndarray:
+    """Which rows of a bucket (or of two blocks of a large one) have a possible partner there."""
+    out = np.zeros(len(pdf), bool)
+    for r, s, _ in _partners(pdf, threshold):
+        out[r] = out[s] = True
+    return out
+
+
+def link_bucket(pdf: pd.DataFrame, bag, threshold: float) -> list[tuple]:
+    """Links between the classes of one bucket (or of two blocks of a large one), until they are one."""
+    pdf = pdf.reset_index(drop=True)
+    rep, text = pdf["rep"].to_numpy(), pdf["text"].to_numpy()
+    bags, links = {}, []
+    for r, s, label in _partners(pdf, threshold):
         for k in s:
             if label[k] == label[r]:
                 continue
@@ -315,5 +362,6 @@ def _allowed(threshold: float):
 
 def drop_near_copies(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, whose document stands for its class."""
-    gone = near_classes(docs, threshold, id_col, text_col).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
+    name = free_name(docs.columns, "__gone")
+    gone = near_classes(docs, threshold, id_col, text_col).filter("not kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col(quoted(id_col)) == F.col(quoted(name)), "left_anti")
