@@ -98,3 +98,19 @@ def test_refused_windows_are_cut_again(spark):
     refused = spark.createDataFrame([(7, 0, 1), (7, 0, 8)], "block long, row long, start long")
     got = {r["row"]: r for r in substring._cut_again(results, blocks, refused, 4, True).collect()}
     assert (got[0]["n_removed"], got[0]["body"]) == (4, text[0].decode()[12:]) and got[1]["n_removed"] == 4
+
+
+def test_block_numbers_of_any_number_of_partitions(docs, monkeypatch):
+    """Blocks numbered from 2^44 on, as those of 2^24 partitions would be."""
+    monkeypatch.setattr(substring, "BLOCKS_PER_PARTITION", 1 << 44)
+    monkeypatch.setattr(substring, "BLOCK_BYTES", 1500)
+    rows = corpus(60)
+    assert found(cut_repeats(docs(rows), 8, with_text=False)) == brute(rows, 8)
+    assert (1 << 28) * (1 << 20) * substring.SHARDS_PER_BLOCK <= 1 << 63
+
+
+def test_blocks_beyond_the_numbers_are_refused(docs, monkeypatch):
+    monkeypatch.setattr(substring, "BLOCKS_PER_PARTITION", 2)
+    monkeypatch.setattr(substring, "BLOCK_ROWS", 1)
+    with pytest.raises(Exception, match="smaller partitions"):
+        substring.make_blocks(docs(["a"] * 50).select("doc_id", "text")).collect()

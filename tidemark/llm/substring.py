@@ -40,13 +40,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .automaton import Automaton
-from .common import id_text, quoted, release, sha256_hex, spread, staged, texts
+from .common import free_name, id_text, quoted, release, sha256_hex, spread, staged, texts
 from .shingles import runs, word_hashes
 
 WINDOW = 20
 BLOCK_BYTES, BLOCK_ROWS = 4 << 20, 4096
 SHARD_WORDS = 50_000            # reference shards are cut at these many words of a block
-SHARDS_PER_BLOCK = 1 << 20
+# A window's home is one number: partition, block in it, shard in that. A block has at most the
+# 2^15 shards of a text of 2 GB, a partition at most 2^20 blocks (4 TB), so 2^28 partitions fit.
+SHARDS_PER_BLOCK, BLOCKS_PER_PARTITION = 1 << 15, 1 << 20
 HASHES_PER_TASK = 1 << 21
 STREAM_WORDS = 200_000          # candidates of one shard that go to one task
 LAST = np.iinfo(np.int64).max   # stands for a null id
@@ -78,7 +80,7 @@ def make_blocks(docs: DataFrame) -> DataFrame:
     def gather(batches):
         from pyspark import TaskContext
 
-        base, number = TaskContext.get().partitionId() << 32, 0
+        base, number = TaskContext.get().partitionId() * BLOCKS_PER_PARTITION, 0
         held: list[tuple[int, bytes]] = []
         size = 0
 
@@ -86,6 +88,8 @@ def make_blocks(docs: DataFrame) -> DataFrame:
             nonlocal held, size, number
             held.sort(key=lambda r: r[0])
             rows, held, size, number = held, [], 0, number + 1
+            if number >= BLOCKS_PER_PARTITION or base >= np.iinfo(np.int64).max // SHARDS_PER_BLOCK - number:
+                raise OverflowError("more blocks than can be numbered: read the documents in smaller partitions")
             return pa.RecordBatch.from_arrays([
                 pa.array([base + number], pa.int64()), pa.array([np.array([r[0] for r in rows], np.int64).tobytes()], pa.binary()),
                 pa.array([_pack_texts([r[1] for r in rows])], pa.binary()),
@@ -331,22 +335,24 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     A document whose words all go is left out. Rows that agree in id and text take the
     results of these in any order.
     """
-    nth = Window.partitionBy("__id", "__sha").orderBy("__id")
+    own_id, sha, nth, body, empty, id_2, sha_2, nth_2 = names = [
+        free_name(docs.columns, c) for c in ("__id", "__sha", "__nth", "__text", "__empty", "__id_2", "__sha_2", "__nth_2")]
+    c_id, c_sha, c_nth, c_body, c_empty, c_id_2, c_sha_2, c_nth_2 = (F.col(quoted(c)) for c in names)
+    same = Window.partitionBy(c_id, c_sha)
     changed = cut_repeats(docs, window, id_col, text_col).filter("n_removed > 0").select(
-        F.col("doc_id").alias("__id"), F.col("own_sha256").alias("__sha"), F.col("text").alias("__text"),
-        (F.col("n_removed") == F.col("n_words")).alias("__empty")).withColumn("__nth", F.row_number().over(nth.orderBy("__empty")))
-    keyed = docs.withColumn("__id", F.col(quoted(id_col))).withColumn("__sha", F.sha2(F.coalesce(docs[text_col], F.lit("")), 256))
-    repeated = not keyed.groupBy("__id").count().filter("count > 1").isEmpty()
-    keyed = keyed.withColumn("__nth", F.row_number().over(nth) if repeated else F.lit(1))
-    changed = changed.toDF("__id_2", "__sha_2", "__text", "__empty", "__nth_2")
-    both = keyed.join(changed, F.col("__id").eqNullSafe(F.col("__id_2")) & (F.col("__sha") == F.col("__sha_2"))
-                      & (F.col("__nth") == F.col("__nth_2")), "left").filter("__empty is null or not __empty")
-    text = F.coalesce("__text", F.col(quoted(text_col)))
-    out = both.withColumn(text_col, text)
+        F.col("doc_id").alias(own_id), F.col("own_sha256").alias(sha), F.col("text").alias(body),
+        (F.col("n_removed") == F.col("n_words")).alias(empty)).withColumn(nth, F.row_number().over(same.orderBy(c_empty)))
+    text = F.col(quoted(text_col))
+    keyed = docs.withColumn(own_id, F.col(quoted(id_col))).withColumn(sha, F.sha2(F.coalesce(text, F.lit("")), 256))
+    repeated = not keyed.groupBy(c_id).agg(F.count("*").alias("m")).filter("m > 1").isEmpty()
+    keyed = keyed.withColumn(nth, F.row_number().over(same.orderBy(c_id)) if repeated else F.lit(1))
+    changed = changed.toDF(id_2, sha_2, body, empty, nth_2)
+    both = keyed.join(changed, c_id.eqNullSafe(c_id_2) & (c_sha == c_sha_2) & (c_nth == c_nth_2), "left").filter(c_empty.isNull() | ~c_empty)
+    out = both.withColumn(text_col, F.coalesce(c_body, text))
     if length_col in docs.columns:
-        out = out.withColumn(length_col, F.when(F.col("__text").isNotNull(), F.length("__text")).otherwise(
+        out = out.withColumn(length_col, F.when(c_body.isNotNull(), F.length(c_body)).otherwise(
             F.col(quoted(length_col))).cast(docs.schema[length_col].dataType))
-    return out.select(docs.columns)
+    return out.select([F.col(quoted(c)) for c in docs.columns])
 
 
 def _cut_again(results: DataFrame, blocks: DataFrame, refused: DataFrame, window: int, with_text: bool) -> DataFrame:
