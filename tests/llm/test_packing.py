@@ -73,3 +73,21 @@ def test_too_large_items_are_refused(spark):
 
 def test_empty_table(docs):
     assert pack_documents(docs([]).filter("false"), FILE, 64).count() == 0
+
+
+def test_short_documents_fill_their_sequences(docs):
+    """Padding counts up to the limit, but a sequence whose length is a power of two has none."""
+    for text, n in (("cat dog", 3000), ("", 1500)):
+        lengths = {}
+        for r in pack_documents(docs([(i, text) for i in range(n)]), FILE, 512).collect():
+            lengths[r["sequence_id"]] = lengths.get(r["sequence_id"], 0) + r["length"]
+        total = sum(lengths.values())
+        padded = sum(0 if m & (m - 1) == 0 else 512 - m for m in lengths.values())
+        assert max(lengths.values()) <= 512 and len(lengths) <= -(-total // 510) and padded <= 512
+
+
+def test_groups_of_short_items_hold_many_sequences(spark):
+    items = spark.range(60_000).selectExpr("id", "2 as tokens", "2 as loss", "'x' as __group")
+    got = pack(items, 256, 256, 256, group=100)
+    assert got.columns == ["id", "tokens", "loss", "__group", "sequence_id", "offset"]
+    assert got.select("sequence_id").distinct().count() <= 1.01 * 60_000 * 2 / 256 + 2

@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .bpe import byte_chars
-from .common import id_text, spread, staged, texts
+from .common import free_name, id_text, quoted, spread, staged, texts
 
-GROUP = 8192
+GROUP = 8192            # items packed in one task, unless they are short
+FULL = 256              # sequences whose tokens a group holds at least
 KEPT_PIECES = 400_000
 END_TOKEN = 2
 MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~|"        # ASCII marks but ' and <, >, which begin or make up tokens
@@ -72,9 +73,11 @@ def pack(items: DataFrame, max_tokens: int, max_segments: int, max_loss: int, gr
 
     ``offset`` is gapless from 0 in each sequence. Sequence ids are distinct, not dense.
     """
-    n = items.count()
-    groups = -(-n // group) or 1
-    numbered = items.withColumn("__group", (F.rand(17) * groups).cast("long"))
+    n, tokens = items.agg(F.count("*"), F.coalesce(F.sum("tokens"), F.lit(0))).first()
+    # short items: a group holds the tokens of many sequences, for its last one is not full
+    groups = max(1, min(-(-n // group), int(tokens) // (FULL * max_tokens)))
+    key = free_name(items.columns, "__group")
+    numbered = items.withColumn(key, (F.rand(17) * groups).cast("long"))
     schema = StructType(list(items.schema.fields)).add("sequence_id", "long").add("offset", "long")
     limits = np.array([max_tokens, max_segments, max_loss], np.int64)
 
@@ -89,10 +92,10 @@ def pack(items: DataFrame, max_tokens: int, max_segments: int, max_loss: int, gr
         first = np.searchsorted(number[order], number[order])
         offset = np.empty(len(pdf), np.int64)
         offset[order] = before - before[first]
-        out = pdf.drop(columns="__group")
-        return out.assign(sequence_id=(pdf["__group"].to_numpy() << 32) + number, offset=offset)
+        out = pdf.drop(columns=key)
+        return out.assign(sequence_id=(pdf[key].to_numpy() << 32) + number, offset=offset)
 
-    return numbered.groupBy("__group").applyInPandas(run, schema)
+    return numbered.groupBy(quoted(key)).applyInPandas(run, schema)
 
 
 class WordTokenizer:
@@ -200,11 +203,13 @@ def token_pieces(docs: DataFrame, vocabulary: str, max_tokens: int, id_col: str
         run, f"doc_id {id_type}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint{extra}")
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, max_tokens: int = 4096, max_segments: int = 256,
+def pack_documents(docs: DataFrame, vocabulary: str, max_tokens: int = 4096, max_segments: int | None = None,
                    max_loss: int | None = None, id_col: str = "doc_id", text_col: str = "text",
                    keep_ids: bool = False) -> DataFrame:
     """Pieces of all documents with their sequence_id and offset; every token bears loss.
 
+    Segments and loss-bearing tokens are as many as a sequence's tokens where no limit is given.
+
     A piece that fills a sequence is one. Its sequence id is odd, those of packed
     sequences are even.
     """
@@ -212,5 +217,5 @@ def pack_documents(docs: DataFrame, vocabulary: str, max_tokens: int = 4096, max
     whole = (pieces.filter(F.col("length") == max_tokens)
              .withColumn("sequence_id", F.monotonically_increasing_id() * 2 + 1).withColumn("offset", F.lit(0).cast("long")))
     rest = pieces.filter(F.col("length") < max_tokens).withColumn("tokens", F.col("length")).withColumn("loss", F.col("length"))
-    packed = pack(rest, max_tokens, max_segments, max_loss or max_tokens).drop("tokens", "loss")
+    packed = pack(rest, max_tokens, max_segments or max_tokens, max_loss or max_tokens).drop("tokens", "loss")
     return whole.unionByName(packed.withColumn("sequence_id", F.col("sequence_id") * 2))
