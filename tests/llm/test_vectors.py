@@ -89,3 +89,16 @@ def test_dense_group_loses_no_close_pair(monkeypatch):
         own = [set(leaves) for leaves in grow(x, 1.0, 0.93, seed).leaves(x)]
         together |= np.array([not own[i].isdisjoint(own[j]) for i, j in zip(a, b)])
     assert len(a) > 10_000 and together.all()
+
+
+def test_doubles_are_compared_as_doubles(spark):
+    """A cosine a billionth above the threshold, and components beyond what a float holds."""
+    def pair(c):
+        return [1.0, 0.0], [c, (1 - c * c) ** 0.5]
+    above, below = pair(0.93 + 1e-9), pair(0.93 - 1e-9)
+    rows = [(1, above[0], "a"), (2, above[1], "a"), (3, below[0], "b"), (4, below[1], "b"), (5, [1e39, 0.0], "c"), (6, [2e39, 1e30], "c"),
+            (7, [float("inf"), 1.0], "c"), (8, [1.0, None], "c"), (9, None, "c"), (10, [1.0, 0.0], None), (11, [0.0, 0.0], "c")]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in
+           link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()}
+    assert [got[i][0] for i in range(1, 12)] == [1, 1, 0, 0, 1, 1, 0, 0, 0, 0, 0]
+    assert got[2] == (1, 1, False) and got[6] == (1, 5, False) and got[4] == (0, 4, True)

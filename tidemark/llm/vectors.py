@@ -27,6 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from .common import quoted, spread, staged
 from .components import components
@@ -109,10 +110,10 @@ def grow(x: np.ndarray, full: float, least_cosine: float, seed: int) -> Tree:
     return tree
 
 
-def link_block(pdf: pd.DataFrame, dim: int, least_cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def link_block(pdf: pd.DataFrame, kind: type, least_cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs of one block pair of a leaf that no earlier tree or leaf holds: rows, rows, all ids."""
     tree, leaf, i, j = (int(pdf[c].iloc[0]) for c in ("tree", "leaf", "i", "j"))
-    x = unit(np.frombuffer(b"".join(pdf["vector"]), np.float32).reshape(-1, dim))
+    x = unit(np.frombuffer(b"".join(pdf["vector"]), kind).reshape(len(pdf), -1))
     chunk = pdf["chunk"].to_numpy()
     a, b = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
     left, right = np.nonzero(x[a] @ x[b].T >= least_cosine)
@@ -157,7 +158,10 @@ def spanning(left: np.ndarray, right: np.ndarray, n: int) -> list[tuple[int, int
 def link_vectors(vectors: DataFrame, least_cosine: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding",
                  label_col: str = "label", trees: int = TREES, sample: int = SAMPLE) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
-    rows = vectors.select(F.col(quoted(id_col)).alias("vec_id"), F.col(quoted(vector_col)).cast("array<float>").alias("embedding"),
+    # floats stay floats, anything else is compared as doubles
+    element = getattr(vectors.schema[vector_col].dataType, "elementType", None)
+    width = "float" if isinstance(element, FloatType) else "double"
+    rows = vectors.select(F.col(quoted(id_col)).alias("vec_id"), F.col(quoted(vector_col)).cast(f"array<{width}>").alias("embedding"),
                           F.col(quoted(label_col)).alias("label"))
     limit = F.lit(float("inf"))
     sound = (F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull()
@@ -178,18 +182,19 @@ def link_vectors(vectors: DataFrame, least_cosine: float = 0.93, id_col: str = "
 def _links(classes: DataFrame, least_cosine: float, trees: int, sample: int) -> tuple[DataFrame, DataFrame]:
     """Weighted links of each class (rep, links) and the components (node, component)."""
     spark = classes.sparkSession
+    kind = np.float32 if isinstance(classes.schema["embedding"].dataType.elementType, FloatType) else np.float64
     sizes = classes.groupBy(F.size("embedding").alias("dim")).count().collect()    # one row per vector length
     every_link = every_edge = None
     for dim, n in ((r["dim"], r["count"]) for r in sizes):
         own = classes.filter(F.size("embedding") == dim)
         chance = (F.xxhash64("embedding") % 1_000_003 + 1_000_003) % 1_000_003 / 1_000_003
         taken = own.filter(chance < sample / n).select("embedding").toArrow().column(0)
-        x = unit(np.array(taken.combine_chunks().flatten(), np.float32).reshape(-1, dim)) if len(taken) else np.zeros((0, dim))
+        x = unit(np.array(taken.combine_chunks().flatten(), kind).reshape(-1, dim)) if len(taken) else np.zeros((0, dim))
         forest = spark.sparkContext.broadcast([grow(x, n / max(1, len(x)), least_cosine, t) for t in range(trees)])
 
         def assign(batches, dim=dim, forest=forest):
             for batch in batches:
-                flat = np.array(batch.column("embedding").flatten(), np.float32).reshape(-1, dim)
+                flat = np.array(batch.column("embedding").flatten(), kind).reshape(-1, dim)
                 per_tree = [t.leaves(unit(flat)) for t in forest.value]
                 yield pa.RecordBatch.from_arrays([
                     batch.column("rep"), batch.column("weight"), batch.column("label"),
@@ -208,7 +213,7 @@ def _links(classes: DataFrame, least_cosine: float, trees: int, sample: int) ->
             "*", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
 
         def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-            left, right, ids = link_block(pdf, len(pdf["vector"].iloc[0]) // 4, least_cosine)
+            left, right, ids = link_block(pdf, kind, least_cosine)
             weight = pdf["weight"].to_numpy()
             links = np.zeros(len(pdf), np.int64)
             np.add.at(links, left, weight[right])
