@@ -61,3 +61,21 @@ def test_stages_take_an_empty_table_nulls_and_extra_columns(spark):
         ids = sorted(str(r["doc_id"]) for r in docs.collect())
         assert ids == (["1", "None"] if frame.count() else [])
         pipeline.STAGES[-1][1](spark, docs, SF).collect()
+
+
+def test_columns_of_any_name_come_through_every_stage(spark):
+    """Columns called like any that a stage makes for itself keep their values."""
+    names = ["lang_pred", "LANG_SCORE", "__sha_of", "__keep", "__sha", "__gone", "__id", "__nth", "__text", "__empty", "__id_2", "__sha_2", "__nth_2",
+             "digest", "component", "node", "block", "body", "starts", "rep", "same", "weight", "a b", "x.y"]
+    kind = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names)
+    words = [" ".join(f"w{i}{j}" for j in range(30)) for i in range(6)]
+    texts = [*words, words[0], words[1] + " ", words[2] + " and more words here than were there before, in all some", None, ""]
+    rows = [(i, t, "en", "s", 1, *[f"{n}-{i}" for n in names]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([*rows, rows[0]], kind)
+    for name, stage in pipeline.STAGES[:-1]:
+        docs = staged(stage(spark, docs, SF), name)
+        assert docs.columns == [c.strip("`") for c in docs.columns] and docs.columns[5:] == names
+        for r in docs.collect():
+            assert list(r)[5:] == [f"{n}-{r['doc_id']}" for n in names]
+    assert {r["doc_id"] for r in docs.collect()} >= {2, 3, 4, 5}
+    assert pipeline.STAGES[-1][1](spark, docs, SF).count() >= 4

@@ -58,7 +58,16 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores added until it clashes with none of ``columns`` in either case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_mod(col: Column, m: int) -> Column:
+    """The CRC-32 of a value as text, modulo ``m``; null for null."""
     return F.crc32(col.cast("string").cast("binary")) % m
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from .common import id_text, staged
+from .common import free_name, id_text, quoted, staged
 
 BLANKS = " \t\n\x0b\x0c\r"
 HOT_GROUPS = 4096       # no more groups than this can each hold over 1/4096 of the rows
@@ -97,10 +97,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", index: DigestIndex | None = None) -> DataFrame:
     """The rows of ``docs``, with all their columns, that :func:`exact_dedup` keeps."""
     verdict = exact_dedup(docs, id_col, text_col, index)
-    stays = verdict.filter("kept").select(F.col("doc_id").alias("__keep"), F.col("text_sha256").alias("__sha"))
-    kept = docs.withColumn("__sha_of", F.lower(F.hex(text_digest(docs[text_col])))).join(
-        stays, docs[id_col].eqNullSafe(F.col("__keep")) & (F.col("__sha_of") == F.col("__sha")), "left_semi")
+    sha, own_id, own_sha = (free_name(docs.columns, c) for c in ("__sha_of", "__keep", "__sha"))
+    stays = verdict.filter("kept").select(F.col("doc_id").alias(own_id), F.col("text_sha256").alias(own_sha))
+    kept = docs.withColumn(sha, F.lower(F.hex(text_digest(F.col(quoted(text_col)))))).join(
+        stays, F.col(quoted(id_col)).eqNullSafe(F.col(quoted(own_id))) & (F.col(quoted(sha)) == F.col(quoted(own_sha))), "left_semi")
     # rows that agree in id and text cannot be told apart by the join; only then a second shuffle is needed
     if not verdict.groupBy("doc_id", "text_sha256").count().filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates([id_col, "__sha_of"])
-    return kept.drop("__sha_of")
+        kept = kept.dropDuplicates([id_col, sha])
+    return kept.drop(sha)

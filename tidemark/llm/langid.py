@@ -172,20 +172,23 @@ def fit_language_model(docs: DataFrame, learn: Column, text_col: str = "text", l
     return LanguageModel(languages, idf.astype(np.float32), weights.astype(np.float32), temperature)
 
 
-def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and lang_score added (all other columns stay)."""
+def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", pred_col: str = "lang_pred",
+             score_col: str = "lang_score") -> DataFrame:
+    """``docs`` with the language and its score added (all other columns stay); their names must be free."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    out = StructType(list(docs.schema.fields)).add("lang_pred", "string").add("lang_score", "double")
+    out = StructType(list(docs.schema.fields)).add(pred_col, "string").add(score_col, "double")
+    at = docs.columns.index(text_col)
 
     def run(batches):
         m = shared.value
         for batch in batches:
-            found = [m.predict(t) for t in batch.column(text_col).to_pylist()]
+            found = [m.predict(t) for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 batch.columns + [pa.array([k for k, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
-                names=[*batch.schema.names, "lang_pred", "lang_score"])
+                names=out.names)
 
-    return spread(docs).mapInArrow(run, out)
+    # by position, for a name may hold dots
+    return spread(docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])).mapInArrow(run, out)
 
 
 def languages_of(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

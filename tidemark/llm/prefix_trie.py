@@ -258,7 +258,7 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
         F.sum("children").alias("n_children"), F.max("top").alias("top"), F.max("p1").alias("p1"), F.max("p2").alias("p2")), "trie")
 
     # within a chain the parent is the chain's own; only tops below the first turn look theirs up
-    root = known.filter("depth = 0").select(F.lit(1).cast("long").alias("depth"), F.col("conv_id").alias("root_conv"))     # one row
+    root = known.filter("depth = 0").select((F.col("depth") + 1).alias("depth"), F.col("conv_id").alias("root_conv"))     # one row
     parents = known.filter("n_children > 0").select((F.col("depth") + 1).alias("depth"), F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("conv_id").alias("parent"))
     at_top = (F.col("depth") == F.col("top")) & (F.col("depth") > 1)
     tops = known.filter(at_top).join(parents, ["depth", "p1", "p2"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, exact, langid, licences, minhash, packing, pii, prefix_trie, quality, spelling, substring, token_count, vectors
@@ -34,12 +34,17 @@ def op1_licence_scan(spark, sf_dir):
 ORACLES["op1_licence_scan"] = licences.scan_sql()
 
 
+def remainder_is(m: int, k: int) -> Column:
+    """Whether the CRC-32 of the document's id leaves ``k``; false for a null id, which is never held out."""
+    return F.coalesce(crc_mod(F.col("doc_id"), m) == k, F.lit(False))
+
+
 @query
 def op2_quality(spark, sf_dir):
-    """Every document's quality; rows whose remainder by 5 is 0 teach nothing."""
+    """Every document's quality; rows whose remainder by 5 is 0, and null ids, teach nothing."""
     labels = table(spark, sf_dir, "labels").filter(crc_mod(F.col("doc_id"), 5) != 0)
     scored = quality.classify_quality(table(spark, sf_dir, "documents"), labels)
-    return scored.select("doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+    return scored.select("doc_id", remainder_is(5, 0).alias("held_out"), "score",
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
@@ -71,7 +76,7 @@ def op5_bpe_roundtrip(spark, sf_dir):
 
 
 def language_model(docs: DataFrame) -> langid.LanguageModel:
-    """Learnt from the rows whose remainder by 3 is not 1."""
+    """Learnt from the rows whose remainder by 3 is not 1; a row with a null id teaches nothing."""
     return langid.fit_language_model(docs, crc_mod(F.col("doc_id"), 3) != 1)
 
 
@@ -80,7 +85,7 @@ def op6_language_id(spark, sf_dir):
     """Every document's language."""
     docs = table(spark, sf_dir, "documents")
     return langid.languages_of(docs, language_model(docs)).select(
-        "doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
+        "doc_id", remainder_is(3, 1).alias("held_out"), "lang_pred", "score")
 
 
 @query
