@@ -32,6 +32,7 @@ ones in blocks of shingles.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -53,6 +54,7 @@ RARE = 1 / 1024         # a shingle in no larger share of the documents has the
 KEPT_SHINGLES = 1 << 22  # of texts a task compares
 KEPT_SIGNATURES = 1 << 13
 BLOCK, BLOCK_BYTES = 1024, 32 << 20     # members of a bucket that are compared in one task, and their texts
+SMALL_GROUP, PAIRS = 64, 1 << 16        # pairs of small groups are looked at together
 BREAKS = np.zeros(256, bool)
 BREAKS[[9, 10, 11, 12, 13, 32]] = True
 
@@ -91,11 +93,15 @@ def variates(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     x *= np.uint64(0xD6E8FEB86659FD93)
     x ^= x >> np.uint64(32)
     lanes = x.view(np.uint16).reshape(len(keys), SAMPLES, 4)
-    one, other, beta = ((lanes[..., i].astype(np.float32) + HALF) * SIXTEENTH for i in (0, 1, 2))
+    one, other, beta = (lanes[..., i].astype(np.float32) for i in (0, 1, 2))
+    for u in (one, other, beta):
+        u += HALF
+        u *= SIXTEENTH
     one *= other
     c = np.log(one, out=one)
     np.negative(c, out=c)
-    return GAMMA[lanes[..., 3]], np.log(c, out=c), beta
+    # indices of the machine's own width, not checked again: both save half of the look-up
+    return GAMMA.take(lanes[..., 3].astype(np.intp), mode="clip"), np.log(c, out=c), beta
 
 
 HALF, SIXTEENTH = np.float32(0.5), np.float32(2.0 ** -16)
@@ -290,67 +296,124 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id"
             "band", "key", "rep", "label", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
         rows = blocks.join(reps.select("rep", "weight", "bands", "low"), "rep")
 
-        def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-            return pdf[may_link(pdf, threshold)]
-
-        def link(pdf: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame(link_bucket(pdf, bag, threshold), columns=["u", "v"])
-
         # texts go only to where a pair of them may link, by weights and samples
-        met = staged(rows.groupBy(*cell).applyInPandas(meet, rows.schema), "met")
-        with_text = met.join(source.dropna().toDF("rep", "text"), "rep")
-        edges = edges.union(staged(with_text.groupBy(*cell).applyInPandas(link, f"u {kind}, v {kind}"), "links"))
+        dealt = rows.repartition(*cell).sortWithinPartitions(*cell)
+        met = staged(dealt.mapInArrow(lambda batches: met_rows(batches, cell, threshold), rows.schema), "met")
+        with_text = met.join(source.dropna().toDF("rep", "text"), "rep").repartition(*cell).sortWithinPartitions(*cell)
+        edges = edges.union(staged(with_text.mapInArrow(lambda batches: linked_rows(batches, cell, bag, threshold), f"u {kind}, v {kind}"), "links"))
     found = components(edges.union(copies))
     return (signed.select("doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
             .select("doc_id", F.coalesce("component", "doc_id").alias("class_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id"))))
 
 
-def _partners(pdf: pd.DataFrame, threshold: float):
-    """For each row of the first block, which later rows (or rows of the second) it may link with, by the sketches.
-
-    A pair that shares an earlier band is left to that band's bucket. The labels may change
-    while this runs.
-    """
-    band, i, j = (int(pdf[c].iloc[0]) for c in ("band", "i", "j"))
-    low, bands = np.stack(pdf["low"].to_list()), np.stack(pdf["bands"].to_list())[:, :band]
-    weight, chunk = (pdf[c].to_numpy() for c in ("weight", "chunk"))
-    label = np.unique(pdf["label"].to_numpy(), return_inverse=True)[1]
-    right = np.flatnonzero(chunk == j)
-    for r in np.flatnonzero(chunk == i):
-        s = right[right > r] if i == j else right
-        s = s[label[s] != label[r]]
-        s = s[np.minimum(weight[s], weight[r]) >= (threshold - 1e-9) * np.maximum(weight[s], weight[r])]
-        s = s[(low[s] == low[r]).sum(1) >= LEAST_SAME]
-        s = s[~(bands[s] == bands[r]).any(1)]
-        if len(s):
-            yield r, s, label
-
-
-def may_link(pdf: pd.DataFrame, threshold: float) -> np.ndarray:
-    """Which rows of a bucket (or of two blocks of a large one) have a possible partner there."""
-    out = np.zeros(len(pdf), bool)
-    for r, s, _ in _partners(pdf, threshold):
-        out[r] = out[s] = True
-    return out
-
-
-def link_bucket(pdf: pd.DataFrame, bag, threshold: float) -> list[tuple]:
-    """Links between the classes of one bucket (or of two blocks of a large one), until they are one."""
-    pdf = pdf.reset_index(drop=True)
-    rep, text = pdf["rep"].to_numpy(), pdf["text"].to_numpy()
-    bags, links = {}, []
-    for r, s, label in _partners(pdf, threshold):
-        for k in s:
-            if label[k] == label[r]:
-                continue
-            for x in (r, k):
-                if x not in bags:
-                    bags[x] = bag(text[x])
-            if len(bags[r][0]) and len(bags[k][0]) and similarity(bags[r], bags[k]) >= threshold:
-                links.append((rep[r], rep[k]))
-                label[label == label[k]] = label[r]
-    return links
+def groups_of(batches: Iterator[pa.RecordBatch], cell: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Sorted rows as tables that break no group of ``cell``, and where the groups begin in each."""
+    held = None
+
+    def starts(table: pa.Table) -> np.ndarray:
+        new = np.zeros(len(table), bool)
+        new[:1] = True
+        for c in cell:
+            x = table.column(c).to_numpy()
+            new[1:] |= x[1:] != x[:-1]
+        return np.flatnonzero(new)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table]).combine_chunks()
+        begin = starts(held)
+        if len(begin) > 1:
+            yield held.slice(0, begin[-1]), begin[:-1]
+            held = held.slice(begin[-1])
+    if held is not None:
+        yield held, np.zeros(1, np.int64)
+
+
+class Sketches:
+    """Members of buckets as arrays, for the question which pairs may link."""
+
+    def __init__(self, table: pa.Table, threshold: float):
+        n = len(table)
+        self.low = table.column("low").combine_chunks().flatten().to_numpy().reshape(n, SAMPLES)
+        self.bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(n, BANDS)
+        self.weight, self.band, self.chunk, self.i, self.j = (table.column(c).to_numpy() for c in ("weight", "band", "chunk", "i", "j"))
+        self.label = table.column("label").combine_chunks().dictionary_encode().indices.to_numpy().copy()
+        self.least = threshold - 1e-9
+
+    def possible(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """Which pairs of rows may link. A pair that shares an earlier band is left to that band's bucket."""
+        at = np.flatnonzero(self.label[u] != self.label[v])
+        w, x = self.weight[u[at]], self.weight[v[at]]
+        at = at[np.minimum(w, x) >= self.least * np.maximum(w, x)]
+        at = at[(self.low[u[at]] == self.low[v[at]]).sum(1) >= LEAST_SAME]
+        earlier = np.arange(BANDS) < self.band[u[at], None]
+        at = at[~((self.bands[u[at]] == self.bands[v[at]]) & earlier).any(1)]
+        out = np.zeros(len(u), bool)
+        out[at] = True
+        return out
+
+    def pairs(self, a: int, b: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The possible pairs of the group of rows a to b, a row of the first block at a time, or all of a small group."""
+        if b - a <= SMALL_GROUP:
+            u, v = (x + a for x in np.triu_indices(b - a, 1))
+            if self.i[a] != self.j[a]:
+                across = self.chunk[u] != self.chunk[v]
+                u, v = u[across], v[across]
+            ok = self.possible(u, v)
+            yield u[ok], v[ok]
+            return
+        chunk = self.chunk[a:b]
+        left, right = a + np.flatnonzero(chunk == self.i[a]), a + np.flatnonzero(chunk == self.j[a])
+        for r in left:
+            v = right[right > r] if self.i[a] == self.j[a] else right
+            v = v[self.possible(np.full(len(v), r), v)]
+            if len(v):
+                yield np.full(len(v), r), v
+
+
+def met_rows(batches: Iterator[pa.RecordBatch], cell: list[str], threshold: float) -> Iterator[pa.RecordBatch]:
+    """The members of buckets (or of two blocks of a large one) that have a possible partner there."""
+    for table, begin in groups_of(batches, cell):
+        sketches, keep = Sketches(table, threshold), np.zeros(len(table), bool)
+        sizes = np.diff(np.append(begin, len(table)))
+        for n in np.unique(sizes[sizes <= SMALL_GROUP]):        # all groups of one size at once
+            some = begin[sizes == n]
+            for at in range(0, len(some), max(1, PAIRS // int(n * n))):
+                first = some[at:at + max(1, PAIRS // int(n * n)), None]
+                u, v = ((first + x).ravel() for x in np.triu_indices(n, 1))
+                ok = (sketches.i[u] == sketches.j[u]) | (sketches.chunk[u] != sketches.chunk[v])
+                u, v = u[ok], v[ok]
+                ok = sketches.possible(u, v)
+                keep[u[ok]] = keep[v[ok]] = True
+        for a, n in zip(begin[sizes > SMALL_GROUP], sizes[sizes > SMALL_GROUP]):
+            for u, v in sketches.pairs(int(a), int(a + n)):
+                keep[u] = keep[v] = True
+        yield from table.filter(pa.array(keep)).combine_chunks().to_batches()
+
+
+def linked_rows(batches: Iterator[pa.RecordBatch], cell: list[str], bag, threshold: float) -> Iterator[pa.RecordBatch]:
+    """Links between the classes of each bucket (or of two blocks of a large one), until they are one."""
+    for table, begin in groups_of(batches, cell):
+        sketches, rep = Sketches(table, threshold), table.column("rep")
+        label, left, right = sketches.label, [], []
+        for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(table)]):
+            bags: dict = {}
+            for us, vs in sketches.pairs(a, b):
+                for u, v in zip(us.tolist(), vs.tolist()):
+                    if label[u] == label[v]:
+                        continue
+                    for x in (u, v):
+                        if x not in bags:
+                            bags[x] = bag(table.column("text")[x].as_py())
+                    if len(bags[u][0]) and len(bags[v][0]) and similarity(bags[u], bags[v]) >= threshold:
+                        left.append(u)
+                        right.append(v)
+                        own = label[a:b]
+                        own[own == label[v]] = label[u]
+        yield pa.RecordBatch.from_arrays([rep.take(pa.array(x, pa.int64())).combine_chunks() for x in (left, right)], ["u", "v"])
 
 
 def _allowed(threshold: float):
