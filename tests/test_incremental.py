@@ -1,3 +1,4 @@
+import re
 from datetime import datetime, timezone
 
 import pytest
@@ -186,3 +187,31 @@ def test_sources_advance_side_by_side(spark, marks):
     other.advance("two", "2", NOW)
     marks.advance("one", "3", NOW)
     assert (other.get("one"), marks.get("two")) == ("3", "2")
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_a_batch_landed_again_takes_its_own_place(spark, path, rows, fmt):
+    from tidemark.sinks import land_batch
+    shape, landing = "k int, v string", path("landing")
+    monday, tuesday = (datetime(2026, 1, d, 12, tzinfo=timezone.utc) for d in (12, 13))
+
+    def land(items, batch, at):
+        return land_batch(spark.createDataFrame(items, shape), landing, batch, fmt=fmt, at=at)
+
+    def found():
+        kind = shape + ", ingested_at string, ingest_date date, batch string"
+        reader = spark.read.schema(kind)
+        got = reader.parquet(landing) if fmt == "parquet" else reader.option("header", True).csv(landing)
+        return rows(got.selectExpr("k", "v", "cast(ingest_date as string)"))
+
+    assert land([(1, "a"), (2, "b")], "src:/2024-01-01 00:00", monday) == 2
+    assert land([(3, "c")], "src:/2024-01-01 00:01", monday) == 1
+    assert land([(1, "a"), (2, "B"), (4, "d")], "src:/2024-01-01 00:00", tuesday) == 3
+    assert land([], "src:/2024-01-01 00:00", tuesday) == 0
+    assert found() == [(1, "a", "2026-01-12"), (2, "B", "2026-01-12"), (3, "c", "2026-01-12"), (4, "d", "2026-01-12")]
+
+
+def test_batch_folders_differ():
+    from tidemark.sinks.files import batch_folder
+    names = [batch_folder(b) for b in ("a:b", "a-b", "a/b", "", "x" * 300, "x" * 301, "é")]
+    assert len(set(names)) == len(names) and all(re.fullmatch("[A-Za-z0-9-]+", n) for n in names)

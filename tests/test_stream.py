@@ -1,3 +1,9 @@
+import random
+import time
+from datetime import date, datetime, timedelta
+
+import pytest
+
 from tidemark import ChangeTable
 from tidemark.streaming import merge_stream
 
@@ -33,3 +39,70 @@ def test_replayed_batch_is_skipped(spark, path, rows):
     for check in (path("check"), path("check")):   # the second run has lost its checkpoint
         merge_stream(changes, t, "k", check).awaitTermination()
     assert t.refresh().version == 1
+
+
+def steps(n):
+    """Changes of a few keys with a time, some without, in random order and batches."""
+    rng = random.Random(n)
+    items = [(k, i, datetime(2024, 1, 1) + timedelta(seconds=rng.randrange(10 ** 6)) if rng.random() < .9 else None) for i, k in enumerate(rng.choices(range(6), k=60))]
+    cuts = sorted(rng.sample(range(1, 60), 5))
+    return items, [items[a:b] for a, b in zip([0, *cuts], [*cuts, 60])]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_changes_out_of_order_end_as_one_sorted_batch(spark, path, rows, seed):
+    items, batches = steps(seed)
+    shape, inbox, check = "k int, v int, at timestamp", path("inbox"), path("check")
+    t = ChangeTable.create(spark, path("table"), spark.createDataFrame([(1, -1), (77, -1)], SHAPE))
+
+    def run():
+        changes = spark.readStream.schema(shape).option("maxFilesPerTrigger", 1).parquet(inbox)
+        merge_stream(changes, t, "k", check, order="at").awaitTermination()
+
+    for i, batch in enumerate(batches):
+        spark.createDataFrame(batch, shape).coalesce(1).write.mode("append").parquet(inbox)
+        if i == 2:
+            run()           # the state outlives the query
+    spark.createDataFrame([(None, 5, None), (None, 6, None)], shape).coalesce(1).write.mode("append").parquet(inbox)
+    run()
+    newest = {}
+    for k, v, at in items:
+        if at is not None and (k not in newest or at > newest[k][0]):
+            newest[k] = (at, v)
+    expected = {1: -1, 77: -1} | {k: v for k, (_, v) in newest.items()}
+    assert rows(t.refresh().current()) == sorted([*expected.items(), (None, 5), (None, 6)], key=repr)
+
+
+def test_ties_and_several_order_columns(spark, path, rows):
+    shape, inbox = "k int, v int, day date, n string", path("inbox")
+    day = date(2024, 5, 1)
+    for batch in ([(1, 1, day, "b"), (1, 2, day, "a"), (2, 1, None, "z")], [(1, 3, day, "b"), (1, 4, None, "z"), (2, 2, day, None)], [(1, 5, day, "bb")]):
+        spark.createDataFrame(batch, shape).coalesce(1).write.mode("append").parquet(inbox)
+    t = ChangeTable.create(spark, path("table"), SHAPE)
+    changes = spark.readStream.schema(shape).option("maxFilesPerTrigger", 1).parquet(inbox)
+    merge_stream(changes, t, "k", path("check"), order=["day", "n"]).awaitTermination()
+    assert rows(t.refresh().current()) == [(1, 5), (2, 2)]
+
+
+def test_a_stream_with_ttl_goes_on(spark, path, rows):
+    inbox, shape = path("inbox"), SHAPE + ", n int"
+    spark.createDataFrame([(1, 1, 5), (1, 2, 7)], shape).write.parquet(inbox)
+    t = ChangeTable.create(spark, path("table"), SHAPE)
+    with pytest.raises(ValueError, match="once=False"):
+        merge_stream(spark.readStream.schema(shape).parquet(inbox), t, "k", path("check"), order="n", ttl="1 day")
+    running = merge_stream(spark.readStream.schema(shape).parquet(inbox), t, "k", path("check"), order="n", ttl="1 day", once=False)
+    try:
+        for _ in range(120):
+            if t.refresh().version:
+                break
+            time.sleep(0.5)
+    finally:
+        running.stop()
+    assert rows(t.current()) == [(1, 2)]
+
+
+def test_table_merge_with_order(spark, path, rows):
+    t = ChangeTable.create(spark, path("table"), spark.createDataFrame([(1, 1), (2, 2)], SHAPE))
+    source = spark.createDataFrame([(1, 10, 1), (1, 30, 3), (1, 20, 2), (None, 5, 1), (None, 6, 1), (3, 7, None), (3, 8, 0)], SHAPE + ", step int")
+    t.merge(source, "k", order="step")
+    assert rows(t.current()) == sorted([(1, 30), (2, 2), (3, 8), (None, 5), (None, 6)], key=repr)

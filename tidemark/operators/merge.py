@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..errors import MergeCardinalityError
 from ..functions.schema import quoted
+from .latest import latest_per_key
 from .sizes import Size, row_bytes
 
 _HIT = "_hit"
@@ -79,6 +80,12 @@ def checked_source(target: DataFrame, source: DataFrame, on: str | Sequence[str]
     return Source(source, on, Size(found["rows"], None if width is None else found["bytes"]))
 
 
+def newest_per_key(source: DataFrame, on: str | Sequence[str], order: str | Sequence[str]) -> DataFrame:
+    """One row per key, the greatest in ``order``; rows with a NULL in the key stay, for they match nothing."""
+    on = _keys(on)
+    return latest_per_key(source.filter(_all_set(on)), on, order).unionByName(source.filter(~_all_set(on)))
+
+
 def unmatched(target: DataFrame, source: Source) -> DataFrame:
     """Source rows whose key is not in the target (NULL keys included).
 

@@ -436,10 +436,12 @@ class ChangeTable:
         return self._change("DELETE", {"predicate": predicate}, gone, at)
 
     def merge(self, source: DataFrame, on: str | Sequence[str], matched_when: str | None = None, *,
-              evolve: bool = False, stage: bool = True, params: dict | None = None,
-              at: datetime | None = None) -> int:
+              order: str | Sequence[str] | None = None, evolve: bool = False, stage: bool = True,
+              params: dict | None = None, at: datetime | None = None) -> int:
         """Upsert by column name. Reads only keys, addresses and condition columns of the table.
 
+        With ``order`` the source may hold several changes of a key: the greatest counts.
+
         The source is used several times, so it is first written below the table and read
         back (``stage``): it is computed once, and every step sees the same rows. Pass
         ``stage=False`` for a plain scan of files that do not change meanwhile.
@@ -449,6 +451,8 @@ class ChangeTable:
         those keep their value in updated rows and are NULL in inserted ones.
         """
         schema = self.schema
+        if order is not None:
+            source = merge.newest_per_key(source, on, order)
         if evolve:
             schema = evolved(schema, source.schema)
             self._refuse_retyped(schema)

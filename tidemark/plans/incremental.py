@@ -3,7 +3,8 @@
 One run reads the rows with ``lo < change time <= hi``. ``lo`` is the bookmark and ``hi``
 is fixed by one aggregate before any row is read, so rows that arrive during the run
 fall wholly into the next one. The bookmark moves last: a run that dies before that is
-repeated, and :func:`~tidemark.operators.latest_per_key` or a merge makes repeats harmless.
+repeated, and either ``replace`` takes away what the dead run landed, or
+:func:`~tidemark.operators.latest_per_key` or a merge makes repeats harmless.
 Hard deletes at the source leave no change time and do not show; compare key lists
 with ``set_minus`` for those.
 """
@@ -23,7 +24,7 @@ from ..functions.columns import bookmark_text, bookmark_value
 
 from ..operators.latest import latest_per_key
 from ..operators.merge import merge_upsert
-from ..sinks.files import land_increment
+from ..sinks.files import land_batch, land_increment
 from ..sinks.jdbc import write_jdbc
 from ..sources.jdbc import as_table, high_water_sql, jdbc_split, read_jdbc, window_predicate
 from .change_table import ChangeTable
@@ -229,9 +230,13 @@ class Outcome:
 
 def run_incremental(name: str, source: FrameSource | JdbcSource, bookmarks, landing: str, *,
                     fmt: str = "parquet", default: str | None = None,
-                    overlap: str | None = None, now: datetime | None = None) -> Outcome:
+                    overlap: str | None = None, now: datetime | None = None, replace: bool = False) -> Outcome:
     """Land what changed at ``source`` since its bookmark and advance the bookmark.
 
+    With ``replace`` a batch is named after the source and the bookmark it starts from, and
+    takes the place of what a run from the same bookmark landed before it died: what lies in
+    the landing is then each change once, however often runs were repeated.
+
     No bookmark and no ``default`` means a full load. ``overlap`` reads again from an
     earlier bound, for sources whose change times are coarse; downstream must then be keyed.
     """
@@ -242,8 +247,11 @@ def run_incremental(name: str, source: FrameSource | JdbcSource, bookmarks, land
     if seen.rows == 0 and not (lo is None and seen.untimed):
         return Outcome(lo, lo, 0, seen.untimed)
     batch = f"{name}:{start or ''}:{seen.hi or ''}"
-    landed = land_increment(source.rows(start, seen.hi), landing, fmt=fmt, batch=batch, at=now,
-                            known_rows=True)
+    rows = source.rows(start, seen.hi)
+    if replace:
+        landed = land_batch(rows, landing, f"{name}:{start or ''}", fmt=fmt, at=now, batch_id=batch)
+    else:
+        landed = land_increment(rows, landing, fmt=fmt, batch=batch, at=now, known_rows=True)
     hi = lo if seen.hi is None or (lo is not None and comes_before(seen.hi, lo)) else seen.hi
     if landed and hi is not None and hi != lo:      # a bookmark never moves back
         bookmarks.advance(name, hi, now)

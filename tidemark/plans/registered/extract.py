@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,3 +104,24 @@ def run_incremental_other_zone(spark, sf):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     return spark.read.parquet(landing).select("event_id", "user_id", "event_type", "value")
+
+
+class _DyingBookmarks(TableBookmarks):
+    def advance(self, *args) -> None:
+        raise RuntimeError("died after landing")
+
+
+@query("SELECT *, DATE '2026-01-15' AS ingest_date FROM orders")
+def land_batch_twice(spark, sf):
+    """A run dies between landing and bookmark; the next, a day later and with more rows, takes its place."""
+    orders, landing, marks = table(spark, sf, "orders"), fresh(spark, "landing-twice"), fresh(spark, "twice-bookmarks")
+
+    def source(upto):
+        return FrameSource(since(orders, "o_orderdate", None, upto), "o_orderdate")
+
+    run_incremental("orders", source(MIDDLE), TableBookmarks(spark, marks), landing, now=NOON, replace=True)
+    try:
+        run_incremental("orders", source(LATE), _DyingBookmarks(spark, marks), landing, now=NOON, replace=True)
+    except RuntimeError:
+        run_incremental("orders", source(None), TableBookmarks(spark, marks), landing, now=NOON + timedelta(days=1), replace=True)
+    return spark.read.parquet(landing).drop("ingested_at", "batch", "batch_id")

@@ -11,7 +11,7 @@ from ...operators import (active_rows, amount_consistent, append_evolve, check_c
 from ...operators import merge_upsert as upsert
 from ...streaming import merge_stream as stream_merge
 from ..change_table import ChangeTable
-from .registry import (NOON, ORDERS_V3, customer_changes, customer_changes_sql, fresh, merge_sql, query,
+from .registry import (NEW_KEYS, NOON, ORDERS_V3, customer_changes, customer_changes_sql, fresh, merge_sql, query,
                        table)
 
 CUSTOMER = "SELECT * FROM customer"
@@ -63,6 +63,49 @@ def merge_stream(spark, sf):
     return t.current()
 
 
+STEPS_SQL = """SELECT c_custkey, c_name, c_nationkey, c_acctbal + CASE
+      WHEN c_custkey % 3 = 0 AND c_custkey % 2 = 0 THEN 40 WHEN c_custkey % 3 = 0 THEN 30 ELSE 0 END AS c_acctbal, c_mktsegment FROM customer
+    UNION ALL SELECT c_custkey + 1000000, c_name, c_nationkey, c_acctbal + 20, c_mktsegment FROM customer WHERE c_custkey % 5 = 0"""
+
+
+def _steps(customer, steps: str):
+    """Changes of some customers, numbered: step n is a balance n times 10 higher."""
+    return customer.selectExpr("*", f"explode({steps}) AS step").withColumn("c_acctbal", F.col("c_acctbal") + F.col("step") * 10)
+
+
+@query(STEPS_SQL)
+def merge_stream_out_of_order(spark, sf):
+    """Several changes of a key in one micro-batch, and older ones in the next: the greatest step counts."""
+    customer, inbox = table(spark, sf, "customer"), fresh(spark, "steps-inbox")
+    old, new = customer.filter("c_custkey % 3 = 0"), customer.filter("c_custkey % 5 = 0").withColumn("c_custkey", F.col("c_custkey") + NEW_KEYS)
+    for batch in (_steps(old, "array(3, 2)"), _steps(old, "if(c_custkey % 2 = 0, array(1, 4), array(1))"), _steps(new, "array(1, 2, 0)"),
+                  _steps(new, "array(1)")):
+        batch.coalesce(1).write.mode("append").parquet(inbox)
+    t = ChangeTable.create(spark, fresh(spark, "steps"), customer)
+    changes = spark.readStream.schema(batch.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    stream_merge(changes, t, "c_custkey", fresh(spark, "steps-checkpoint"), order="step").awaitTermination()
+    return t.current()
+
+
+@query(STEPS_SQL)
+def merge_repeated_keys(spark, sf):
+    """The same changes in one table merge."""
+    customer = table(spark, sf, "customer")
+    old, new = customer.filter("c_custkey % 3 = 0"), customer.filter("c_custkey % 5 = 0").withColumn("c_custkey", F.col("c_custkey") + NEW_KEYS)
+    t = ChangeTable.create(spark, fresh(spark, "repeated-keys"), customer)
+    t.merge(_steps(old, "if(c_custkey % 2 = 0, array(3, 2, 1, 4), array(3, 2, 1))").unionByName(_steps(new, "array(1, 2, 0)")), "c_custkey", order="step")
+    return t.current()
+
+
+@query(merge_sql(CUSTOMER, BATCH, "s.c_custkey % 2 = 0"))
+def merge_source_only_condition(spark, sf):
+    """The condition is on a column that only the source has."""
+    customer = table(spark, sf, "customer")
+    t = ChangeTable.create(spark, fresh(spark, "merge-condition"), customer)
+    t.merge(customer_changes(customer).withColumn("apply", F.col("c_custkey") % 2 == 0), "c_custkey", "s.apply")
+    return t.current()
+
+
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount,
     CASE WHEN l_suppkey % 3 = 0 THEN 'S' ELSE l_returnflag END AS l_returnflag FROM lineitem""")
 def merge_hot_keys(spark, sf):

@@ -78,7 +78,7 @@ def diff_added_bag(spark, sf):
 
 @query("SELECT * FROM orders WHERE o_orderkey % 2 = 0")
 def restore_version(spark, sf):
-    """Back to version 1, undone, and back again: each is a commit of its own."""
+    """Rows are added and others deleted, then the first version is restored by a commit of its own."""
     t = orders_clone(spark, sf, 1)
     orders = table(spark, sf, "orders")
     t.append(orders.filter("o_orderkey % 2 <> 0"))
@@ -97,6 +97,15 @@ def delete_then_restore(spark, sf):
     return t.current()
 
 
+@query("SELECT * FROM orders WHERE o_orderkey <> (SELECT MIN(o_orderkey) FROM orders WHERE o_orderkey >= 7)")
+def delete_one_row(spark, sf):
+    """One row of the whole table goes; what is written is its address."""
+    t = orders_clone(spark, sf, 2)
+    key = t.current().filter("o_orderkey >= 7").agg(F.min("o_orderkey")).first()[0]
+    t.delete(F.col("o_orderkey") == key)
+    return t.current()
+
+
 @query("""SELECT o_orderkey, o_orderstatus AS before, CASE WHEN o_totalprice < 60000 THEN 'B'
     ELSE CASE WHEN o_orderstatus = 'F' THEN 'A' ELSE o_orderstatus END END AS after FROM orders""")
 def two_updates_before_after(spark, sf):

@@ -1,3 +1,3 @@
-from .merge_stream import merge_stream
+from .merge_stream import merge_stream, newest_changes
 
-__all__ = ["merge_stream"]
+__all__ = ["merge_stream", "newest_changes"]

@@ -2,22 +2,94 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..functions.schema import quoted
+from ..operators.layout import orderable
 from ..plans.change_table import ChangeTable
 
+def _sortable(field: T.StructField, name: str) -> list[Column]:
+    """Two columns without NULL that together sort like a column in which NULL comes first."""
+    plain = orderable(field)
+    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        plain = plain.cast("double")
+    elif isinstance(field.dataType, T.DecimalType) and field.dataType.scale:
+        raise TypeError(f"order column {field.name}: give a whole number, a double, a time or text")
+    elif not isinstance(field.dataType, T.StringType):
+        plain = plain.cast("bigint")
+    empty = F.lit("") if isinstance(field.dataType, T.StringType) else F.lit(0)
+    return [plain.isNotNull().cast("int").alias(f"{name}_set"), F.coalesce(plain, empty).alias(f"{name}_value")]
+
+
+def newest_changes(changes: DataFrame, on: str | Sequence[str], order: str | Sequence[str],
+                   ttl: str | None = None) -> DataFrame:
+    """The stream's changes that are newer, by ``order``, than all seen before under their key.
+
+    Each micro-batch gives at most one row per key, the greatest in ``order`` (several columns
+    break ties; a NULL is before all else). The greatest order so far is kept per key in the
+    query's state, so a change that arrives late is dropped in whatever batch it comes. An
+    equal order does not replace. ``ttl`` ("30 days") forgets keys unchanged for that long;
+    without it the state holds every key. Rows with a NULL in the key pass as they are.
+    """
+    on, order = ([x] if isinstance(x, str) else list(x) for x in (on, order))
+    marks = [c for i, name in enumerate(order) for c in _sortable(changes.schema[name], f"_o{i}")]
+    marked = changes.select("*", *marks)
+    names = [c for i in range(len(order)) for c in (f"_o{i}_set", f"_o{i}_value")]
+    kinds = [marked.schema[c] for c in names]
+    state_type = T.StructType([T.StructField(f.name, f.dataType) for f in kinds])
+    width = len(changes.columns)
+    wait = None if ttl is None else int(pd.Timedelta(ttl).total_seconds() * 1000)
+
+    def newest(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        best, last = None, tuple(state.get) if state.exists else None
+        for part in parts:
+            top = part.sort_values(names, kind="stable").iloc[[-1]]
+            at = tuple(x.item() if hasattr(x, "item") else x for x in top[names].iloc[0])
+            if last is None or at > last:
+                best, last = top, at
+        if wait is not None:
+            state.setTimeoutDuration(wait)
+        if best is not None:
+            state.update(last)
+            yield best.iloc[:, :width]
+
+    whole = F.lit(True)
+    for k in on:
+        whole = whole & F.col(quoted(k)).isNotNull()
+    timeout = GroupStateTimeout.NoTimeout if wait is None else GroupStateTimeout.ProcessingTimeTimeout
+    kept = marked.filter(whole).groupBy(*map(quoted, on)).applyInPandasWithState(newest, changes.schema, state_type, "append", timeout)
+    return kept.unionByName(changes.filter(~whole))
+
 
 def merge_stream(changes: DataFrame, table: ChangeTable, on: str | Sequence[str], checkpoint: str, *,
-                 matched_when: str | None = None, stream: str = "merge",
-                 once: bool = True) -> StreamingQuery:
+                 matched_when: str | None = None, order: str | Sequence[str] | None = None, ttl: str | None = None,
+                 stream: str = "merge", once: bool = True) -> StreamingQuery:
     """Start merging micro-batches; with ``once`` it stops when the input is used up.
 
     Exactly once: each commit records the stream name and batch number, and a batch that
     is replayed after a failure is skipped when its commit is already there.
+
+    Without ``order`` a batch may hold one change per key, and changes are taken in the order
+    of the batches. With it they may come repeatedly and late (:func:`newest_changes`): the
+    table ends as after one batch sorted by ``order``. The orders seen are kept in the
+    checkpoint; a stream started on a new one begins anew.
     """
+    if ttl is not None and once:
+        # timers keep a query busy: it would never find its input used up
+        raise ValueError("ttl needs a stream that goes on (once=False)")
+    if order is not None:
+        changes = newest_changes(changes, on, order, ttl)
+
     def apply(batch: DataFrame, number: int) -> None:
         table.refresh()
         if not table.has_commit("MERGE", stream=stream, batch=number):
