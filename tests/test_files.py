@@ -1,14 +1,12 @@
-import json
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import compact_files, file_inventory, largest_file, publish_partitioned, zorder_layout
+from tidemark.operators import ZoneMap, compact_files, file_inventory, largest_file, publish_partitioned, zorder_layout
 from tidemark.sinks import (create_managed, describe_kv, drop_table, register_external, write_delimited,
                             write_json, write_parquet)
-from tidemark.sources import (commit_metrics, file_actions, read_commit_log, read_delimited, read_json_lines,
-                              read_parquet_dir, read_text_lines)
+from tidemark.sources import (read_delimited, read_json_lines, read_parquet_dir, read_text_lines)
 
 
 @pytest.fixture
@@ -118,27 +116,39 @@ def test_zorder_narrows_file_ranges(spark, path):
     assert widest[0] < 3000 and widest[1] < 3000
 
 
-def test_commit_log(spark, path, rows):
-    stats = json.dumps({"numRecords": 3, "minValues": {"order_id": 1}, "maxValues": {"order_id": 3},
-                        "nullCount": {"order_id": 0}, "tightBounds": False})
-    lines = [
-        {"commitInfo": {"timestamp": 1, "operation": "DELETE", "operationParameters": {"predicate": "[\"x\"]"},
-                        "readVersion": 3, "isBlindAppend": False,
-                        "operationMetrics": {"numDeletedRows": "1", "scanTimeMs": "20"}, "tags": {"a": "b"}}},
-        {"remove": {"path": "p0", "deletionTimestamp": 2, "dataChange": True, "partitionValues": {}, "size": 10,
-                    "stats": stats}},
-        {"add": {"path": "p0", "partitionValues": {}, "size": 10, "modificationTime": 1, "dataChange": True,
-                 "stats": stats, "deletionVector": {"storageType": "u", "pathOrInlineDv": "z", "offset": 1,
-                                                    "sizeInBytes": 34, "cardinality": 1}}},
-        {"commitInfo": {"timestamp": 3, "operation": "DELETE", "operationMetrics": {"numDeletedRows": "4"}}},
-    ]
-    p = path()
-    text = "\n".join([json.dumps(x) for x in lines[:2]] + ["", "  "] + [json.dumps(x) for x in lines[2:]] + ["# end"])
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(p)
-    log = read_commit_log(spark, p)
-    assert log.count() == 4
-    assert rows(commit_metrics(log), "metric", "total", "commits") == [
-        ("numDeletedRows", 5, 2), ("scanTimeMs", 20, 1)]
-    assert rows(file_actions(log), "action", "path", "stats.numRecords", "rows_masked") == [
-        ("add", "p0", 3, 1), ("remove", "p0", 3, 0)]
-    assert file_actions(log).first()["stats"]["maxValues"] == {"order_id": "3"}
+def test_partition_values_come_back_as_they_were(spark, path, rows):
+    """Only a type whose text is the folder's name is taken for the column's."""
+    src = path("day=7")        # a name like a partition's above the folder is none of its columns
+    values = ["007", "08", "1e3", None, "x y", "a=b", "5"]
+    df = spark.createDataFrame([(i, v, i % 2, date(2026, 1, 1 + i % 3)) for i, v in enumerate(values)], "id int, code string, n int, d date")
+    df.write.partitionBy("code", "n", "d").parquet(src)
+    expected = rows(df.select("id", "code", "n", "d"))
+    for out in (compact_files(spark, src, path("packed")), zorder_layout(spark, src, path("z"), ["id"])):
+        assert rows(out, "id", "code", "n", "d") == expected
+        assert [f.dataType.simpleString() for f in out.schema] == ["int", "string", "int", "date"]
+
+
+def test_cuts_are_quantiles_of_any_type(spark):
+    from tidemark.operators.layout import value_cuts
+    df = spark.range(6000).selectExpr("id", "cast(id as decimal(12,3)) as money", "if(id % 2 = 0, double('nan'), id * 1.5d) as x", "concat('same prefix of text ', lpad(id, 6, '0')) as s",
+                                      "cast(null as bigint) as none", "if(id < 5000, 7L, id) as hot")
+    cuts = value_cuts(df, 3)
+    assert [len(c) for c in cuts] == [7, 7, 7, 7, 0, 7]
+    for i, c in enumerate(cuts[0]):
+        assert abs(c - 750 * (i + 1)) < 100
+    assert abs(float(cuts[1][3]) - 3000) < 100 and abs(cuts[2][3] - 4500) < 200 and cuts[3] == sorted(cuts[3])
+    assert cuts[5][:6] == [7] * 6 and cuts[5][6] > 7
+
+
+def test_zone_map_reads_only_files_that_can_matter(spark, path, rows):
+    src = path("src")
+    df = spark.range(3000).selectExpr("id", "if(id % 10 = 0, null, id % 50) as v", "concat('0', id % 3) as part")
+    df.repartitionByRange(8, "id").write.partitionBy("part").parquet(src)
+    zones = ZoneMap.build(spark, src, path("map"), ["id", "v"])
+    assert zones.zones().agg(F.sum("rows"), F.sum("v_nulls")).first()[:] == (3000, 300)
+    found = zones.between(id=(100, 200))
+    assert found.files < found.of and rows(found.rows, "id", "v", "part") == rows(df.filter("id between 100 and 200"))
+    assert len(found.rows.inputFiles()) == found.files
+    assert rows(zones.between(id=(2900, None), v=(None, 3)).rows, "id", "v", "part") == rows(df.filter("id >= 2900 and v <= 3"))
+    none = zones.between(id=(5000, None))
+    assert none.files == 0 and none.rows.count() == 0 and none.rows.columns == ["id", "v", "part"]

@@ -150,8 +150,13 @@ class ChangeTable:
         return table
 
     def refresh(self) -> ChangeTable:
-        lines = self.spark.read.text(f"{self.path}/commits").select("value").collect()
-        self._log = sorted((Commit.from_json(r[0]) for r in lines), key=lambda c: c.version)
+        """See the commits made since; lines read before are not read again, for they never change."""
+        p, fs = hadoop_path(self.spark, f"{self.path}/commits")
+        new = [f"{self.path}/commits/{n}" for n in (s.getPath().getName() for s in fs.listStatus(p))
+               if n.endswith(".json") and int(n.removesuffix(".json")) >= len(self._log)]
+        if new:
+            lines = self.spark.read.text(new).select("value").collect()
+            self._log += sorted((Commit.from_json(r[0]) for r in lines), key=lambda c: c.version)
         return self
 
     # ------------------------------------------------------------------ reading
@@ -467,31 +472,51 @@ class ChangeTable:
             raise SchemaMismatch(f"the merge source lacks {sorted(missing)}")
         source = align(whole.select(*[quoted(c) for c in source.columns], *map(quoted, more)), T.StructType(
             [*schema, *(whole.schema[c] for c in more)]))
-        folder = f"{self.path}/staging/{uuid.uuid4().hex}"
+        folder, matched = (f"{self.path}/staging/{uuid.uuid4().hex}" for _ in range(2))
         if stage:
             source.write.parquet(folder)
             source = self.spark.read.schema(source.schema).parquet(folder)
         try:
             live = self._live(self.version)
             src = merge.checked_source(live, source, on)
-            changes = self._merge_changes(live, src, matched_when, schema, missing)
+            if src.size.broadcastable:
+                changes = self._merge_changes(live, src, matched_when, schema, missing)
+            else:
+                changes = self._large_merge_changes(live, src, matched_when, schema, missing, matched)
             info = {"on": src.on, "matched_when": matched_when, **(params or {})}
             return self._change("MERGE", info, changes, at, schema)
         finally:
-            if stage:
-                p, fs = hadoop_path(self.spark, folder)
+            for made in ([folder] if stage else []) + [matched]:
+                p, fs = hadoop_path(self.spark, made)
                 fs.delete(p, True)
 
-    @staticmethod
-    def _merge_changes(live: DataFrame, src: merge.Source, matched_when: str | None,
+    def _large_merge_changes(self, live: DataFrame, src: merge.Source, matched_when: str | None,
+                             schema: T.StructType, missing: set[str], folder: str) -> DataFrame:
+        """As :meth:`_merge_changes`, with one pass over the table: the matched addresses are written out first."""
+        kept = [c for c in schema.names if c in missing]
+        found = merge.matched_addresses(live, src, matched_when, [*_ADDRESS, *(c for c in kept if c not in src.on)])
+        found.write.parquet(folder)
+        found = self.spark.read.schema(found.schema).parquet(folder)
+        pairs = found.filter("_hit").alias("t").join(src.rows.alias("s"), merge._same_key(src.on), "inner").select(
+            *[F.col(f"t.{quoted(c)}" if c in missing else f"s.{quoted(c)}").alias(c) for c in schema.names],
+            F.col("t._src").alias("_src"), F.col("t._rid").alias("_rid"))
+        fresh = merge.unmatched(found.select(*map(quoted, src.on)), src)
+        return self._changed_and_fresh(pairs, fresh, schema)
+
+    @classmethod
+    def _merge_changes(cls, live: DataFrame, src: merge.Source, matched_when: str | None,
                        schema: T.StructType, missing: set[str]) -> DataFrame:
         pairs = merge.matched_pairs(live, src, matched_when).select(
             *[F.col(f"t.{quoted(c)}" if c in missing else f"s.{quoted(c)}").alias(c) for c in schema.names],
             F.col("t._src").alias("_src"), F.col("t._rid").alias("_rid"))
+        return cls._changed_and_fresh(pairs, merge.unmatched(live, src), schema)
+
+    @staticmethod
+    def _changed_and_fresh(pairs: DataFrame, fresh: DataFrame, schema: T.StructType) -> DataFrame:
         out = pairs.select("*", F.explode(F.array(F.lit(-1), F.lit(1))).alias("_w"))
         changed = out.select(
             *[F.when(F.col("_w") == 1, F.col(quoted(c))).alias(c) for c in schema.names], "_w", *_ADDRESS)
-        fresh = merge.unmatched(live, src).select(
+        fresh = fresh.select(
             *map(quoted, schema.names), F.lit(1).alias("_w"), F.lit(None).cast("int").alias("_src"),
             F.lit(None).cast("bigint").alias("_rid"))
         return changed.unionByName(fresh)
@@ -522,6 +547,17 @@ class ChangeTable:
                                  self._log[older].schema)
         return came, was.join(self._removed(steps), _ADDRESS, "left_semi")
 
+    def changed_rows(self, older: int, newer: int) -> tuple[DataFrame, DataFrame]:
+        """(rows that came, rows that went) between two versions, as bags; reads only what changed.
+
+        A row that was updated went with its old values and came with its new ones.
+        """
+        if older > newer:
+            return self.changed_rows(newer, older)[::-1]
+        came, went = self._moved(older, newer)
+        return (came.select(*map(quoted, self._log[newer].schema.names)),
+                went.select(*map(quoted, self._log[older].schema.names)))
+
     def _replaced(self, older: int, newer: int) -> bool:
         return any(c.replaces for c in self._log[older + 1:newer + 1])
 
@@ -695,7 +731,13 @@ class ChangeTable:
 
     def _purge(self, keep: int, cut_us: int) -> None:
         """Delete folders no readable version uses, and leftovers of failed writes from before the cut."""
-        needed = {s.name for v in range(keep, self.version + 1) for s in self._chain(v)}
+        needed, walked, ahead = set(), set(), list(range(keep, self.version + 1))
+        while ahead:        # each commit once, however many versions are built on it
+            commit = self._log[ahead.pop()]
+            if commit.version not in walked:
+                walked.add(commit.version)
+                needed |= {s.name for s in [commit.segment, *commit.pinned] if s}
+                ahead += [commit.since - 1] if commit.since else []
         known = {c.segment.name for c in self._log if c.segment}
         for folder in ("data", "staging"):
             p, fs = hadoop_path(self.spark, f"{self.path}/{folder}")

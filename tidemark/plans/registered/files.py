@@ -1,4 +1,4 @@
-"""File sources and sinks, catalog tables, commit-log reader."""
+"""File sources and sinks, catalog tables, file statistics."""
 
 from __future__ import annotations
 
@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from ...session import scratch_dir
 from ...sinks import (create_managed, create_schema, describe_kv as describe, drop_table, register_external,
                       write_delimited, write_json, write_parquet)
-from ...sources import (commit_metrics as sum_metrics, file_actions as actions, read_commit_log,
-                        read_delimited as delimited, read_json_lines, read_parquet_dir as parquet_dir,
+from ...operators import ZoneMap, file_inventory as inventory, file_zones, partition_counts, publish_partitioned, zorder_layout
+from ...sources import (read_delimited as delimited, read_json_lines, read_parquet_dir as parquet_dir,
                         read_text_lines as text_lines)
-from ...operators import file_inventory as inventory, partition_counts
+from ..change_table import ChangeTable
 from .registry import fresh, query, table
 
 
@@ -146,41 +146,47 @@ def file_inventory(spark, sf):
             .agg((F.sum("length") > 0).alias("has_bytes")).filter("folder <> ''"))
 
 
-def _orders_log(spark, sf):
-    """A commit log in JSON lines derived from orders: one write per priority, one file per day."""
-    orders, path = table(spark, sf, "orders"), fresh(spark, "log")
-    commits = orders.groupBy("o_orderpriority").agg(F.count("*").alias("n")).select(F.to_json(F.struct(F.struct(
-        F.lit(1700000000000).alias("timestamp"), F.lit("WRITE").alias("operation"),
-        F.create_map(F.lit("mode"), F.lit("Append")).alias("operationParameters"),
-        F.create_map(F.lit("numOutputRows"), F.col("n").cast("string"),
-                     F.lit("numFiles"), F.lit("1")).alias("operationMetrics"),
-    ).alias("commitInfo"))).alias("value"))
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    files = orders.groupBy(day.alias("day")).agg(
-        F.count("*").alias("n"), F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi")).select(
-        F.to_json(F.struct(F.struct(
-            F.concat(F.lit("day="), "day").alias("path"), (F.col("n") * 64).alias("size"),
-            F.create_map(F.lit("day"), F.col("day")).alias("partitionValues"),
-            F.to_json(F.struct(
-                F.col("n").alias("numRecords"), F.struct(F.col("lo").alias("o_orderkey")).alias("minValues"),
-                F.struct(F.col("hi").alias("o_orderkey")).alias("maxValues"))).alias("stats"),
-        ).alias("add"))).alias("value"))
-    junk = spark.range(2).select(F.when(F.col("id") == 0, F.lit("")).otherwise(F.lit("# note")).alias("value"))
-    commits.unionByName(files).unionByName(junk).write.text(path)
-    return read_commit_log(spark, path)
-
-
-@query("""SELECT 'WRITE' AS operation, 'numOutputRows' AS metric, COUNT(*) AS total,
-        COUNT(DISTINCT o_orderpriority) AS commits FROM orders
-    UNION ALL SELECT 'WRITE', 'numFiles', COUNT(DISTINCT o_orderpriority), COUNT(DISTINCT o_orderpriority) FROM orders""")
+@query("""SELECT 'CREATE TABLE AS SELECT' AS operation, COUNT(*) AS rows_added, CAST(0 AS BIGINT) AS rows_removed, 1 AS commits FROM orders
+    UNION ALL SELECT 'UPDATE', COUNT(*), COUNT(*), 2 FROM (SELECT 1 FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 1 FROM orders WHERE o_orderstatus = 'O')
+    UNION ALL SELECT 'DELETE', 0, COUNT(*), 1 FROM orders WHERE o_totalprice < 50000""")
 def commit_metrics(spark, sf):
-    return sum_metrics(_orders_log(spark, sf))
+    """What the commits of each kind did, summed up from the table's own history."""
+    t = ChangeTable.create(spark, fresh(spark, "metrics"), table(spark, sf, "orders"))
+    t.update("o_orderstatus = 'F'", {"o_orderpriority": "none"})
+    t.update("o_orderstatus = 'O'", {"o_orderpriority": "some"})
+    t.delete("o_totalprice < 50000")
+    return t.history().groupBy("operation").agg(
+        F.sum("rows_added").alias("rows_added"), F.sum("rows_removed").alias("rows_removed"), F.count("*").cast("int").alias("commits"))
 
 
-@query("""SELECT 'day=' || strftime(o_orderdate, '%Y-%m-%d') AS path, COUNT(*) AS num_records,
+@query("""SELECT 'month=' || strftime(o_orderdate, '%Y-%m') AS path, COUNT(*) AS num_records,
     CAST(MIN(o_orderkey) AS VARCHAR) AS min_key, CAST(MAX(o_orderkey) AS VARCHAR) AS max_key FROM orders GROUP BY 1""")
 def file_statistics(spark, sf):
-    return actions(_orders_log(spark, sf)).filter("action = 'add'").select(
-        "path", F.col("stats.numRecords").alias("num_records"),
-        F.col("stats.minValues")["o_orderkey"].alias("min_key"),
-        F.col("stats.maxValues")["o_orderkey"].alias("max_key"))
+    """Rows and key range of the files of each month, as they lie on disk."""
+    path = fresh(spark, "months")
+    publish_partitioned(table(spark, sf, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM")), path, ["month"])
+    files = file_zones(spark.read.parquet(path), ["o_orderkey"])
+    return files.groupBy(F.regexp_extract("file", "/(month=[^/]*)/", 1).alias("path")).agg(
+        F.sum("rows").alias("num_records"), F.min("o_orderkey_min").cast("string").alias("min_key"), F.max("o_orderkey_max").cast("string").alias("max_key"))
+
+
+@query("""SELECT 'o_orderstatus=' || o_orderstatus AS folder, COUNT(*) AS num_rows, MIN(o_totalprice) AS least, MAX(o_totalprice) AS greatest,
+    MIN(o_orderdate) AS first_date, MAX(o_orderdate) AS last_date FROM orders GROUP BY 1""")
+def file_zone_map(spark, sf):
+    """The zone map of a partitioned folder, added up by folder."""
+    path = fresh(spark, "zones")
+    write_parquet(table(spark, sf, "orders").repartition(4), path, partition_by=["o_orderstatus"])
+    zones = ZoneMap.build(spark, path, fresh(spark, "zone-map"), ["o_totalprice", "o_orderdate"]).zones()
+    return zones.groupBy(F.regexp_extract("file", "/(o_orderstatus=[^/]*)/", 1).alias("folder")).agg(
+        F.sum("rows").alias("num_rows"), F.min("o_totalprice_min").alias("least"), F.max("o_totalprice_max").alias("greatest"),
+        F.min("o_orderdate_min").alias("first_date"), F.max("o_orderdate_max").alias("last_date"))
+
+
+@query("SELECT *, TRUE AS few_files FROM lineitem WHERE l_partkey BETWEEN 20 AND 40 AND l_quantity <= 30")
+def zone_pruned_lookup(spark, sf):
+    """A lookup in a clustered copy of lineitem opens less than half of its files."""
+    path = fresh(spark, "zone-lines")
+    zorder_layout(spark, f"{sf}/lineitem.parquet", path, ["l_partkey", "l_shipdate"], target_bytes=1 << 17)
+    zones = ZoneMap.build(spark, path, fresh(spark, "zone-map"), ["l_partkey", "l_quantity"])
+    found = zones.between(l_partkey=(20, 40), l_quantity=(None, 30))
+    return found.rows.withColumn("few_files", F.lit(2 * found.files < found.of))

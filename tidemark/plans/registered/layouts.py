@@ -105,3 +105,13 @@ def optimize_partitioned_zorder(spark, sf):
     before = t.detail().first()["num_files"]
     t.optimize(zorder_by=["user_id", "event_type"])
     return t.current().withColumn("files_did_not_grow", F.lit(t.detail().first()["num_files"] <= before))
+
+
+@query("SELECT event_id, user_id, event_type, value, '00' || (event_id % 10) AS shard, CAST(ts AS DATE) AS event_date FROM events")
+def compact_partitioned(spark, sf):
+    """Compaction of day folders with shards named in zero-padded text: no value changes."""
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value", F.concat(F.lit("00"), F.col("event_id") % 10).alias("shard"),
+                                               F.to_date("ts").alias("event_date"))
+    path = fresh(spark, "many-shards")
+    publish(events, path, ["shard", "event_date"])
+    return compact(spark, path, fresh(spark, "compact-shards"))

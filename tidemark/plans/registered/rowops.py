@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ...functions import derive_amount, parse_times, stamp_ingest as stamp
 from ...operators import (active_rows, amount_consistent, append_evolve, check_constraints,
-                          constraint_violations, delete_where, enforce_schema, latest_per_key,
+                          constraint_violations, delete_where, enforce_schema, key_difference, latest_per_key,
                           merge_newer_wins, set_minus, uncastable_rows, update_where)
 from ...operators import merge_upsert as upsert
 from ...streaming import merge_stream as stream_merge
@@ -267,11 +267,23 @@ def soft_delete_undone(spark, sf):
     return t.current()
 
 
-@query("SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 400000")
 def missing_keys(spark, sf):
-    """Keys of a full list that the changed side no longer has: hard deletes."""
+    """Keys of a full list that the other side does not have: customers without a large order."""
     return set_minus(table(spark, sf, "customer").select("c_custkey"),
-                     table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")))
+                     table(spark, sf, "orders").filter("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey")))
+
+
+@query("""SELECT o_orderkey, o_custkey, o_totalprice, TRUE AS read_little FROM orders
+    WHERE o_orderkey BETWEEN 1000 AND 1030 OR o_orderkey = (SELECT MAX(o_orderkey) FROM orders)""")
+def hard_deletes_found(spark, sf):
+    """The source lost rows without a trace; checksums of key ranges find which, and few rows are read for it."""
+    landed = table(spark, sf, "orders")
+    last = landed.agg(F.max("o_orderkey")).first()[0]
+    source = landed.filter(~F.col("o_orderkey").between(1000, 1030) & (F.col("o_orderkey") != last))
+    found = key_difference(landed, source, "o_orderkey", ["o_custkey", "o_totalprice"], narrow=64)
+    keys = sum(hi - lo + 1 for lo, hi in found.ranges)
+    return found.only_left.withColumn("read_little", F.lit(keys <= 256)).unionByName(found.only_right.withColumn("read_little", F.lit(False)))
 
 
 @query("SELECT count(*) AS c FROM lineitem")

@@ -6,6 +6,8 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
+from ..change_table import ChangeTable
+from ..maintained import MaintainedCounts
 from .registry import (ORDERS_V3, ORDERS_V4, fresh, hour, orders_clone, orders_versions, query, table)
 
 
@@ -168,3 +170,23 @@ def snapshot_after_expire(spark, sf):
     t.delete("o_totalprice < 50000")
     t.expire(0, force=True)
     return t.current()
+
+
+@query("""SELECT o_orderstatus, year(o_orderdate) AS y, COUNT(*) AS cnt, SUM(o_custkey) AS sum_o_custkey FROM (
+      SELECT * REPLACE (CASE WHEN o_totalprice < 50000 THEN 'C' ELSE o_orderstatus END AS o_orderstatus) FROM orders WHERE o_orderkey % 5 <> 0)
+    GROUP BY 1, 2""")
+def partition_counts_incremental(spark, sf):
+    """Counts by status and year, brought along through insert, update, delete and restore from the changes alone."""
+    orders = table(spark, sf, "orders").withColumn("y", F.year("o_orderdate").cast("bigint"))
+    t = ChangeTable.create(spark, fresh(spark, "counted"), orders.filter("o_orderkey % 2 = 0"))
+    counts = MaintainedCounts(t, fresh(spark, "counts"), ["o_orderstatus", "y"], ["o_custkey"])
+    counts.refresh()
+    t.append(orders.filter("o_orderkey % 2 <> 0"))
+    counts.refresh()
+    t.update("o_totalprice < 50000", {"o_orderstatus": "C"})
+    t.delete("o_orderkey % 5 = 0")
+    counts.refresh()
+    t.delete("o_orderkey % 7 = 0")
+    counts.refresh()
+    t.restore(t.version - 1)
+    return counts.refresh().withColumn("sum_o_custkey", F.col("sum_o_custkey").cast("decimal(38,0)"))

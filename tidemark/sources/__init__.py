@@ -1,8 +1,7 @@
-from .commit_log import commit_metrics, file_actions, read_commit_log
 from .files import read_delimited, read_json_lines, read_parquet_dir, read_text_lines
 from .jdbc import Split, jdbc_split, read_jdbc, read_jdbc_since
 
 __all__ = [
-    "Split", "commit_metrics", "file_actions", "jdbc_split", "read_commit_log", "read_delimited",
+    "Split", "jdbc_split", "read_delimited",
     "read_jdbc", "read_jdbc_since", "read_json_lines", "read_parquet_dir", "read_text_lines",
 ]
