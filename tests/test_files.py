@@ -1,12 +1,15 @@
+import random
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import ZoneMap, compact_files, file_inventory, largest_file, publish_partitioned, zorder_layout
+from tidemark.operators import (ZoneMap, compact_files, file_inventory, largest_file, partition_advice, publish_partitioned,
+                                zorder_layout)
 from tidemark.sinks import (create_managed, describe_kv, drop_table, register_external, write_delimited,
                             write_json, write_parquet)
-from tidemark.sources import (read_delimited, read_json_lines, read_parquet_dir, read_text_lines)
+from tidemark.sources import (read_delimited, read_inferred_once, read_json_lines, read_parquet_dir, read_split_csv,
+                              read_text_lines)
 
 
 @pytest.fixture
@@ -152,3 +155,47 @@ def test_zone_map_reads_only_files_that_can_matter(spark, path, rows):
     assert rows(zones.between(id=(2900, None), v=(None, 3)).rows, "id", "v", "part") == rows(df.filter("id >= 2900 and v <= 3"))
     none = zones.between(id=(5000, None))
     assert none.files == 0 and none.rows.count() == 0 and none.rows.columns == ["id", "v", "part"]
+
+
+@pytest.mark.parametrize("split", [37, 200, 5000])
+def test_csv_records_begin_in_any_split(spark, path, rows, split):
+    """Quotes, doubled quotes, separators and line breaks at every place of a split."""
+    rng = random.Random(split)
+    text = lambda: "".join(rng.choice(['a', 'b', ' ', '"', ',', "\n", "\r\n", "é", '""', "\n\n"]) for _ in range(rng.randint(0, 25)))
+    items = [(i, rng.choice([None, "", text(), text(), text() * 30 if i % 20 == 0 else text()]), rng.random() < 0.5) for i in range(150)]
+    df = spark.createDataFrame(items, "id int, t string, ok boolean")
+    p = path()
+    write_delimited(df.repartitionByRange(2, "id"), p)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        if split < 5000:
+            assert spark.read.text(p).rdd.getNumPartitions() > 5
+        assert rows(read_split_csv(spark, p, df.schema)) == rows(df)
+        named = read_split_csv(spark, p)
+        assert named.columns == ["id", "t", "ok"] and rows(named, "t") == rows(df, "t")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_types_are_inferred_in_the_one_read(spark, path, rows):
+    p = path()
+    shape = "a string, b string, c string, d string, e string, f string, g string, h string, `i.j` string, k string"
+    items = [("1", "1", "1.5", "2024-01-01", "2024-01-01 10:00:00", "true", "x", None, "3000000000", "2024-13-01"),
+             ("-07", "x", "1e3", "2024-02-29", "2024-01-01T10:00:00Z", "FALSE", "1", None, "1", "2024-01-01"), (None, None, None, None, None, None, None, None, None, None)]
+    write_delimited(spark.createDataFrame(items, shape), p)
+    out = read_inferred_once(spark, p)
+    assert [f.dataType.simpleString() for f in out.schema] == ["int", "string", "double", "date", "timestamp", "boolean", "string", "string", "bigint", "string"]
+    assert rows(out, "a", "c", "g", "`i.j`") == sorted([(1, 1.5, "x", 3_000_000_000), (-7, 1000.0, "1", 1), (None, None, None, None)], key=repr)
+    assert out.columns == [c.strip("`") for c in ["a", "b", "c", "d", "e", "f", "g", "h", "i.j", "k"]]
+    assert not any(f.startswith(p) for f in out.inputFiles())
+
+
+def test_partition_advice(spark):
+    df = spark.range(20_000).selectExpr("id", "if(id % 3 = 0, 'hot', concat('v', id % 40)) AS few", "if(id % 4 = 0, null, 'x') AS one", "concat('k', id) AS many")
+    told = {r["candidate"]: r for r in partition_advice(df, ["few", "one", "many"], target_bytes=8 * 20_000).collect()}
+    assert told["few"]["folders"] == 41 and abs(told["few"]["hot_share"] - 1 / 3) < 0.01 and told["few"]["advised"]
+    assert told["one"]["folders"] == 2 and abs(told["one"]["hot_share"] - 0.75) < 0.01 and abs(told["many"]["folders"] - 20_000) < 1000
+    assert not any(r["advised"] for r in partition_advice(df, ["many"]).collect())
+    assert [r["folders"] for r in partition_advice(df.limit(0), ["few"]).collect()] == [0]

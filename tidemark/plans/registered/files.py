@@ -10,7 +10,7 @@ from ...session import scratch_dir
 from ...sinks import (create_managed, create_schema, describe_kv as describe, drop_table, register_external,
                       write_delimited, write_json, write_parquet)
 from ...operators import ZoneMap, file_inventory as inventory, file_zones, partition_counts, publish_partitioned, zorder_layout
-from ...sources import (read_delimited as delimited, read_json_lines, read_parquet_dir as parquet_dir,
+from ...sources import (read_delimited as delimited, read_inferred_once, read_json_lines, read_split_csv, read_parquet_dir as parquet_dir,
                         read_text_lines as text_lines)
 from ..change_table import ChangeTable
 from .registry import fresh, query, table
@@ -38,6 +38,23 @@ def read_delimited_as_text(spark, sf):
     return delimited(spark, path, infer=False).withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
 
 
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
+def read_delimited_inferred_once(spark, sf):
+    """As above, with the files opened once."""
+    orders, path = table(spark, sf, "orders"), fresh(spark, "csv-once")
+    write_delimited(orders, path)
+    back = read_inferred_once(spark, path)
+    return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in orders.schema])
+
+
+@query("SELECT * FROM documents")
+def csv_documents_split(spark, sf):
+    """The same texts from one file, by a task per split."""
+    docs, path = table(spark, sf, "documents"), fresh(spark, "csv-one-file")
+    write_delimited(docs, path, single_file=True)
+    return read_split_csv(spark, path, docs.schema)
+
+
 @query("SELECT * FROM documents")
 def csv_documents_roundtrip(spark, sf):
     """Texts with line breaks, quotes and blanks come back from CSV as they were."""
