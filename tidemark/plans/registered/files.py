@@ -10,6 +10,7 @@ from ...session import scratch_dir
 from ...sinks import (create_managed, create_schema, describe_kv as describe, drop_table, register_external,
                       write_delimited, write_json, write_parquet)
 from ...operators import ZoneMap, file_inventory as inventory, file_zones, partition_counts, publish_partitioned, zorder_layout
+from ...operators.layout import folder_size
 from ...sources import (read_delimited as delimited, read_inferred_once, read_json_lines, read_split_csv, read_parquet_dir as parquet_dir,
                         read_text_lines as text_lines)
 from ..change_table import ChangeTable
@@ -199,11 +200,11 @@ def file_zone_map(spark, sf):
         F.min("o_orderdate_min").alias("first_date"), F.max("o_orderdate_max").alias("last_date"))
 
 
-@query("SELECT *, TRUE AS few_files FROM lineitem WHERE l_partkey BETWEEN 20 AND 40 AND l_quantity <= 30")
+@query("SELECT *, TRUE AS few_files FROM lineitem WHERE l_partkey BETWEEN 20 AND 24 AND l_quantity <= 30")
 def zone_pruned_lookup(spark, sf):
     """A lookup in a clustered copy of lineitem opens less than half of its files."""
-    path = fresh(spark, "zone-lines")
-    zorder_layout(spark, f"{sf}/lineitem.parquet", path, ["l_partkey", "l_shipdate"], target_bytes=1 << 17)
+    path, source = fresh(spark, "zone-lines"), f"{sf}/lineitem.parquet"
+    zorder_layout(spark, source, path, ["l_partkey", "l_shipdate"], target_bytes=max(1, folder_size(spark, source)[0] // 24))
     zones = ZoneMap.build(spark, path, fresh(spark, "zone-map"), ["l_partkey", "l_quantity"])
-    found = zones.between(l_partkey=(20, 40), l_quantity=(None, 30))
+    found = zones.between(l_partkey=(20, 24), l_quantity=(None, 30))
     return found.rows.withColumn("few_files", F.lit(2 * found.files < found.of))
