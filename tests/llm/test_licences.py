@@ -1,4 +1,4 @@
-from tidemark.llm.licences import TEMPLATES, bigrams_of, needed_words, scan_licences, size_bounds
+from tidemark.llm.licences import TEMPLATES, bigrams_of, least_words, needed_words, scan_licences, scan_sql, size_bounds
 
 MIT = next(t for n, t in TEMPLATES if n == "MIT" and len(t) > 200)
 
@@ -37,6 +37,74 @@ def test_against_brute_force(docs):
         assert got.get((i, "line", 1)) == want
 
 
+PROSE = "The river ran on past the mill and nobody in the village spoke of it again."
+APACHE = next(t for n, t in TEMPLATES if n == "Apache-2.0" and len(t) > 200)
+
+
+def wrapped(text, width, indent=""):
+    import textwrap
+    return "\n".join(textwrap.wrap(text, width, initial_indent=indent, subsequent_indent=indent, break_long_words=False))
+
+
+def paragraphs_of(text, cuts, width, indent=""):
+    for c in cuts:
+        text = text.replace(c, "\0" + c)
+    return "\n\n".join(wrapped(p, width, indent) for p in text.split("\0"))
+
+
+def test_notices_of_several_paragraphs_inside_long_documents(docs):
+    mit = "MIT License\n\nCopyright (c) 2020 Jane Doe\n\n" + paragraphs_of(MIT, ["The above copyright", "THE SOFTWARE IS"], 76)
+    apache = "Copyright 2019 Example Inc.\n\n" + paragraphs_of(APACHE, ["You may obtain", "Unless required"], 70, "  # ")
+    long = "\n".join([PROSE] * 400)
+    got = found(scan_licences(docs([f"{long}\n{mit}\n\n{long}", f"{apache}\n{long}", f"{long}\n\n{apache}", f"{mit}\n\n{apache}\n{PROSE}",
+                                    long, f"{long} {MIT} {long}", "\n".join([MIT] * 300)])))
+    notices = {(i, name) for (i, unit, _), (name, _) in got.items() if unit == "notice"}
+    assert notices == {(0, "MIT"), (1, "Apache-2.0"), (2, "Apache-2.0"), (3, "MIT"), (3, "Apache-2.0"), (5, "MIT"), (6, "MIT")}
+    assert not [k for k in got if k[0] == 4]
+
+
+def test_sentences_within_a_line(docs):
+    got = found(scan_licences(docs(["Copyright 2019 Example Inc. Released under the MIT License.", "One. Licensed under CC BY 4.0; more: of it",
+                                    "Copyright (c) 2021 Jane Doe. All rights reserved."])))
+    assert {(k[0], k[1], k[2], v[0]) for k, v in got.items()} >= {
+        (0, "sentence", 2, "MIT"), (1, "sentence", 2, "CC-BY-4.0"), (2, "sentence", 2, "all-rights-reserved")}
+
+
+def test_rows_are_those_of_the_sql(docs):
+    import random
+
+    import duckdb
+    rnd = random.Random(7)
+    texts = []
+    for _ in range(150):
+        parts = [PROSE] * rnd.randrange(4)
+        for _ in range(rnd.randrange(1, 4)):
+            w = rnd.choice(TEMPLATES)[1].split()
+            for _ in range(rnd.randrange(4)):
+                w[rnd.randrange(len(w))] = rnd.choice(["the", "of", "x", "License."])
+            parts.insert(rnd.randrange(len(parts) + 1), wrapped(" ".join(w), rnd.choice([30, 60, 500])))
+        texts.append(rnd.choice([" ", "\n", "\n\n"]).join(parts))
+    db = duckdb.connect()
+    documents = docs(texts).select("doc_id", "text").toPandas()
+    db.register("documents", documents)
+    want = db.execute(scan_sql()).fetchall()
+    got = scan_licences(docs(texts)).drop("unit_text").collect()
+    assert {"notice", "sentence", "line"} <= {r[1] for r in want}
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_what_a_notice_must_hold_loses_nothing():
+    for _, text in TEMPLATES:
+        pairs = bigrams_of(text)
+        has = {w for p in pairs for w in p.split()}
+        least = least_words(pairs, 0.8)
+        # whatever words are left out, one more than allowed leaves too few pairs
+        for order in (sorted(has), sorted(has, reverse=True), sorted(has, key=lambda w: sum(w in p.split() for p in pairs))):
+            kept = set(order[len(has) - least + 1:])
+            rest = [p for p in pairs if set(p.split()) <= kept]
+            assert dice(rest, pairs) < 0.8
+
+
 def test_bounds_lose_nothing():
     assert size_bounds(10, 0.8) == (7, 15)
     pairs = bigrams_of(MIT)
