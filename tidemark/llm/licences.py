@@ -128,6 +128,16 @@ def needed_words(pairs: list[str], threshold: float) -> set[str]:
     return taken
 
 
+def starts_with_one(needed: set[str]) -> str:
+    """A pattern that finds each of the words in lower-case text, and may find longer ones.
+
+    Only where a word starts, and by its first letter, are the alternatives tried.
+    """
+    heads = {w[0] for w in needed}
+    tails = "|".join(re.escape(h) + "(?:" + "|".join(sorted(re.escape(w[1:]) for w in needed if w[0] == h)) + ")" for h in sorted(heads))
+    return f"(?<![a-z0-9])(?=[{''.join(re.escape(h) for h in sorted(heads))}])(?:{tails})"
+
+
 def least_words(pairs: list[str], threshold: float) -> int:
     """How many of the template's words a text has at least if any part of it reaches the threshold.
 
@@ -157,7 +167,7 @@ def find_notices(texts: DataFrame, sets: list[tuple[str, list[str]]], threshold:
         return texts.select("doc_id", *[F.lit(None).cast(t).alias(c) for c, t in
                                         (("unit", "string"), ("unit_no", "long"), ("licence", "string"),
                                          ("dice", "double"), ("unit_text", "string"))]).filter(F.lit(False))
-    hint = "|".join(sorted({re.escape(w) for _, s in long for w in needed_words(s, threshold)}))
+    hint = starts_with_one({w for _, s in long for w in needed_words(s, threshold)})
     literal = lambda xs: F.array(*map(F.lit, xs))
     known = F.array(*[F.struct(
         F.lit(name).alias("licence"), literal(s).alias("want"), literal(sorted({w for p in s for w in p.split()})).alias("words"),
@@ -200,7 +210,7 @@ def scan_licences(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
     sets = [(name, bigrams_of(text)) for name, text in templates or TEMPLATES]
     bounds = {i: size_bounds(len(s), threshold) for i, (_, s) in enumerate(sets)}
     least, most = min(lo for lo, _ in bounds.values()), max(hi for _, hi in bounds.values())
-    needed = "|".join(sorted({re.escape(w) for _, s in sets for w in needed_words(s, threshold)}))
+    needed = starts_with_one({w for _, s in sets for w in needed_words(s, threshold)})
     hint = lambda x: F.lower(x).rlike(needed)
     text = F.col("text")
     lines, paragraphs = F.split(text, "\n"), F.split(text, "\n[ \t\r]*\n")
