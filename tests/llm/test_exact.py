@@ -1,7 +1,8 @@
 import hashlib
 import random
 
-from tidemark.llm.exact import DigestIndex, drop_copies, exact_dedup
+from tidemark.llm import exact
+from tidemark.llm.exact import DigestIndex, buckets_for, drop_copies, exact_dedup
 
 STRIP = str.maketrans("", "", " \t\n\x0b\x0c\r")
 
@@ -58,3 +59,23 @@ def test_the_index_is_joined_by_sort_and_merge(spark, docs):
     text = plan._jdf.queryExecution().executedPlan().toString()
     index.close()
     assert "SortMergeJoin" in text and "Bucketed: true" in text
+
+
+def test_buckets_follow_the_rows():
+    assert [buckets_for(n) for n in (0, 1, 32 << 20, (32 << 20) + 1, 10**10)] == [32, 32, 32, 64, 16384]
+
+
+def test_an_index_sizes_itself_and_is_folded(spark, docs, by_id, monkeypatch):
+    monkeypatch.setattr(exact, "LEAST_BUCKETS", 1)
+    monkeypatch.setattr(exact, "BUCKET_ROWS", 4)
+    index = DigestIndex(spark)
+    for at in range(0, 30, 10):
+        index.add(docs([(i, f"text {i % 25}") for i in range(at, at + 10)])).collect()
+    assert index.buckets == 4 and index.rows().count() == 25
+    small = index.folded()
+    assert small.buckets == 8 and len(small.rows().inputFiles()) <= 8 < len(index.rows().inputFiles())
+    assert sorted(map(tuple, small.rows().collect())) == sorted(map(tuple, index.rows().collect()))
+    got = by_id(small.add(docs([(90, "text 3"), (91, "new")])))
+    assert (got[90]["keep_id"], got[90]["kept"], got[91]["kept"]) == (3, False, True)
+    index.close()
+    small.close()

@@ -27,28 +27,60 @@ BLANKS = " \t\n\x0b\x0c\r"
 HOT_GROUPS = 4096       # no more groups than this can each hold over 1/4096 of the rows
 
 
+LEAST_BUCKETS = 32
+BUCKET_ROWS = 1 << 20   # of about 100 bytes each
+
+
+def buckets_for(rows: int) -> int:
+    """Buckets of an index of so many rows: a power of two, so that one bucket is one task of bounded size."""
+    return max(LEAST_BUCKETS, 1 << max(0, -(-rows // BUCKET_ROWS) - 1).bit_length())
+
+
 def text_digest(text):
     """SHA-256 of the text without its blanks, as 32 bytes."""
     return F.unhex(F.sha2(F.translate(F.coalesce(text, F.lit("")), BLANKS, "").cast("binary"), 256))
 
 
 class DigestIndex:
-    """Digests of every text seen so far, kept at ``path`` (a new folder where None)."""
+    """Digests of every text seen so far, kept at ``path`` (a new folder where None).
+
+    Without ``buckets`` a new index takes their number from the distinct texts of its first
+    batch. An index that is opened again needs the number it was made with (``self.buckets``).
+    """
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 32, id_type: str = "bigint"):
-        self.spark, self.buckets = spark, buckets
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None, id_type: str = "bigint"):
+        self.spark, self.buckets, self.id_type = spark, buckets, id_type
         self.path = path or f"{scratch_dir(spark, 'digests')}/index"
         self.name = f"digests_{uuid.uuid4().hex[:12]}"
-        spark.sql(f"CREATE TABLE {self.name} (digest BINARY, keep_id {id_type}, batch STRING, keep_row BIGINT) "
-                  f"USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS "
-                  f"LOCATION '{self.path}'")
+        if buckets:
+            self._create()
+
+    def _create(self) -> None:
+        self.spark.sql(f"CREATE TABLE {self.name} (digest BINARY, keep_id {self.id_type}, batch STRING, keep_row BIGINT) "
+                       f"USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS "
+                       f"LOCATION '{self.path}'")
+
+    def _append(self, rows: DataFrame) -> None:
+        (rows.repartition(self.buckets, "digest").write.mode("append").format("parquet")
+             .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name))
+        self.spark.catalog.refreshTable(self.name)
+
+    def folded(self, path: str | None = None) -> DigestIndex:
+        """A new index with these rows, one file a bucket and as many buckets as its rows now need.
+
+        Every batch adds a file to each bucket, so an index of many batches is sorted again at
+        each join; after folding its buckets are read in order.
+        """
+        out = DigestIndex(self.spark, path, buckets_for(self.rows().count()), self.id_type)
+        out._append(self.rows())
+        return out
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
 
     def close(self) -> None:
         """Forget the table's name; the files stay and can be opened again by their path."""
-        self.spark.sql(f"DROP TABLE {self.name}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
     def add(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """Enter a batch; one row per input row: doc_id, keep_id, group_size, kept, text_sha256.
@@ -64,12 +96,13 @@ class DigestIndex:
         ).withColumn("row", F.monotonically_increasing_id()), "exact-rows")
         best = F.min(F.struct((-F.col("chars")).alias("chars"), F.isnull("doc_id").alias("missing"), "doc_id", "row"))
         groups = staged(seen.groupBy("digest").agg(best.alias("best"), F.count("*").alias("group_size")), "exact-groups")
+        if not self.buckets:
+            self.buckets = buckets_for(groups.count())
+            self._create()
         fresh = groups.hint("merge").join(self.rows(), "digest", "left_anti").select(
             "digest", F.col("best.doc_id").alias("keep_id"), F.lit(batch).alias("batch"),
             F.col("best.row").alias("keep_row"))
-        (fresh.repartition(self.buckets, "digest").write.mode("append").format("parquet")
-              .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name))
-        self.spark.catalog.refreshTable(self.name)
+        self._append(fresh)
         known = staged(groups.select("digest", "group_size").hint("merge").join(self.rows(), "digest"), "exact-known")
         # A group with more than 1/4096 of the rows is looked up from a broadcast of at most 4096 rows;
         # the others meet by a sort-merge join in which no key can be hot.
