@@ -31,6 +31,7 @@ ones in blocks of shingles.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -69,8 +70,15 @@ def cells_of(keys: np.ndarray) -> np.ndarray:
     return (keys >> np.uint64(44)).astype(np.int64)
 
 
+def distinct_cells(text: str, n: int = WORDS) -> np.ndarray:
+    """The cells of a text's shingles, ascending."""
+    words, _ = word_hashes(text.lower().encode("utf-8", "replace"), BREAKS)
+    cells = np.sort(cells_of(runs(words, min(n, len(words)))).astype(np.int32)) if len(words) else np.zeros(0, np.int32)
+    return cells[np.diff(cells, prepend=-1) > 0]
+
+
 FACTORS = mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64)) | np.uint64(1)
-STEP = 256              # shingles whose random numbers are made at a time
+STEP = 512              # shingles whose random numbers are made at a time
 
 
 def gamma_quantiles(n: int) -> np.ndarray:
@@ -82,29 +90,49 @@ def gamma_quantiles(n: int) -> np.ndarray:
 GAMMA = gamma_quantiles(1 << 16)
 
 
-def variates(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """r, ln c and beta for each key and sample: Gamma(2,1), Gamma(2,1), uniform.
+class Variates:
+    """r, ln c and beta of up to STEP keys, a row per sample: Gamma(2,1), Gamma(2,1), uniform.
 
     They come from one 64-bit hash of key and sample, 16 bits for each of r, beta and the two
-    uniform numbers of whose product c is less the logarithm.
+    uniform numbers of whose product c is less the logarithm. The arrays are made once and
+    written over by the next keys, which costs a third less than new ones.
     """
-    x = keys[:, None] * FACTORS
-    x ^= x >> np.uint64(32)
-    x *= np.uint64(0xD6E8FEB86659FD93)
-    x ^= x >> np.uint64(32)
-    lanes = x.view(np.uint16).reshape(len(keys), SAMPLES, 4)
-    one, other, beta = (lanes[..., i].astype(np.float32) for i in (0, 1, 2))
-    for u in (one, other, beta):
-        u += HALF
-        u *= SIXTEENTH
-    one *= other
-    c = np.log(one, out=one)
-    np.negative(c, out=c)
-    # indices of the machine's own width, not checked again: both save half of the look-up
-    return GAMMA.take(lanes[..., 3].astype(np.intp), mode="clip"), np.log(c, out=c), beta
-
 
-HALF, SIXTEENTH = np.float32(0.5), np.float32(2.0 ** -16)
+    def __init__(self):
+        room = SAMPLES * STEP
+        self.hashes, self.other_hashes = np.empty(room, np.uint64), np.empty(room, np.uint64)
+        self.places = np.empty(room, np.intp)
+        self.floats = [np.empty(room, np.float32) for _ in range(5)]
+
+    def of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """r, ln c, beta, and an array of their shape for the caller's use."""
+        n = len(keys)
+        x, y, places, r, c, beta, other, room = (
+            a[:SAMPLES * n].reshape(SAMPLES, n) for a in (self.hashes, self.other_hashes, self.places, *self.floats))
+        np.multiply(keys, FACTORS[:, None], out=x)
+        x ^= np.right_shift(x, HALF_WORD, out=y)
+        x *= np.uint64(0xD6E8FEB86659FD93)
+        x ^= np.right_shift(x, HALF_WORD, out=y)
+        lanes = x.view(np.uint16).reshape(SAMPLES, n, 4)
+        for i, u in enumerate((c, other, beta)):
+            np.copyto(u, lanes[..., i])
+            u += HALF
+            u *= SIXTEENTH
+        c *= other
+        np.log(c, out=c)
+        np.negative(c, out=c)
+        np.log(c, out=c)
+        # indices of the machine's own width, not checked again: both save half of the look-up
+        np.copyto(places, lanes[..., 3])
+        return GAMMA.take(places, mode="clip", out=r), c, beta, room
+
+
+HALF_WORD, HALF, SIXTEENTH = np.uint64(32), np.float32(0.5), np.float32(2.0 ** -16)
+
+
+@functools.cache
+def variates() -> Variates:
+    return Variates()
 
 
 def sample(keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -112,22 +140,22 @@ def sample(keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
     best = np.full(SAMPLES, np.inf, np.float32)
     out = np.zeros(SAMPLES, np.uint64)
     every = np.arange(SAMPLES)
-    logs = np.log(weights).astype(np.float32)[:, None]
+    logs = np.log(weights).astype(np.float32)
     for at in range(0, len(keys), STEP):
         part = keys[at:at + STEP]
-        r, a, beta = variates(part)
-        level = logs[at:at + STEP] / r
+        r, a, beta, level = variates().of(part)
+        np.divide(logs[at:at + STEP], r, out=level)
         level += beta
         np.floor(level, out=level)
         beta -= level
         beta -= np.float32(1)       # less the steps of r from the weight down
         r *= beta
         a += r
-        who = a.argmin(0)
-        least = a[who, every]
+        who = a.argmin(1)
+        least = a[every, who]
         better = np.flatnonzero(least < best)
         best[better] = least[better]
-        out[better] = part[who[better]] * np.uint64(0x9FB21C651E98DF25) + level[who[better], better].astype(np.int64).astype(np.uint64)
+        out[better] = part[who[better]] * np.uint64(0x9FB21C651E98DF25) + level[better, who[better]].astype(np.int64).astype(np.uint64)
     return out
 
 
@@ -136,9 +164,9 @@ def document_frequencies(docs: DataFrame, n: int = WORDS) -> np.ndarray:
     def count(batches):
         total, rows = np.zeros(CELLS, np.int64), 0
         for batch in batches:
-            found = [np.zeros(0, np.int64)]
+            found = [np.zeros(0, np.int32)]
             for text in texts(batch):
-                found.append(np.unique(cells_of(shingles(text, n)[0])))
+                found.append(distinct_cells(text, n))
                 rows += 1
             total += np.bincount(np.concatenate(found), minlength=CELLS)
         parts = total.reshape(-1, CELL_BLOCK)
