@@ -44,6 +44,21 @@ def test_nothing_and_one_language_to_learn(docs):
     assert languages_of(docs([]).filter("false"), one).count() == 0
 
 
+def test_sample_is_of_distinct_texts_and_bounded(spark, labelled, monkeypatch):
+    """A group of copies teaches as one text; a language of few texts is learnt beside one of many."""
+    learnt = []
+    monkeypatch.setattr(Ftrl, "learn", lambda self, cells, x, label: learnt.append(label))
+    copies = spark.range(3000).selectExpr("id + 5000 AS doc_id", "'katima komati' AS text", "'aa' AS lang")
+    few = spark.createDataFrame([(9000, "xyzzy plugh", "zz")], labelled.schema)
+    frame = labelled.filter("lang = 'bb' and text is not null").union(copies).union(few)
+    fit_language_model(frame, F.lit(True), per_language=20, epochs=1)
+    assert [learnt.count(k) for k in range(3)] == [1, 16, 1]
+    learnt.clear()
+    monkeypatch.setattr(langid, "MOST", 12)
+    model = fit_language_model(frame, F.lit(True), per_language=20, epochs=1)
+    assert [learnt.count(k) for k in range(3)] == [1, 4, 1] and model.languages == ["aa", "bb", "zz"]
+
+
 def test_blocks_count_like_one_block(monkeypatch):
     text = "Grüße an alle, it is so. " * 30
     whole = gram_counts(text)

@@ -4,30 +4,32 @@ Features are character n-grams (1 to 3 code points of the lower-cased text, blan
 included) hashed to CELLS cells, weighted by sublinear term frequency times inverse
 document frequency and scaled to unit length. Document frequencies are counted over all
 labelled rows. The weights are learnt by follow-the-regularised-leader (proximal, per
-coordinate) with an L1 and an L2 penalty, on a sample of at most about SAMPLE rows per
-language; a fifth of the sample is held back to fit the temperature of the softmax.
+coordinate) with an L1 and an L2 penalty, on a sample of at most SAMPLE distinct texts per
+language and MOST over all (each language has one at least), those of the least hashes; a
+fifth of the sample is held back to fit the temperature of the softmax.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, and so is
 every text where nothing was labelled. Rows with a null language teach nothing. Long
 texts are read whole, in blocks. With one language learnt, it is predicted with score 1.
-Repeated rows and ids give repeated rows; other columns are ignored.
+Repeated rows and ids give repeated rows, and teach as one text; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .common import quoted, spread
 
 CELLS = 1 << 16
-SAMPLE = 1000
+SAMPLE, MOST = 1000, 20_000
 BLOCK = 1 << 20
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]").search
@@ -120,8 +122,7 @@ def fit_language_model(docs: DataFrame, learn: Column, text_col: str = "text", l
     """Learn from the rows where ``learn`` holds, the language is known and the text is not null."""
     rows = docs.filter(learn).select(F.col(quoted(text_col)).cast("string").alias("text"),
                                      F.col(quoted(lang_col)).cast("string").alias("lang")).dropna()
-    seen = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    languages = sorted(seen)
+    languages = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
 
     def cells_of(batches):
         df, n = np.zeros(CELLS, np.int64), 0
@@ -140,12 +141,18 @@ def fit_language_model(docs: DataFrame, learn: Column, text_col: str = "text", l
             df[r["cell"]] = r["df"]
     idf = np.log((1 + n) / (1 + df)) + 1
 
-    # a row is in the sample by the hash of its text, with the share that its language needs
-    share = F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, per_language / c))) for k, c in seen.items()], F.lit(0.0))
-    chance = (F.xxhash64("text", F.lit(6)) % 1_000_003 + 1_000_003) % 1_000_003 / 1_000_003
+    # copies are one text, however many; the limit of the ranks is applied in each task before the shuffle
+    hashed = spread(rows).withColumn("at", F.xxhash64("text", F.lit(7)))
+    limit = max(1, min(per_language, MOST // max(1, len(languages))))
+    drawn = hashed.select("lang", "at").distinct().withColumn(
+        "rank", F.row_number().over(Window.partitionBy("lang").orderBy("at"))).filter(F.col("rank") <= limit).drop("rank")
 
     def counts_of(batches):
+        met = set()
         for batch in batches:
+            new = [i for i, own in enumerate(zip(batch.column("lang").to_pylist(), batch.column("at").to_pylist()))
+                   if not (own in met or met.add(own))]
+            batch = batch.take(pa.array(new, pa.int64()))
             counts = [gram_counts(t) for t in batch.column("text").to_pylist()]
             cells = [np.flatnonzero(c) for c in counts]
             yield pa.RecordBatch.from_arrays([
@@ -153,15 +160,19 @@ def fit_language_model(docs: DataFrame, learn: Column, text_col: str = "text", l
                 pa.array([c[k].astype(np.uint32).tobytes() for c, k in zip(counts, cells)], pa.binary())],
                 ["lang", "at", "cells", "counts"])
 
-    sample = spread(rows.filter(chance < share).select("text", "lang", F.xxhash64("text", F.lit(7)).alias("at"))).mapInArrow(
-        counts_of, "lang string, at long, cells binary, counts binary").collect()
+    sample = (hashed.join(F.broadcast(drawn), ["lang", "at"])
+              .mapInArrow(counts_of, "lang string, at long, cells binary, counts binary")
+              .groupBy("lang", "at").agg(F.first("cells").alias("cells"), F.first("counts").alias("counts")).collect())
     sample.sort(key=lambda r: (r["at"], r["lang"]))
     data = []
     for r in sample:
         counts = np.zeros(CELLS, np.int64)
         counts[np.frombuffer(r["cells"], np.uint16)] = np.frombuffer(r["counts"], np.uint32)
         data.append((*features(counts, idf), languages.index(r["lang"])))
-    held, taught = data[::5], [x for i, x in enumerate(data) if i % 5] or data
+    held, taught, nth = [], [], Counter()
+    for x in data:      # the fifth of each language, so that one of few texts is taught
+        nth[x[2]] += 1
+        (taught if nth[x[2]] % 5 else held).append(x)
     model = Ftrl(len(languages))
     for _ in range(epochs):
         for cells, x, label in taught:
