@@ -122,7 +122,10 @@ def fit_language_model(docs: DataFrame, learn: Column, text_col: str = "text", l
     """Learn from the rows where ``learn`` holds, the language is known and the text is not null."""
     rows = docs.filter(learn).select(F.col(quoted(text_col)).cast("string").alias("text"),
                                      F.col(quoted(lang_col)).cast("string").alias("lang")).dropna()
-    languages = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
+    # copies are one text, however many
+    hashed = spread(rows).withColumn("at", F.xxhash64("text", F.lit(7)))
+    distinct = {r["lang"]: r["texts"] for r in hashed.groupBy("lang").agg(F.approx_count_distinct("at").alias("texts")).collect()}
+    languages = sorted(distinct)
 
     def cells_of(batches):
         df, n = np.zeros(CELLS, np.int64), 0
@@ -141,11 +144,15 @@ def fit_language_model(docs: DataFrame, learn: Column, text_col: str = "text", l
             df[r["cell"]] = r["df"]
     idf = np.log((1 + n) / (1 + df)) + 1
 
-    # copies are one text, however many; the limit of the ranks is applied in each task before the shuffle
-    hashed = spread(rows).withColumn("at", F.xxhash64("text", F.lit(7)))
+    # ranked are only the hashes below a bound that leaves several times the limit, so no task gets more of a
+    # large language; a language of at most 64 texts, or of four times the limit, has no bound
     limit = max(1, min(per_language, MOST // max(1, len(languages))))
-    drawn = hashed.select("lang", "at").distinct().withColumn(
-        "rank", F.row_number().over(Window.partitionBy("lang").orderBy("at"))).filter(F.col("rank") <= limit).drop("rank")
+    room = max(4 * limit, 64)
+    bounds = [x for k, n in distinct.items() for x in (
+        F.lit(k), F.lit(min(2 ** 63 - 1, int(2 ** 64 * min(1.0, room / max(n, 1))) - 2 ** 63)).cast("long"))]
+    low = hashed.select("lang", "at").filter(F.col("at") <= F.create_map(*bounds)[F.col("lang")]) if bounds else hashed.select("lang", "at")
+    drawn = low.distinct().withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("at"))).filter(
+        F.col("rank") <= limit).drop("rank")
 
     def counts_of(batches):
         met = set()
