@@ -38,3 +38,13 @@ def test_same_rows_as_sql(spark, duck, rows, name):
     listed = ", ".join(f'"{c}"' for c in cols)
     expected = duck.sql(f"SELECT {listed} FROM ({oracle_sql()[name]})").fetchall()
     assert rows(df.select(*cols)) == sorted(expected, key=repr)
+
+
+def test_every_event_lands_however_far_the_ids_reach(spark, path, rows):
+    """Rows of the second run whose ids were far below the first run's greatest were taken for landed."""
+    data = path("far")
+    ids = [0, 1, 2, 3, 1_999_999, 2_000_000, 3_000_000, 4_000_000_000_001]
+    spark.createDataFrame([(i, i + 1, "click", 0.5) for i in ids] + [(None, 1, "view", 1.0)],
+                          "event_id long, user_id long, event_type string, value double").write.parquet(f"{data}/events.parquet")
+    found = queries()["run_incremental_other_zone"](spark, data)
+    assert rows(found, "event_id") == sorted([(i,) for i in [*ids, None]], key=repr)

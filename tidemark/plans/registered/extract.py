@@ -88,19 +88,25 @@ def incremental_runs(spark, sf):
     return spark.read.parquet(landing).select("o_orderkey", "o_orderdate", "o_totalprice", "batch_id")
 
 
+START_US = 1_700_000_000_000_000
+
+
 @query("SELECT event_id, user_id, event_type, value FROM events")
 def run_incremental_other_zone(spark, sf):
     """The bookmark of instants is read in another time zone than it was written in; nothing is lost."""
-    events = table(spark, sf, "events").select(
-        "event_id", "user_id", "event_type", "value", F.timestamp_seconds(1_700_000_000 + F.col("event_id") * 60).alias("changed"))
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
+    # a microsecond an id; the rows of the second run all come after those of the first, however far the ids reach
+    step = F.coalesce(F.col("event_id") - F.lit(first), F.lit(0))
+    late_step = F.when(F.col("event_id") % 3 == 0, 0).otherwise((last or 0) - (first or 0) + 1)
+    early = events.filter("event_id % 3 = 0").withColumn("changed", F.timestamp_micros(START_US + step))
+    late = events.withColumn("changed", F.timestamp_micros(START_US + step + late_step))
     landing, marks = fresh(spark, "zones"), TableBookmarks(spark, fresh(spark, "zone-bookmarks"))
     zone = spark.conf.get("spark.sql.session.timeZone")
     try:
-        for run_zone, rows in (("Asia/Tokyo", events.filter("event_id % 3 = 0")), ("America/New_York", events)):
+        for run_zone, rows in (("Asia/Tokyo", early), ("America/New_York", late)):
             spark.conf.set("spark.sql.session.timeZone", run_zone)
-            late = rows if run_zone == "Asia/Tokyo" else rows.withColumn("changed", F.when(
-                F.col("event_id") % 3 == 0, F.col("changed")).otherwise(F.col("changed") + F.expr("INTERVAL 1000 DAYS")))
-            run_incremental("events", FrameSource(late, "changed"), marks, landing, now=NOON)
+            run_incremental("events", FrameSource(rows, "changed"), marks, landing, now=NOON)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     return spark.read.parquet(landing).select("event_id", "user_id", "event_type", "value")
