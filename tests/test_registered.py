@@ -48,3 +48,12 @@ def test_every_event_lands_however_far_the_ids_reach(spark, path, rows):
                           "event_id long, user_id long, event_type string, value double").write.parquet(f"{data}/events.parquet")
     found = queries()["run_incremental_other_zone"](spark, data)
     assert rows(found, "event_id") == sorted([(i,) for i in [*ids, None]], key=repr)
+
+
+def test_missing_keys_are_looked_up_among_all_orders(spark, path, rows):
+    """Orders of every price count: a customer with a small order only is not missing."""
+    data = path("keys")
+    spark.createDataFrame([(1,), (2,), (3,)], "c_custkey long").write.parquet(f"{data}/customer.parquet")
+    spark.createDataFrame([(1, 10.0), (2, 500_000.0), (9, None)], "o_custkey long, o_totalprice double").write.parquet(f"{data}/orders.parquet")
+    assert rows(queries()["missing_keys"](spark, data)) == [(3,)]
+    assert "WHERE" not in oracle_sql()["missing_keys"]
