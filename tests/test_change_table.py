@@ -611,3 +611,19 @@ def test_nested_columns(spark, path, rows):
     t.append(df.withColumn("id", F.lit(2)))
     t.merge(df.withColumn("a", F.array(F.lit(9))), "id")
     assert rows(t.current(), "id", "a", "m", "s.x") == [(1, [9], {"k": 1}, 1.5), (2, [1, 2], {"k": 1}, 1.5)]
+
+
+def test_a_fold_past_the_broadcast_limit_does_not_join_in_the_writing_tasks(spark, path, rows, monkeypatch):
+    """The sort of the join ran under ``coalesce``: one task sorted the whole table."""
+    seen = []
+    plain = ChangeTable._write
+    monkeypatch.setattr(ChangeTable, "_write", lambda self, changes, *a, **k: (
+        seen.append(changes._jdf.queryExecution().optimizedPlan().toString()), plain(self, changes, *a, **k))[1])
+    monkeypatch.setattr("tidemark.plans.change_table.BROADCAST_ROWS", 10)
+    t = ChangeTable.create(spark, path(), spark.range(300).selectExpr("int(id) id"))
+    t.delete("id < 100")
+    bag = rows(t.current())
+    t.optimize(full=True)
+    fold = seen[-1]
+    assert "LeftAnti" in fold and "Repartition 1, false" not in fold
+    assert rows(t.current()) == bag and t.detail().first()["num_files"] == 1

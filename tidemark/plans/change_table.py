@@ -683,7 +683,10 @@ class ChangeTable:
             # the address breaks ties, so a value held by a third of the rows is still split
             rows = layout.cluster(rows, list(zorder_by), files, tie=_ADDRESS, within=self._partition_by)
         elif not self._partition_by:
-            rows = rows.coalesce(files)
+            # removed addresses past the broadcast limit are joined by a sort: under ``coalesce`` the few
+            # tasks that write files would each sort all they write, join partition by join partition
+            many = sum(s.removed for s in take) > BROADCAST_ROWS
+            rows = rows.repartition(files, *_ADDRESS) if many else rows.coalesce(files)
         # the rows were checked when they came in
         layout_only = {**self._log[-1].rules, "checks": {}, "not_null": []}
         segment = self._write(rows, self.schema, layout_only, only_added=not older, lo=lo,
