@@ -57,3 +57,17 @@ def test_missing_keys_are_looked_up_among_all_orders(spark, path, rows):
     spark.createDataFrame([(1, 10.0), (2, 500_000.0), (9, None)], "o_custkey long, o_totalprice double").write.parquet(f"{data}/orders.parquet")
     assert rows(queries()["missing_keys"](spark, data)) == [(3,)]
     assert "WHERE" not in oracle_sql()["missing_keys"]
+
+
+def test_documents_are_not_funnelled_through_one_task(spark, path, rows, monkeypatch):
+    """A file per split of the table, each of them several splits long and read as such."""
+    data, out = path("docs"), path("csv")
+    monkeypatch.setattr("tidemark.plans.registered.files.fresh", lambda *_: out)
+    texts = [(i, f'line {i}\nsays "{i}", ' + "and on\n" * 200) for i in range(60)]
+    spark.createDataFrame(texts, "doc_id long, text string").repartition(4).write.option("compression", "none").parquet(f"{data}/documents.parquet")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        assert rows(queries()["csv_documents_split"](spark, data)) == sorted(texts, key=repr)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(glob.glob(f"{out}/*.csv")) > 1
