@@ -1,3 +1,4 @@
+import importlib
 import random
 import time
 from datetime import date, datetime, timedelta
@@ -106,3 +107,40 @@ def test_table_merge_with_order(spark, path, rows):
     source = spark.createDataFrame([(1, 10, 1), (1, 30, 3), (1, 20, 2), (None, 5, 1), (None, 6, 1), (3, 7, None), (3, 8, 0)], SHAPE + ", step int")
     t.merge(source, "k", order="step")
     assert rows(t.current()) == sorted([(1, 30), (2, 2), (3, 8), (None, 5), (None, 6)], key=repr)
+
+
+def test_ordered_changes_run_no_python_per_key(spark, path, rows, monkeypatch):
+    """A call of Python for every key and batch took most of the time; kept orders outlive a fold and a replay."""
+    module = importlib.import_module("tidemark.streaming.merge_stream")
+    monkeypatch.setattr(module, "newest_changes", None)
+    monkeypatch.setattr(module.SeenOrders, "FOLD_EVERY", 2)
+    shape, inbox, check = SHAPE + ", n int", path("inbox"), path("check")
+    t = ChangeTable.create(spark, path("table"), SHAPE)
+
+    def arrive(*items):
+        spark.createDataFrame(list(items), shape).coalesce(1).write.mode("append").parquet(inbox)
+
+    def run():
+        changes = spark.readStream.schema(shape).option("maxFilesPerTrigger", 1).parquet(inbox)
+        merge_stream(changes, t, "k", check, order="n").awaitTermination()
+        return rows(t.refresh().current())
+
+    arrive((1, 10, 5), (1, 11, 7), (2, 20, 1))
+    arrive((1, 12, 6), (2, 21, 1), (3, 30, None))
+    arrive((1, 13, 7), (2, 22, 2), (3, 31, 0), (None, 9, 1))
+    assert run() == sorted([(1, 11), (2, 22), (3, 31), (None, 9)], key=repr)
+
+    plain, dead = ChangeTable.merge, []
+
+    def dying(self, *args, **kwargs):
+        if "orders-seen" in self.path and not dead:
+            dead.append(1)
+            raise RuntimeError("died between the two commits")
+        return plain(self, *args, **kwargs)
+
+    monkeypatch.setattr(ChangeTable, "merge", dying)
+    arrive((1, 14, 8), (2, 23, 1))
+    with pytest.raises(Exception, match="died between"):
+        run()
+    assert run() == sorted([(1, 14), (2, 22), (3, 31), (None, 9)], key=repr)
+    assert t.history().filter("operation = 'MERGE'").count() == 4
