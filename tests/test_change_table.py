@@ -627,3 +627,15 @@ def test_a_fold_past_the_broadcast_limit_does_not_join_in_the_writing_tasks(spar
     fold = seen[-1]
     assert "LeftAnti" in fold and "Repartition 1, false" not in fold
     assert rows(t.current()) == bag and t.detail().first()["num_files"] == 1
+
+
+def test_a_clustering_sorts_in_bounded_tasks(spark, path, rows, monkeypatch):
+    """A task sorted a whole target file, which takes ten times its size in memory."""
+    t = ChangeTable.create(spark, path(), spark.range(20_000).selectExpr("id", "id * 37 % 1009 other"))
+    bag = rows(t.current())
+    monkeypatch.setattr("tidemark.operators.layout.SORT_BYTES", 40_000, raising=False)
+    t.optimize(zorder_by=["id", "other"])
+    made = t.detail().first()["num_files"]
+    assert made > 2 and rows(t.current()) == bag
+    t.optimize()            # files of that size are not small
+    assert t.detail().first()["num_files"] == made

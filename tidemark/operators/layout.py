@@ -15,6 +15,8 @@ from ..session import hadoop_path
 
 # fixed value: the usual target of lakehouse compaction
 TARGET_FILE_BYTES = 268_435_456
+# Stored bytes that one task sorts when rows are clustered; in memory they take about ten times as much.
+SORT_BYTES = 64 * 1024 * 1024
 
 
 def file_inventory(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -99,6 +101,7 @@ def compact_files(spark: SparkSession, path: str, into: str,
 
 _WORD = 62      # bits of a z-value in one bigint
 _CUT_ROWS = 16  # sampled rows behind each cut
+_CHUNK_RANKS = 1000     # quantiles of a large partition value, from which the cuts between its files are taken
 
 
 def orderable(field: T.StructField) -> Column:
@@ -199,19 +202,51 @@ def cluster(df: DataFrame, columns: Sequence[str], files: int, tie: Sequence[str
     """Range-partition by one column or by the z-value of several, inside each value of ``within``.
 
     ``tie`` columns differ between rows that agree on the clustering columns. They let
-    the range partitioner cut through a hot value instead of giving it one task.
+    the range partitioner cut through a hot value instead of giving it one task. Values of
+    ``within`` are cut only when they hold more rows than one of ``files``, so that the tasks
+    add no files to a partition that fits one.
     """
-    within = [f"`{c}`" for c in within]
-    if len(columns) == 1:
-        return df.repartitionByRange(files, *within, *columns, *tie).sortWithinPartitions(*within, *columns)
+    if not within:
+        if len(columns) == 1:
+            return df.repartitionByRange(files, *columns, *tie).sortWithinPartitions(*columns)
+        placed, z = z_value(df, columns, files)
+        return placed.repartitionByRange(files, *z, *tie).sortWithinPartitions(*z).drop(*z)
     placed, z = z_value(df, columns, files)
-    return placed.repartitionByRange(files, *within, *z, *tie).sortWithinPartitions(*within, *z).drop(*z)
+    placed = _in_chunks(placed, z[0], files, tie, within)
+    parts = [quoted(c) for c in within]
+    # no tie here: a chunk goes to one task as a whole
+    return placed.repartitionByRange(files, *parts, "_chunk").sortWithinPartitions(*parts, "_chunk", *z).drop("_chunk", *z)
+
+
+def _in_chunks(df: DataFrame, z: str, files: int, tie: Sequence[str], within: Sequence[str]) -> DataFrame:
+    """Add ``_chunk``: 0 for values of ``within`` that fit one file, else ranges of ``z`` of about a file's rows.
+
+    Rows of a ``z`` that takes up several chunks are dealt over them by ``tie``.
+    """
+    counts = df.groupBy(*map(quoted, within)).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n")).first()[0] if files > 1 else 0
+    large = counts.filter(F.col("_n") * files > total).select(
+        *[F.col(quoted(c)).alias(f"_w{i}") for i, c in enumerate(within)], F.ceil(F.col("_n") * files / F.lit(total or 1)).cast("int").alias("_k"))
+    if not total or large.isEmpty():
+        return df.withColumn("_chunk", F.lit(0))
+    same = F.lit(True)
+    for i, c in enumerate(within):
+        same = same & F.col(f"_w{i}").eqNullSafe(F.col(quoted(c)))
+    keys = [f"_w{i}" for i in range(len(within))]
+    # at most a row for each file: the cuts of a large value, thinned out of one list of quantiles
+    ranks = F.array(*[F.lit(i / _CHUNK_RANKS) for i in range(1, _CHUNK_RANKS)])
+    cuts = df.join(F.broadcast(large), same).groupBy(*keys, "_k").agg(F.percentile_approx(F.col(z), ranks, F.lit(10_000)).alias("_q")).select(
+        *keys, F.transform(F.sequence(F.lit(1), F.col("_k") - 1), lambda i: F.get("_q", F.floor(i * _CHUNK_RANKS / F.col("_k")).cast("int") - 1)).alias("_cuts"))
+    low = F.size(F.filter("_cuts", lambda x: x < F.col(z)))
+    high = F.size(F.filter("_cuts", lambda x: x <= F.col(z)))
+    chunk = F.when(F.col("_cuts").isNull(), 0).otherwise(low + F.pmod(F.xxhash64(*tie), high - low + 1).cast("int"))
+    return df.join(F.broadcast(cuts), same, "left_outer").withColumn("_chunk", chunk).drop(*keys, "_cuts")
 
 
 def zorder_layout(spark: SparkSession, path: str, into: str, columns: Sequence[str],
                   target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
     """Rewrite a Parquet folder clustered by ``columns``; partition folders stay, ties break by row position."""
-    files = _file_count(spark, path, target_bytes)
+    files = _file_count(spark, path, min(target_bytes, SORT_BYTES))
     rows, parts = read_folder(spark, path)
     shape = rows.schema
     placed = rows.select("*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_tie"))

@@ -666,7 +666,10 @@ class ChangeTable:
         chain = self._chain(self.version)
         sizes = layout.data_files(self.spark, [f"{s.root}/data/_seg={s.name}" for s in chain]) if chain else []
         take, since = self._foldable(dict(zip((s.name for s in chain), sizes)), target_bytes, bool(full or zorder_by))
-        files = max(1, -(-sum(size for size, *_ in sizes[:len(take)]) // target_bytes))
+        # a clustering sorts what it writes: its files are no larger than what a task sorts
+        sorted_bytes = min(target_bytes, layout.SORT_BYTES)
+        clustered = bool(zorder_by) or self._clustered(take)
+        files = max(1, -(-sum(size for size, *_ in sizes[:len(take)]) // (sorted_bytes if clustered else target_bytes)))
         tidy = len(take) == 1 and not take[0].removed and sizes[0][1] <= 2 * files + (sizes[0][2] if self._partition_by else 0)
         if not take or (tidy and not zorder_by):
             return self._commit("OPTIMIZE", {"folded": 0}, self.schema, self._log[-1].rules, None, at)
@@ -695,6 +698,10 @@ class ChangeTable:
         return self._commit("OPTIMIZE", params, self.schema, self._log[-1].rules, segment, at,
                             since=since, metrics=(0, 0))
 
+    def _clustered(self, segments: list[Segment]) -> bool:
+        """Whether these are one folder that a clustering wrote."""
+        return len(segments) == 1 and any(c.segment == segments[0] and c.params.get("zorder_by", "[]") != "[]" for c in self._log)
+
     def _foldable(self, sizes: dict, target_bytes: int, everything: bool) -> tuple[list[Segment], int]:
         """Newest folders worth folding, and the first version they cover."""
         take, kept, since, at = [], [], self.version + 1, self.version
@@ -704,7 +711,8 @@ class ChangeTable:
                 commit.pinned if commit.since == at else ())
             take += segments
             found = [sizes[s.name] for s in segments]
-            if everything or any(2 * size < target_bytes * files for size, files, _ in found):
+            target = min(target_bytes, layout.SORT_BYTES) if self._clustered(segments) else target_bytes
+            if everything or any(2 * size < target * files for size, files, _ in found):
                 kept, since = list(take), commit.since
             at = commit.since - 1
         return kept, since
