@@ -639,3 +639,14 @@ def test_a_clustering_sorts_in_bounded_tasks(spark, path, rows, monkeypatch):
     assert made > 2 and rows(t.current()) == bag
     t.optimize()            # files of that size are not small
     assert t.detail().first()["num_files"] == made
+
+
+@pytest.mark.parametrize("hot", [0.0, 0.8])
+def test_clustering_cuts_only_large_partition_values(spark, path, rows, monkeypatch, hot):
+    """More sorting tasks than one cut partition values in two, and so multiplied the files."""
+    base = spark.range(20_000).selectExpr("id", "id * 37 % 1009 other", f"if(id < {int(20_000 * hot)}, 0, id % 10) part")
+    t = ChangeTable.create(spark, path(), base, partition_by=["part"])
+    bag = rows(t.current())
+    t.optimize(zorder_by=["id", "other"], target_bytes=t.detail().first()["size_bytes"] // 5)
+    files = t.detail().first()["num_files"]
+    assert rows(t.current()) == bag and (files == 10 if not hot else 10 < files <= 25)
