@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -114,3 +115,49 @@ def test_blocks_beyond_the_numbers_are_refused(docs, monkeypatch):
     monkeypatch.setattr(substring, "BLOCK_ROWS", 1)
     with pytest.raises(Exception, match="smaller partitions"):
         substring.make_blocks(docs(["a"] * 50).select("doc_id", "text")).collect()
+
+
+def asked(n, blocks, part=0):
+    """What blocks ask of a part: n hashes each, half of them shared with the next block."""
+    rows = []
+    for b in range(blocks):
+        own = np.concatenate([np.arange(n // 2) + b * n, np.arange(n // 2) + (b + 1) * n]).astype(np.uint64)
+        hashes = np.unique(substring.word_hashes(b" ".join(b"%d" % x for x in own), substring.BREAKS)[0])
+        seven = (hashes >> np.uint64(8)).view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
+        places = np.full(len(hashes), 1000 - b).tobytes(), np.arange(len(hashes)) // 500
+        rows.append({"part": part, "block": b + 1, "hashes": seven, "places": substring._pack(
+            np.diff(np.frombuffer(places[0], np.int64), prepend=0).tobytes() + np.diff(places[1], prepend=0).tobytes())})
+    return pd.DataFrame(rows)
+
+
+def homes_of(pdf):
+    return [np.frombuffer(substring._unpack(x), np.int64).tolist() for x in pdf["home"]]
+
+
+@pytest.mark.parametrize("at_once", [1, 900, 1 << 20])
+def test_answers_do_not_depend_on_how_many_hashes_are_sorted_at_a_time(monkeypatch, at_once):
+    pdf = asked(1000, 5)
+    monkeypatch.setattr(substring, "HASHES_AT_ONCE", at_once)
+    got = homes_of(substring.answer(pdf))
+    keys = [[h[i:i + 7] for i in range(0, len(h), 7)] for h in pdf["hashes"]]
+    holders = {}
+    for b, own in enumerate(keys):
+        for i, k in enumerate(own):
+            holders.setdefault(k, []).append((1000 - b, b + 1, i // 500))
+    want = []
+    for b, own in enumerate(keys):
+        least = [min(holders[k]) for k in own]
+        want.append([(-2 if len(holders[k]) > 1 else -1) if x[1] == b + 1 else x[1] * substring.SHARDS_PER_BLOCK + x[2]
+                     for k, x in zip(own, least)])
+    assert got == want and {-1, -2} < {x for own in got for x in own}
+
+
+def test_answers_take_little_memory():
+    pdf = asked(100_000, 10)
+    tracemalloc.start()
+    try:
+        substring.answer(pdf)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 64 * 1_000_000

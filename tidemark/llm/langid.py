@@ -160,11 +160,14 @@ def fit_language_model(docs: DataFrame, learn: Column, text_col: str = "text", l
             new = [i for i, own in enumerate(zip(batch.column("lang").to_pylist(), batch.column("at").to_pylist()))
                    if not (own in met or met.add(own))]
             batch = batch.take(pa.array(new, pa.int64()))
-            counts = [gram_counts(t) for t in batch.column("text").to_pylist()]
-            cells = [np.flatnonzero(c) for c in counts]
+            cells, counts = [], []
+            for text in batch.column("text").to_pylist():
+                dense = gram_counts(text)       # half a megabyte, so of one text at a time
+                used = np.flatnonzero(dense)
+                cells.append(used.astype(np.uint16).tobytes())
+                counts.append(dense[used].astype(np.uint32).tobytes())
             yield pa.RecordBatch.from_arrays([
-                batch.column("lang"), batch.column("at"), pa.array([c.astype(np.uint16).tobytes() for c in cells], pa.binary()),
-                pa.array([c[k].astype(np.uint32).tobytes() for c, k in zip(counts, cells)], pa.binary())],
+                batch.column("lang"), batch.column("at"), pa.array(cells, pa.binary()), pa.array(counts, pa.binary())],
                 ["lang", "at", "cells", "counts"])
 
     sample = (hashed.join(F.broadcast(drawn), ["lang", "at"])

@@ -40,7 +40,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .automaton import Automaton
-from .common import free_name, id_text, quoted, release, sha256_hex, spread, staged, texts
+from .common import free_name, id_text, quoted, release, sha256_hex, spread, texts
+from .common import staged_in_small_batches as staged
 from .shingles import runs, word_hashes
 
 WINDOW = 20
@@ -50,6 +51,7 @@ SHARD_WORDS = 50_000            # reference shards are cut at these many words o
 # 2^15 shards of a text of 2 GB, a partition at most 2^20 blocks (4 TB), so 2^28 partitions fit.
 SHARDS_PER_BLOCK, BLOCKS_PER_PARTITION = 1 << 15, 1 << 20
 HASHES_PER_TASK = 1 << 21
+HASHES_AT_ONCE = 1 << 18        # of a task's, sorted at a time
 STREAM_WORDS = 200_000          # candidates of one shard that go to one task
 LAST = np.iinfo(np.int64).max   # stands for a null id
 BREAKS = np.zeros(256, bool)
@@ -157,23 +159,29 @@ def ask(blocks: DataFrame, bits: int, window: int) -> DataFrame:
 def answer(pdf: pd.DataFrame) -> pd.DataFrame:
     """For each block of a part: which hashes another has earlier and where, which others have later."""
     sizes = [len(h) // 7 for h in pdf["hashes"]]
-    seven = np.frombuffer(b"".join(pdf["hashes"]), np.uint8).reshape(-1, 7)
-    eight = np.zeros((len(seven), 8), np.uint8)
-    eight[:, :7] = seven
-    hashes = eight.view(np.uint64).reshape(-1)
-    places = [np.frombuffer(_unpack(p), np.int64).reshape(2, -1).cumsum(1) for p in pdf["places"]]
-    ids, shards = np.concatenate([p[0] for p in places]), np.concatenate([p[1] for p in places])
-    block = np.repeat(pdf["block"].to_numpy(np.int64), sizes)
-    order = np.lexsort((block, ids, hashes))
-    h = hashes[order]
-    new = np.ones(len(h), bool)
-    new[1:] = h[1:] != h[:-1]
-    group = np.cumsum(new) - 1
-    leader = order[np.flatnonzero(new)][group]
-    many = np.bincount(group)[group] > 1
-    home = np.full(len(h), -1, np.int64)        # where an earlier window is; -2: others come later
-    home[order] = np.where(new, np.where(many, -2, -1), block[leader] * SHARDS_PER_BLOCK + shards[leader])
     ends = np.cumsum(sizes)
+    hashes, ids, shards = np.zeros(sum(sizes), np.uint64), np.empty(sum(sizes), np.int64), np.empty(sum(sizes), np.int32)
+    bytes_of = hashes.view(np.uint8).reshape(-1, 8)
+    for e, n, seven, packed in zip(ends, sizes, pdf["hashes"], pdf["places"]):
+        bytes_of[e - n:e, :7] = np.frombuffer(seven, np.uint8).reshape(-1, 7)
+        ids[e - n:e], shards[e - n:e] = np.frombuffer(_unpack(packed), np.int64).reshape(2, -1).cumsum(1)
+    number = pdf["block"].to_numpy(np.int64)
+    row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    home = np.full(len(hashes), -1, np.int64)       # where an earlier window is; -2: others come later
+    # equal hashes have equal leading bytes, so a range of these is judged by itself, in little memory
+    step = max(1, 256 * HASHES_AT_ONCE // max(1, len(hashes)))
+    for low in range(0, 256, step):
+        at = np.flatnonzero((bytes_of[:, 6] >= low) & (bytes_of[:, 6] <= min(255, low + step - 1)))
+        if not len(at):
+            continue
+        order = at[np.lexsort((number[row[at]], ids[at], hashes[at]))]
+        h = hashes[order]
+        new = np.ones(len(h), bool)
+        new[1:] = h[1:] != h[:-1]
+        group = np.cumsum(new) - 1
+        leader = order[np.flatnonzero(new)][group]
+        many = np.bincount(group)[group] > 1
+        home[order] = np.where(new, np.where(many, -2, -1), number[row[leader]] * SHARDS_PER_BLOCK + shards[leader])
     return pd.DataFrame({"block": pdf["block"], "part": pdf["part"],
                          "home": [_pack(home[e - n:e].tobytes()) for e, n in zip(ends, sizes)]})
 
