@@ -102,3 +102,61 @@ def test_doubles_are_compared_as_doubles(spark):
            link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()}
     assert [got[i][0] for i in range(1, 12)] == [1, 1, 0, 0, 1, 1, 0, 0, 0, 0, 0]
     assert got[2] == (1, 1, False) and got[6] == (1, 5, False) and got[4] == (0, 4, True)
+
+
+def planted(n, d, least, seed=5):
+    """Spread vectors, and for each one of exactly that cosine to it."""
+    rng = np.random.default_rng(seed)
+    x = unit(rng.standard_normal((n, d)))
+    side = rng.standard_normal(x.shape)
+    side = unit(side - (side * x).sum(1, keepdims=True) * x)
+    return x, least * x + np.sqrt(1 - least * least) * side
+
+
+def share_a_leaf(forest, x, y):
+    together = np.zeros(len(x), bool)
+    for tree in forest:
+        together |= [not set(a).isdisjoint(b) for a, b in zip(tree.leaves(x), tree.leaves(y))]
+    return together
+
+
+def test_memberships_grow_slowly(monkeypatch):
+    """Four times the vectors, in how many leaves each lies."""
+    monkeypatch.setattr(vectors, "LEAF", 256)
+    x, _ = planted(16_000, 64, 0.93)
+    per_vector = [np.mean([len(own) for seed in range(vectors.TREES) for own in grow(y, 1.0, 0.93, seed).leaves(y)]) for y in (x[::4], x)]
+    assert per_vector[1] / per_vector[0] < 1.6
+
+
+def test_labels_of_a_leaf_are_compared_whole(spark, monkeypatch):
+    """Leaves are of one label: many labels do not make their trees deeper."""
+    monkeypatch.setattr(vectors, "LEAF", 40)
+    tables, real = {}, vectors.staged
+    monkeypatch.setattr(vectors, "staged", lambda df, name: tables.setdefault(name, real(df, name)))
+    rows = [(i, v, i // 36, "x") for i, v, _, _ in points()]
+    rows += [(1000 + i, v, 50, "x") for i, v, _, _ in points(seed=5)]               # a label that is split
+    assert found(link_vectors(spark.createDataFrame(rows, KIND), 0.9)) == brute(rows, 0.9)
+    held = tables["leaves"].select("label", "leaves").collect()
+    assert {len(r["leaves"]) for r in held if r["label"] < 50} == {1}
+    assert min(len(r["leaves"]) for r in held if r["label"] == 50) >= vectors.TREES
+
+
+def test_deep_forest_loses_next_to_no_close_pair(monkeypatch):
+    """Pairs of exactly the least cosine, a hundred leaves and more."""
+    monkeypatch.setattr(vectors, "LEAF", 128)
+    x, y = planted(20_000, 64, 0.93)
+    forest = vectors.grow_forest(x, 1.0, 0.93, np.zeros(len(x), int), least=1)
+    assert len(set(forest[0].places(x)[1].tolist())) > 100
+    assert len(forest) > 3 and share_a_leaf(forest, x, y).mean() >= 0.9995
+    assert share_a_leaf(forest[:1], x, y).mean() < 0.95
+
+
+def test_dense_group_among_spread_vectors_loses_no_close_pair(monkeypatch):
+    monkeypatch.setattr(vectors, "LEAF", 256)
+    rng = np.random.default_rng(6)
+    base, d = unit(rng.standard_normal((1, 64))), 64
+    x = unit(np.sqrt(0.9) * base + np.sqrt(0.1 / d) * rng.standard_normal((3000, d)))
+    both = np.concatenate([x, planted(6000, d, 0.93)[0]])
+    forest = vectors.grow_forest(both, 1.0, 0.93, np.zeros(len(both), int))
+    a, b = np.nonzero(x[:200] @ x.T >= 0.93)
+    assert len(a) > 5_000 and share_a_leaf(forest, x[a], x[b]).all()

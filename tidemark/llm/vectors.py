@@ -1,15 +1,21 @@
 """Near-dedup of embeddings by a forest of random-projection trees.
 
-A tree splits the vectors at a random direction again and again; vectors near a cut go to
-both sides (spill), so that a close pair is rarely torn apart, and several trees find what
-one lost. Vectors are compared within leaves only, under equal labels, by cosine in
-double precision. A pair is counted in the first tree and leaf that hold both, so links
-are counted without a list of pairs; each leaf passes on a spanning forest of its links,
-from which the components follow.
+Vectors are compared under equal labels only, by cosine in double precision. Those of a
+label of at most LEAF vectors are all compared with each other. Larger labels go down
+trees: a tree splits the vectors at a random direction again and again, vectors near a
+cut go to both sides (spill), and vectors are compared within leaves. A pair is counted
+in the first leaf that holds both, so links are counted without a list of pairs; each
+leaf passes on a spanning forest of its links, from which the components follow.
 
-The trees are fitted on at most about SAMPLE vectors, chosen by hash; all vectors go down
-all trees. A leaf larger than BLOCK vectors of a label is compared in pairs of blocks, in
-separate tasks. Equal vectors of a label are taken as one with a weight.
+A node is split only where that leaves clearly fewer comparisons, so a dense group, which
+every cut would tear, stays one leaf. How likely a cut tears a pair at the least cosine
+apart follows from the spill and from the density at the cut; so many trees are grown, and
+at least TREES, that such a pair is expected to share no leaf with a chance of LOSS at most.
+
+The trees are fitted on at most about SAMPLE vectors of the large labels, chosen by hash;
+all vectors of these labels go down all trees. A leaf larger than BLOCK vectors of a label
+is compared in pairs of blocks, in separate tasks. Equal vectors of a label are taken as
+one with a weight.
 
 Defined cases: vectors that are null, empty or zero, or have a null or non-finite
 component, and rows with a null label or id link with nothing: n_links 0, and they are
@@ -20,10 +26,10 @@ ignored.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,10 +40,15 @@ from .components import components
 
 TREES = 6
 SAMPLE = 100_000
-LEAF = 4096             # vectors a leaf is meant to hold, over all labels
+LEAF = 4096             # vectors of a label that a leaf is meant to hold
 LEAST_SAMPLE = 16       # no leaf of fewer sampled vectors is split
 BLOCK = 2048
+CELLS = 1 << 20         # cosines held at a time
 DIRECTIONS = 8
+SPILL = 0.5             # on either side of a cut, in spreads of a least close pair
+WORTH = 0.8             # the most comparisons a split may leave, of those without it
+LOSS = 1e-4
+NO_LEAF = np.iinfo(np.int32).max
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -54,91 +65,151 @@ class Tree:
     direction: list
     cut: list
     sides: list
+    torn: list          # how likely a least close pair is torn apart on the way to each node
     margin: float
 
-    def leaves(self, x: np.ndarray) -> list[list[int]]:
-        """The leaves of each vector; several where it spilt over."""
-        out: list[list[int]] = [[] for _ in range(len(x))]
-        stack = [(0, np.arange(len(x)))]
+    def places(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and their leaves; a row comes several times where it spilt over."""
+        found, stack = [], [(0, np.arange(len(x)))]
         while stack:
             k, rows = stack.pop()
             if self.sides[k] is None:
-                for r in rows.tolist():
-                    out[r].append(k)
+                found.append((rows, np.full(len(rows), k)))
                 continue
             p = x[rows] @ self.direction[k] - self.cut[k]
             for side, inside in zip(self.sides[k], (p <= self.margin, p > -self.margin)):
                 if inside.any():
                     stack.append((side, rows[inside]))
+        rows, leaves = (np.concatenate(column) for column in zip(*found))
+        return rows, leaves
+
+    def leaves(self, x: np.ndarray) -> list[list[int]]:
+        """The leaves of each vector; several where it spilt over."""
+        out: list[list[int]] = [[] for _ in range(len(x))]
+        for r, k in zip(*(column.tolist() for column in self.places(x))):
+            out[r].append(k)
         return out
 
 
-def grow(x: np.ndarray, full: float, least_cosine: float, seed: int) -> Tree:
+def grow(x: np.ndarray, full: float, least_cosine: float, seed: int, label: np.ndarray | None = None) -> Tree:
     """A tree over a sample in which each vector stands for ``full`` of all.
 
-    Of some random directions and quantiles the cut with the fewest vectors in the
-    spill is taken; a node where no cut leaves each side fewer vectors is a leaf.
+    Of some random directions and quantiles the cut with the fewest comparisons left is
+    taken; a node where every cut leaves more than WORTH of them is a leaf. ``label``
+    numbers the labels of the sample from 0.
     """
     rng = np.random.default_rng(seed)
     d = x.shape[1]
-    # the spread of a least close pair along a random direction: it is torn apart only if it lies
-    # two spreads apart and across the cut, in about 1 of 400 cuts of a tree. A dense group, which
-    # no cut divides with fewer than 9/10 on a side, stays one leaf, compared in blocks
-    tree = Tree([], [], [], float(np.sqrt(2 - 2 * least_cosine) / np.sqrt(d)))
-
-    def node() -> int:
-        for column in (tree.direction, tree.cut, tree.sides):
-            column.append(None)
+    label = np.zeros(len(x), np.int64) if label is None else label
+    # a least close pair differs along a random direction by about a normal number of this deviation
+    apart = float(np.sqrt(2 - 2 * least_cosine) / np.sqrt(d))
+    z = 2 * SPILL       # a pair is torn apart only if it lies two margins apart and across the cut
+    beyond = math.exp(-z * z / 2) / math.sqrt(2 * math.pi) - z * math.erfc(z / math.sqrt(2)) / 2
+    tree = Tree([], [], [], [], SPILL * apart)
+
+    def node(torn: float) -> int:
+        for column, value in ((tree.direction, None), (tree.cut, None), (tree.sides, None), (tree.torn, torn)):
+            column.append(value)
         return len(tree.sides) - 1
 
-    stack = [(node(), np.arange(len(x)))]
+    stack = [(node(0.0), np.arange(len(x)))]
     while stack:
         k, rows = stack.pop()
-        if len(rows) * full <= LEAF or len(rows) < 2 * LEAST_SAMPLE:
+        if len(rows) < 2 * LEAST_SAMPLE or np.bincount(label[rows]).max() * full <= LEAF:
             continue
         directions = rng.standard_normal((d, DIRECTIONS))
         directions /= np.sqrt((directions ** 2).sum(0))
         p = x[rows] @ directions
         cuts = np.quantile(p, np.linspace(0.35, 0.65, 7), axis=0)
-        spilt = [[(np.abs(p[:, j] - c) <= tree.margin).sum() for c in cuts[:, j]] for j in range(DIRECTIONS)]
-        j, q = np.unravel_index(int(np.argmin(spilt)), (DIRECTIONS, len(cuts)))
-        left, right = p[:, j] <= cuts[q, j] + tree.margin, p[:, j] > cuts[q, j] - tree.margin
-        if max(left.sum(), right.sum()) > 0.9 * len(rows):
+        lower = np.stack([(p <= c + tree.margin).mean(0) for c in cuts])
+        upper = np.stack([(p > c - tree.margin).mean(0) for c in cuts])
+        compared = lower ** 2 + upper ** 2
+        q, j = np.unravel_index(int(np.argmin(compared)), compared.shape)
+        if compared[q, j] > WORTH:
             continue
-        tree.direction[k], tree.cut[k], tree.sides[k] = directions[:, j].copy(), float(cuts[q, j]), (node(), node())
-        stack += [(tree.sides[k][0], rows[left]), (tree.sides[k][1], rows[right])]
+        torn = beyond * (np.abs(p[:, j] - cuts[q, j]) <= apart).mean()
+        torn = 1 - (1 - tree.torn[k]) * (1 - min(1.0, torn))
+        tree.direction[k], tree.cut[k], tree.sides[k] = directions[:, j].copy(), float(cuts[q, j]), (node(torn), node(torn))
+        stack += [(tree.sides[k][0], rows[p[:, j] <= cuts[q, j] + tree.margin]), (tree.sides[k][1], rows[p[:, j] > cuts[q, j] - tree.margin])]
     return tree
 
 
-def link_block(pdf: pd.DataFrame, kind: type, least_cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of one block pair of a leaf that no earlier tree or leaf holds: rows, rows, all ids."""
-    tree, leaf, i, j = (int(pdf[c].iloc[0]) for c in ("tree", "leaf", "i", "j"))
-    x = unit(np.frombuffer(b"".join(pdf["vector"]), kind).reshape(len(pdf), -1))
-    chunk = pdf["chunk"].to_numpy()
+def grow_forest(x: np.ndarray, full: float, least_cosine: float, label: np.ndarray, least: int = TREES) -> list[Tree]:
+    """Trees until the sampled vectors' mean chance of losing a least close pair in all of them is LOSS at most."""
+    forest, lost = [], np.ones(len(x))
+    while True:
+        tree = grow(x, full, least_cosine, len(forest), label)
+        forest.append(tree)
+        if tree.sides[0] is None:       # it holds all pairs, and no other tree is needed
+            return [tree]
+        torn = np.zeros(len(x))
+        rows, leaves = tree.places(x)
+        np.maximum.at(torn, rows, np.array(tree.torn)[leaves])
+        lost *= torn
+        if len(forest) >= least and lost.mean() <= LOSS:
+            return forest
+
+
+def place(forest: list[Tree], x: np.ndarray) -> pa.ListArray:
+    """The leaves of each vector in all trees, ascending; they are numbered through the forest."""
+    first = np.cumsum([0] + [len(t.sides) for t in forest])
+    found = [t.places(x) for t in forest]
+    rows = np.concatenate([rows for rows, _ in found])
+    leaves = np.concatenate([leaves + n for (_, leaves), n in zip(found, first)]).astype(np.int32)
+    order = np.lexsort((leaves, rows))
+    ends = np.cumsum(np.bincount(rows, minlength=len(x)))
+    return pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), leaves[order])
+
+
+def padded(lists: pa.ListArray) -> np.ndarray:
+    """Lists as rows of a matrix that end in NO_LEAF."""
+    ends = np.diff(lists.offsets.to_numpy())
+    out = np.full((len(ends), int(ends.max())), NO_LEAF, np.int32)
+    out[np.arange(out.shape[1]) < ends[:, None]] = lists.flatten().to_numpy()
+    return out
+
+
+def first_shared(held: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The least leaf that both rows of each pair hold; each pair has one."""
+    out = np.empty(len(left), held.dtype)
+    a, b, rest = np.zeros(len(left), np.intp), np.zeros(len(left), np.intp), np.arange(len(left))
+    while len(rest):
+        one, other = held[left[rest], a[rest]], held[right[rest], b[rest]]
+        out[rest] = one
+        a[rest] += one < other
+        b[rest] += other < one
+        rest = rest[one != other]
+    return out
+
+
+def link_block(x: np.ndarray, held: np.ndarray, weight: np.ndarray, chunk: np.ndarray, leaf: int, i: int, j: int,
+               least_cosine: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Weighted links of each row in one block pair of a leaf, from pairs that no earlier leaf holds, and their spanning forest."""
     a, b = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
-    left, right = np.nonzero(x[a] @ x[b].T >= least_cosine)
-    left, right = a[left], b[right]
-    keep = left < right if i == j else np.ones(len(left), bool)
-    left, right = left[keep], right[keep]
-    for t in range(tree + 1):
-        lists = [row[t] for row in pdf["leaves"]]
-        m = max(map(len, lists))
-        held = np.full((len(lists), m), -1)
-        for r, own in enumerate(lists):
-            held[r, :len(own)] = own
-        first = np.full(len(left), np.iinfo(np.int64).max)
-        for u in range(m):
-            for v in range(m):
-                one, other = held[left, u], held[right, v]
-                same = (one == other) & (one >= 0)
-                first[same] = np.minimum(first[same], one[same])
-        ok = first == leaf if t == tree else first == np.iinfo(np.int64).max
-        left, right = left[ok], right[ok]
-    return left, right, pdf["rep"].to_numpy()
+    links, edges = np.zeros(len(x), np.int64), []
+    step = max(1, CELLS // max(1, len(b)))
+    for at in range(0, len(a), step):
+        # a block against itself: no row meets one before it
+        own, others = a[at:at + step], b[at:] if i == j else b
+        left, right = np.nonzero(x[own] @ x[others].T >= least_cosine)
+        left, right = own[left], others[right]
+        if i == j:
+            later = left < right
+            left, right = left[later], right[later]
+        new = first_shared(held, left, right) == leaf
+        left, right = left[new], right[new]
+        np.add.at(links, left, weight[right])
+        np.add.at(links, right, weight[left])
+        edges += spanning(left, right, len(x))
+    if len(edges) >= len(x):
+        edges = spanning(*np.array(edges).T, len(x))
+    return links, edges
 
 
 def spanning(left: np.ndarray, right: np.ndarray, n: int) -> list[tuple[int, int]]:
     """A pair per row that joins it to the least row of its component."""
+    if not len(left):
+        return []
     label = np.arange(n)
     while len(left):
         low = np.minimum(label[left], label[right])
@@ -183,50 +254,63 @@ def _links(classes: DataFrame, least_cosine: float, trees: int, sample: int) ->
     """Weighted links of each class (rep, links) and the components (node, component)."""
     spark = classes.sparkSession
     kind = np.float32 if isinstance(classes.schema["embedding"].dataType.elementType, FloatType) else np.float64
-    sizes = classes.groupBy(F.size("embedding").alias("dim")).count().collect()    # one row per vector length
+    sizes = classes.select(F.size("embedding").alias("dim")).distinct().collect()    # one row per vector length
     every_link = every_edge = None
-    for dim, n in ((r["dim"], r["count"]) for r in sizes):
+    for dim in (r["dim"] for r in sizes):
         own = classes.filter(F.size("embedding") == dim)
-        chance = (F.xxhash64("embedding") % 1_000_003 + 1_000_003) % 1_000_003 / 1_000_003
-        taken = own.filter(chance < sample / n).select("embedding").toArrow().column(0)
-        x = unit(np.array(taken.combine_chunks().flatten(), kind).reshape(-1, dim)) if len(taken) else np.zeros((0, dim))
-        forest = spark.sparkContext.broadcast([grow(x, n / max(1, len(x)), least_cosine, t) for t in range(trees)])
+        # labels too large to be compared whole; staged, so that a short list of them is sent to all
+        large = staged(own.groupBy("label").count().filter(F.col("count") > LEAF), "large-labels")
+        n = large.agg(F.sum("count")).first()[0] or 0
+        x, full, label = np.zeros((0, dim)), 1.0, np.zeros(0, np.int64)
+        if n:
+            chance = (F.xxhash64("embedding") % 1_000_003 + 1_000_003) % 1_000_003 / 1_000_003
+            taken = own.join(large, "label", "left_semi").filter(chance < sample / n).select("embedding", "label").toArrow()
+            if len(taken):
+                x = unit(np.array(taken.column(0).combine_chunks().flatten(), kind).reshape(-1, dim))
+                label = taken.column(1).combine_chunks().dictionary_encode().indices.to_numpy()
+                full = n / len(x)
+        forest = spark.sparkContext.broadcast(grow_forest(x, full, least_cosine, label, trees))
+        whole = sum(len(t.sides) for t in forest.value)         # the one leaf of a label that is compared whole
 
-        def assign(batches, dim=dim, forest=forest):
+        def assign(batches, dim=dim, forest=forest, whole=whole):
             for batch in batches:
                 flat = np.array(batch.column("embedding").flatten(), kind).reshape(-1, dim)
-                per_tree = [t.leaves(unit(flat)) for t in forest.value]
+                split = np.array(batch.column("split"), bool)
+                order = np.argsort(~split, kind="stable")       # those that are split first
+                small = pa.array([[whole]] * int((~split).sum()), pa.list_(pa.int32()))
+                leaves = pa.concat_arrays([place(forest.value, unit(flat[split])), small]) if split.any() else small
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("rep"), batch.column("weight"), batch.column("label"),
-                    pa.array([v.tobytes() for v in flat], pa.binary()),
-                    pa.array([list(x) for x in zip(*per_tree)], pa.list_(pa.list_(pa.int32())))],
+                    *(batch.column(c).take(pa.array(order)) for c in ("rep", "weight", "label")),
+                    pa.array([v.tobytes() for v in flat[order]], pa.binary()), leaves],
                     ["rep", "weight", "label", "vector", "leaves"])
 
         kinds = {f.name: f.dataType.simpleString() for f in classes.schema}
-        placed = staged(spread(own.select("rep", "weight", "label", "embedding")).mapInArrow(
-            assign, f"rep {kinds['rep']}, weight long, label {kinds['label']}, vector binary, leaves array<array<int>>"), "leaves")
-        at = placed.select("*", F.posexplode("leaves").alias("tree", "held")).select("*", F.explode("held").alias("leaf")).drop("held")
-        key = ["tree", "leaf", "label"]
-        chunks = at.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks"))
-        at = at.join(chunks, key).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+        flagged = own.join(large.select("label", F.lit(True).alias("split")), "label", "left").select(
+            "rep", "weight", "label", "embedding", F.coalesce("split", F.lit(False)).alias("split"))
+        placed = staged(spread(flagged).mapInArrow(
+            assign, f"rep {kinds['rep']}, weight long, label {kinds['label']}, vector binary, leaves array<int>"), "leaves")
+        at = placed.select("*", F.explode("leaves").alias("leaf"))
+        key = ["leaf", "label"]
+        chunks = staged(placed.select("label", F.explode("leaves").alias("leaf")).groupBy(*key).agg(
+            F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks")).filter("chunks > 1"), "large-leaves")
+        at = at.join(chunks, key, "left").withColumn("chunks", F.coalesce("chunks", F.lit(1))).withColumn(
+            "chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
         blocks = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
-            "*", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
-
-        def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-            left, right, ids = link_block(pdf, kind, least_cosine)
-            weight = pdf["weight"].to_numpy()
-            links = np.zeros(len(pdf), np.int64)
-            np.add.at(links, left, weight[right])
-            np.add.at(links, right, weight[left])
-            edges = spanning(left, right, len(pdf))
-            own = np.flatnonzero(links)
-            return pd.DataFrame({
-                "u": np.concatenate([ids[own], ids[[a for a, _ in edges]]]),
-                "v": np.concatenate([ids[own], ids[[b for _, b in edges]]]),
-                "links": np.concatenate([links[own], np.zeros(len(edges), np.int64)])})
-
-        # dealt by block pair: the join above has the rows by leaf alone
-        found = staged(blocks.repartition(*key, "i", "j").groupBy(*key, "i", "j").applyInPandas(
+            "rep", "weight", "label", "vector", "leaves", "leaf", "chunk",
+            F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
+
+        def compare(rows: pa.Table) -> pa.Table:
+            leaf, i, j = (rows.column(c)[0].as_py() for c in ("leaf", "i", "j"))
+            x = unit(np.frombuffer(b"".join(rows.column("vector").to_pylist()), kind).reshape(len(rows), -1))
+            links, edges = link_block(x, padded(rows.column("leaves").combine_chunks()), rows.column("weight").to_numpy(),
+                                      rows.column("chunk").to_numpy(), leaf, i, j, least_cosine)
+            ids, linked = rows.column("rep").combine_chunks(), np.flatnonzero(links)
+            return pa.Table.from_arrays([
+                ids.take(pa.array(np.concatenate([linked, [a for a, _ in edges]]).astype(np.int64))),
+                ids.take(pa.array(np.concatenate([linked, [b for _, b in edges]]).astype(np.int64))),
+                pa.array(np.concatenate([links[linked], np.zeros(len(edges), np.int64)]))], ["u", "v", "links"])
+
+        found = staged(blocks.repartition(*key, "i", "j").groupBy(*key, "i", "j").applyInArrow(
             compare, f"u {kinds['rep']}, v {kinds['rep']}, links long"), "vector-links")
         links = found.filter("links > 0").select(F.col("u").alias("rep"), "links")
         edges = found.filter("links = 0").select("u", "v")
