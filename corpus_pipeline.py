@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import exact, langid, minhash, packing, substring
-from tidemark.llm.common import free_name, quoted, staged, table
+from tidemark.llm.common import free_name, quoted, small_batches, staged, table
 from tidemark.llm.queries import language_model, tokenizer_path
 
 # The least score of a language that lets a document pass. Among the languages learnt here
@@ -22,7 +22,9 @@ LEAST_LANGUAGE_SCORE = 0.3
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a recognised language stay; one without letters has none."""
     pred, score = (free_name(docs.columns, c) for c in ("lang_pred", "lang_score"))
-    known = langid.identify(docs, language_model(docs), pred_col=pred, score_col=score)
+    with small_batches(spark):
+        model = language_model(docs)
+    known = langid.identify(docs, model, pred_col=pred, score_col=score)
     return known.filter((F.col(quoted(pred)) != langid.UNKNOWN) & (F.col(quoted(score)) >= LEAST_LANGUAGE_SCORE)).drop(pred, score)
 
 

@@ -3,9 +3,10 @@ import os
 import re
 
 import pytest
+from pyspark.accumulators import AccumulatorParam
 
 import corpus_pipeline as pipeline
-from tidemark.llm.common import staged
+from tidemark.llm.common import BATCH_BYTES, BATCH_SETTING, staged
 
 pytest.importorskip("public_tokenizers")
 SF = "/root/testdata/sf0.001"
@@ -79,3 +80,36 @@ def test_columns_of_any_name_come_through_every_stage(spark):
             assert list(r)[5:] == [f"{n}-{r['doc_id']}" for n in names]
     assert {r["doc_id"] for r in docs.collect()} >= {2, 3, 4, 5}
     assert pipeline.STAGES[-1][1](spark, docs, SF).count() >= 4
+
+
+def test_stages_send_python_small_batches(spark, monkeypatch):
+    """Of 26 MB in two partitions no batch holds more than a few MB, nor of near copies that meet in pairs."""
+    class Most(AccumulatorParam):
+        def zero(self, value):
+            return value
+
+        def addInPlace(self, a, b):
+            return max(a, b)
+
+    frame = type(spark.range(1))
+    real = frame.mapInArrow
+    docs = spark.range(0, 1200, 1, 2).selectExpr(
+        "id AS doc_id", "concat(repeat(concat('word', cast(id % 3 AS string), ' '), 3600), 'x', cast(id AS string)) AS text", "'en' AS lang")
+    docs = staged(docs, "documents")
+    for name in ("near_dedup", "packing"):
+        most = spark.sparkContext.accumulator(0, Most())
+
+        def watched(self, func, *rest, most=most, **named):
+            def measured(batches):
+                def seen():
+                    for batch in batches:
+                        most.add(batch.nbytes)
+                        yield batch
+                return func(seen())
+            return real(self, measured, *rest, **named)
+
+        monkeypatch.setattr(frame, "mapInArrow", watched)
+        staged(dict(pipeline.STAGES)[name](spark, docs, SF), name)
+        monkeypatch.undo()
+        assert 0 < most.value < 2 * BATCH_BYTES, name
+        assert BATCH_SETTING not in spark.conf.getAll

@@ -203,7 +203,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", pred
     def run(batches):
         m = shared.value
         for batch in batches:
-            found = [m.predict(t) for t in batch.column(at).to_pylist()]
+            found = [m.predict(t.as_py()) for t in batch.column(at)]       # one text at a time
             yield pa.RecordBatch.from_arrays(
                 batch.columns + [pa.array([k for k, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
                 names=out.names)

@@ -41,7 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, id_text, quoted, spread, staged, texts
+from .common import free_name, id_text, quoted, small_batches, spread, texts
+from .common import staged_in_small_batches as staged
 from .components import components
 from .shingles import mixed, runs, word_hashes
 
@@ -52,7 +53,7 @@ BANDS, BAND = 24, 4
 SAMPLES = BANDS * BAND
 LEAST_SAME = 56         # of 96; a pair at the threshold of 0.8 agrees in fewer with a probability of 4e-7
 RARE = 1 / 1024         # a shingle in no larger share of the documents has the full weight
-KEPT_SHINGLES = 1 << 22  # of texts a task compares
+KEPT_SHINGLES = 1 << 20  # of texts a task compares; pairs come sorted, so it is hubs that are met again
 KEPT_SIGNATURES = 1 << 13
 BLOCK, BLOCK_BYTES = 1024, 32 << 20     # members of a bucket that are compared in one task, and their texts
 SMALL_GROUP, PAIRS = 64, 1 << 16        # pairs of small groups are looked at together
@@ -181,7 +182,9 @@ def document_frequencies(docs: DataFrame, n: int = WORDS) -> np.ndarray:
 
     out = np.zeros(CELLS + 1, np.int64)
     schema = "block long, counts binary"
-    for r in spread(docs.select("text")).mapInArrow(count, schema).groupBy("block").applyInPandas(add, schema).collect():
+    with small_batches(docs.sparkSession):
+        blocks = spread(docs.select("text")).mapInArrow(count, schema).groupBy("block").applyInPandas(add, schema).collect()
+    for r in blocks:
         counts = np.frombuffer(r["counts"], np.int64)
         if r["block"] < 0:
             out[-1] = counts[0]

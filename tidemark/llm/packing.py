@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .bpe import byte_chars
-from .common import free_name, id_text, quoted, spread, staged, texts
+from .common import free_name, id_text, quoted, spread, staged_in_small_batches, texts
 
 GROUP = 8192            # items packed in one task, unless they are short
 FULL = 256              # sequences whose tokens a group holds at least
@@ -213,7 +213,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, max_tokens: int = 4096, max
     A piece that fills a sequence is one. Its sequence id is odd, those of packed
     sequences are even.
     """
-    pieces = staged(token_pieces(docs, vocabulary, max_tokens, id_col, text_col, keep_ids=keep_ids), "pieces")
+    pieces = staged_in_small_batches(token_pieces(docs, vocabulary, max_tokens, id_col, text_col, keep_ids=keep_ids), "pieces")
     whole = (pieces.filter(F.col("length") == max_tokens)
              .withColumn("sequence_id", F.monotonically_increasing_id() * 2 + 1).withColumn("offset", F.lit(0).cast("long")))
     rest = pieces.filter(F.col("length") < max_tokens).withColumn("tokens", F.col("length")).withColumn("loss", F.col("length"))
